@@ -248,7 +248,7 @@ def network_costs(spark: SparkSession, sf_dir: str, data_source: str) -> DataFra
         "adset_id": "'as1'",
         "adset_name": "'first set'",
         "campaign_id": "concat('c', page_id % 10)",
-        "url_params": f"array()",
+        "url_params": "array()",
     }
     return rows.select(
         *[
@@ -310,7 +310,7 @@ def topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("avid").cast("binary").alias("key"),
         body.cast("binary").alias("value"),
         F.lit(topic_name(PROJECT_ID)).alias("topic"),
-        (F.hash("avid") % 4).cast("int").alias("partition"),
+        (F.expr("cast(substr(avid, 2) as bigint)") % 4).cast("int").alias("partition"),
         (F.col("eid") * 2 + F.col("copy")).alias("offset"),
         F.timestamp_millis(F.col("timestamp") + 2000).alias("timestamp"),
         F.array(F.struct(F.lit("event_name").alias("key"), F.col("event_name").cast("binary").alias("value"))).alias(

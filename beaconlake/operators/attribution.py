@@ -19,7 +19,8 @@ MODELS = ("last_touch", "first_touch", "linear", "position")
 TOUCH_EVENTS = ("click", "view")
 SOURCE_COLUMNS = ("source", "medium", "campaign", "content", "term")
 DAY_MS = 86_400_000
-SHARE = "decimal(38,9)"
+# Leaves room for the ten digits a sum and the one an addition add, so that Spark keeps all nine decimals.
+SHARE = "decimal(27,9)"
 
 # Share of the first and of the last touch in the position model; the touches between them divide the rest.
 POSITION_ENDS = 0.4
@@ -223,7 +224,7 @@ def _changes(model: str) -> Column:
                         to_value.cast(SHARE).alias("value"))
 
     even = (F.lit(1).cast("decimal(20,0)") / count.cast("decimal(20,0)")).cast(SHARE)
-    even_value = (value.cast("decimal(29,9)") / count.cast("decimal(20,0)")).cast(SHARE)
+    even_value = (value / count.cast("decimal(20,0)")).cast(SHARE)
     linear = F.array(
         change(F.col("first"), even, even_value), change(F.col("last") + 1, -even, -even_value)
     )
@@ -233,9 +234,9 @@ def _changes(model: str) -> Column:
     ends = F.lit(POSITION_ENDS).cast("decimal(2,1)")
     between = F.lit(1 - 2 * POSITION_ENDS).cast("decimal(2,1)")
     inner = F.greatest(count - 2, F.lit(1)).cast("decimal(20,0)")
-    end_value = part(value.cast("decimal(29,9)"), ends)
+    end_value = part(value, ends)
     inner_share = (between / inner).cast(SHARE)
-    inner_value = (part(value.cast("decimal(29,9)"), between).cast("decimal(29,9)") / inner).cast(SHARE)
+    inner_value = (part(value, between) / inner).cast(SHARE)
     position = F.array(
         change(F.col("first"), ends, end_value),
         change(F.col("first") + 1, inner_share - ends, inner_value - end_value),

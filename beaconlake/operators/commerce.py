@@ -9,6 +9,9 @@ from beaconlake.operators.skew import MAX_GROUP_ROWS, lookup_join
 
 ENTITIES = ("order", "deal", "transaction")
 
+# Money in sums: leaves room for the digits that a sum and a difference add.
+MONEY = "decimal(27,6)"
+
 
 def latest_state(events: DataFrame, entity: str) -> DataFrame:
     """Latest record per order, deal or transaction id, by (``timestamp``, ``event_id``).
@@ -35,7 +38,7 @@ def latest_state(events: DataFrame, entity: str) -> DataFrame:
 def balance_by_currency(states: DataFrame) -> DataFrame:
     """Paid, refunded and net value of order or deal states per currency, summed as decimals so order cannot matter."""
     def total(name: str):
-        return F.coalesce(F.sum(F.col(name).cast("decimal(38,6)")), F.lit(0).cast("decimal(38,6)"))
+        return F.coalesce(F.sum(F.col(name).cast(MONEY)), F.lit(0).cast("decimal(37,6)"))
 
     paid, refunded = total("paid_value"), total("refund_value")
     return states.groupBy("currency").agg(

@@ -106,11 +106,3 @@ def load_manual_costs(spark: SparkSession, path: str, prefix: str = "") -> tuple
 def unify_costs(*parts: DataFrame) -> DataFrame:
     """All cost rows under the common contract."""
     return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def write_costs(costs: DataFrame, path: str) -> None:
-    """Replace the days and sources present in ``costs``; other days and other sources are left alone."""
-    (
-        costs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date", "data_source").parquet(path)
-    )

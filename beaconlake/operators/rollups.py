@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 UTM = ("source", "medium", "campaign", "content", "term")
 
 
-def campaign_performance(costs: DataFrame, attributed: DataFrame) -> DataFrame:
-    """Costs and attributed revenue per source, medium and campaign with CPC, CTR and ROAS.
+def campaign_performance(costs: DataFrame, attributed: DataFrame, by: tuple[str, ...] = UTM[:3]) -> DataFrame:
+    """Costs and attributed revenue per source, medium and campaign, or other UTM columns, with CPC, CTR and ROAS.
 
     Both sides are reduced to one stream of partial figures and summed once, which also treats null keys as equal.
     ``reach`` counts people, so it is not additive: the largest single figure is reported.
     """
-    keys = UTM[:3]
+    keys = by
     cost_rows = costs.select(
         *keys,
         F.col("cost").cast("decimal(38,6)").alias("cost"),

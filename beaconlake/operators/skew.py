@@ -137,7 +137,7 @@ def running(
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
         "_piece", *keys,
-        *[_running_value(kind, F.col(name)).over(before).alias(f"_carried_{name}")
+        *[_running_value(kind, F.col(name)).over(before).cast(local.schema[name].dataType).alias(f"_carried_{name}")
           for name, (kind, _) in values.items()],
     )
     joined = local.join(F.broadcast(carried), ["_piece", *keys], "left")

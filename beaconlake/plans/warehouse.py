@@ -128,13 +128,23 @@ def save_rows(
     """Insert rows into a table by column name; ``overwrite`` replaces the partitions the rows fall into."""
     target = spark.table(table).schema.names
     ordered = df.select(*[F.col(f"`{name}`") for name in target])
+    partition = tuple(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
     if clustering:
-        partition = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-        ordered = clustered(ordered, tuple(partition), clustering)
+        ordered = clustered(ordered, partition, clustering)
+    elif partition:
+        ordered = gathered(ordered, *partition)
     writer = ordered.write.option("partitionOverwriteMode", "dynamic")
     writer.insertInto(table, overwrite=overwrite)
 
 
+def gathered(df: DataFrame, *partition_by: str) -> DataFrame:
+    """Rows of a partition brought together before a write, so that there are few files.
+
+    Spark sizes the result at run time: small partitions share a task and a large one is split over several.
+    """
+    return df.hint("rebalance", *[F.col(f"`{name}`") for name in partition_by])
+
+
 def clustered(df: DataFrame, partition_by: tuple[str, ...], clustering: tuple[str, ...]) -> DataFrame:
     """Rows in clustering order inside each partition, so that file statistics can skip data.
 
@@ -154,9 +164,8 @@ def partition_unit(unit: str, timestamp_ms: Column) -> Column:
 
 def write_by_unit(df: DataFrame, path: str, unit: str, timestamp_ms: str = "timestamp") -> None:
     """Write a table partitioned by the hour, day, month or year of its event time."""
-    df.withColumn("partition_time", partition_unit(unit, F.col(timestamp_ms))).write.mode("overwrite").partitionBy(
-        "partition_time"
-    ).parquet(path)
+    timed = df.withColumn("partition_time", partition_unit(unit, F.col(timestamp_ms)))
+    gathered(timed, "partition_time").write.mode("overwrite").partitionBy("partition_time").parquet(path)
 
 
 def read_table(
@@ -172,3 +181,14 @@ def read_table(
     if date_to is not None:
         rows = rows.where(F.col("date") <= F.lit(date_to))
     return rows
+
+
+def replace_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
+    """Replace the partitions present in ``df`` under a path; others are left alone."""
+    (
+        gathered(df, *partition_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )

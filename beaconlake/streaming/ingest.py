@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from beaconlake.operators.skew import small_lookup_join
+from beaconlake.plans.warehouse import replace_partitions
 from beaconlake.sources.messages import good_rows, parse_messages, quarantined
 
 BATCH = "ingest_batch"
@@ -129,7 +130,4 @@ def replay_into(
     """Rebuild every date that the messages of a window touch, from all landed messages of that date."""
     dates = replay_window(landed, schema, start, end).select("date").distinct()
     everything = good_rows(parse_messages(landed.select("data", "attributes"), schema), schema)
-    rows = small_lookup_join(everything, dates, ["date"], "left_semi")
-    (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(target)
-    )
+    replace_partitions(small_lookup_join(everything, dates, ["date"], "left_semi"), target, "date")
