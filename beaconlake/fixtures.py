@@ -294,7 +294,7 @@ def topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = staged_events(spark, sf_dir)
     events = as_raw_events(staged)
     message = F.to_json(F.struct(*[F.col(f"`{c}`") for c in events.columns]))
-    sent = events.withColumn("json", message).withColumn("eid", F.col("event_id").cast("bigint"))
+    sent = events.select("*", F.explode(F.array(message)).alias("json"), F.col("event_id").cast("bigint").alias("eid"))
     kind = F.col("eid") % 100
     body = (
         F.when(F.col("eid") % 20 == 3, F.concat(F.lit('{"extra":1,'), F.expr("substr(json, 2)")))

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from beaconlake.operators.referrers import with_source
 from beaconlake.operators.skew import MAX_GROUP_ROWS, heavy_keys, running
 
 MODELS = ("last_touch", "first_touch", "linear", "position")
@@ -30,10 +31,11 @@ CONVERSION, TOUCH = 0, 1
 
 
 def attribute_events(
-    events: DataFrame,
+    identified: DataFrame,
     conversion_event: str | Sequence[str],
     model: str = "last_touch",
     lookback_days: int = 7,
+    excluded: DataFrame | None = None,
     key: str = "profile_id",
     value: Column | None = None,
     touch_events: Sequence[str] = TOUCH_EVENTS,
@@ -41,10 +43,10 @@ def attribute_events(
 ) -> DataFrame:
     """Attribute conversions to touches.
 
-    ``events`` carries the columns of ``referrers.with_source``. ``last_touch`` and ``first_touch`` give one row per
-    conversion with the touch's id, time and source. ``linear`` and ``position`` give one row per touch that earned
-    something, with the conversions and the value credited to it, and one row per unattributed conversion. Unattributed
-    rows have a null ``source``; a conversion without a key is always unattributed.
+    ``excluded`` lists referrers that are no source. ``last_touch`` and ``first_touch`` give one row per conversion with
+    the touch's id, time and source. ``linear`` and ``position`` give one row per touch that earned something, with the
+    conversions and the value credited to it, and one row per unattributed conversion. Unattributed rows have a null
+    ``source``; a conversion without a key is always unattributed.
     """
     if model not in MODELS:
         raise ValueError(f"model must be one of {MODELS}")
@@ -52,23 +54,20 @@ def attribute_events(
     value = F.col("`order`")["value"] if value is None else value
     is_conversion = F.coalesce(F.col("event_name").isin(names), F.lit(False))
     may_touch = F.coalesce(F.col("event_name").isin(list(touch_events)), F.lit(False))
-    used = events.where(F.col("event_name").isin([*names, *touch_events]))
-    staged = used.select(
-        F.col(key).alias("key"),
-        "date",
-        "event_name",
-        "timestamp",
-        "event_id",
-        value.cast(SHARE).alias("value"),
+    used = identified.where(F.col("event_name").isin([*names, *touch_events])).select(
+        F.col(key).alias("key"), "date", "event_name", "timestamp", "event_id", value.cast(SHARE).alias("value"),
+        "event_params",
+    )
+    # Counted before the URLs are read: an upper bound that needs the key and the event name only.
+    heavy = heavy_keys(used.where("key is not null").select("key"), ["key"], max_group_rows)
+    keyless = used.where(F.col("key").isNull() & is_conversion)
+    # Rows that turn out to be neither conversion nor touch give no timeline row, so no filter repeats the URL reading.
+    keyed = with_source(used.where("key is not null"), excluded).select(
+        *[name for name in used.columns if name != "event_params"],
         *SOURCE_COLUMNS,
         is_conversion.alias("is_conversion"),
         (may_touch & F.col("source").isNotNull()).alias("is_touch"),
-    ).where("is_conversion or is_touch")
-
-    # Counted on the event rows before their URLs are read: an upper bound that needs the key column only.
-    heavy = heavy_keys(used.where(F.col(key).isNotNull()).select(F.col(key).alias("key")), ["key"], max_group_rows)
-    keyed = staged.where("key is not null")
-    keyless = staged.where("key is null and is_conversion")
+    )
     lookback_ms = lookback_days * DAY_MS
     if model == "last_touch":
         return _last_touch(keyed, lookback_ms, heavy, max_group_rows).unionByName(_untouched(keyless))
@@ -168,7 +167,8 @@ def _shared(
     )
     order = [F.col("at"), F.col("rank"), F.col("event_id"), F.col("kind")]
     is_touch = (F.col("kind") == TOUCH).cast("bigint")
-    numbered = running(timeline, ["key"], order, {"number": ("sum", is_touch)}, heavy, max_group_rows)
+    # Read three times below: kept, so that the events are scanned and shuffled once.
+    numbered = running(timeline, ["key"], order, {"number": ("sum", is_touch)}, heavy, max_group_rows).checkpoint()
 
     reach = (
         numbered.where(F.col("kind") != TOUCH)

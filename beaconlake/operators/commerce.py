@@ -51,19 +51,20 @@ def balance_by_currency(states: DataFrame) -> DataFrame:
 
 def transaction_links(events: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Latest state of each transaction with the status of its order and deal; null where no such record exists."""
-    transactions = latest_state(events, "transaction").select(
-        F.col("id").alias("transaction_id"),
-        F.col("value").alias("value"),
-        F.col("currency").alias("currency"),
-        "order_id",
-        "deal_id",
-    )
-    linked = transactions
+    linked = latest_state(_narrow(events, "transaction", "value", "currency", "order_id", "deal_id"), "transaction")
+    linked = linked.select(F.col("id").alias("transaction_id"), "value", "currency", "order_id", "deal_id")
     for entity in ("order", "deal"):
-        states = latest_state(events, entity).select(
+        states = latest_state(_narrow(events, entity, "status"), entity).select(
             F.col("id").alias(f"{entity}_id"), F.col("status").alias(f"{entity}_status"),
             F.lit(True).alias(f"has_{entity}"),
         )
         linked = lookup_join(linked, states, [f"{entity}_id"], "left", max_group_rows=max_group_rows)
         linked = linked.withColumn(f"has_{entity}", F.coalesce(f"has_{entity}", F.lit(False)))
     return linked
+
+
+def _narrow(events: DataFrame, entity: str, *fields: str) -> DataFrame:
+    """Only the needed fields of a record, so that the scan and the aggregation do not carry the others."""
+    record = F.col(f"`{entity}`")
+    wanted = F.struct(*[record[name].alias(name) for name in ("id", *fields)])
+    return events.select("timestamp", "event_id", F.when(record["id"].isNotNull(), wanted).alias(entity))

@@ -23,19 +23,28 @@ def dedupe_events(events: DataFrame, delay: str = "1 hour", max_group_rows: int
     A stream keeps the first row to arrive within ``delay`` of the watermark, which it takes from ``timestamp``.
     A batch keeps the row with the smallest ``timestamp``, then the smallest row hash. It finds the repeated ids from
     the id column alone, so rows whose id is unique go through without a shuffle, as long as the repeated ids are few
-    enough for Spark to broadcast them.
+    enough for Spark to broadcast them. Rows without an id are not copies of each other and all stay.
     """
     if events.isStreaming:
         timed = events.withColumn("_event_time", F.timestamp_millis("timestamp"))
         return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(["event_id"]).drop("_event_time")
     keys = ["event_id"]
-    repeated = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1").select(*keys)
-    single = lookup_join(events, repeated, keys, "left_anti", null_safe=True, max_group_rows=max_group_rows)
-    copies = lookup_join(events, repeated, keys, "left_semi", null_safe=True, max_group_rows=max_group_rows)
+    copies = F.count(F.lit(1)).alias("group_rows")
+    repeated = events.groupBy(*keys).agg(copies).where("event_id is not null and group_rows > 1").checkpoint()
+    if repeated.isEmpty():
+        return events
+    heavy = repeated.where(F.col("group_rows") > max_group_rows)
+    heavy = None if heavy.isEmpty() else heavy
+
+    def join(how: str) -> DataFrame:
+        return lookup_join(
+            events.where("event_id is not null"), repeated.select(*keys), keys, how, heavy=heavy, look_for_heavy=False
+        )
+
     row = F.struct(*[F.col(c) for c in events.columns])
     age = F.struct(F.col("timestamp"), F.xxhash64(*[F.col(c) for c in events.columns]))
-    first = copies.groupBy(*keys).agg(F.min_by(row, age).alias("row")).select("row.*")
-    return single.unionByName(first)
+    first = join("left_semi").groupBy(*keys).agg(F.min_by(row, age).alias("row")).select("row.*")
+    return join("left_anti").unionByName(first).unionByName(events.where("event_id is null"))
 
 
 def local_date(timestamp: Column, offset_seconds: Column) -> Column:

@@ -30,22 +30,24 @@ def excluded_hosts(excluded: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def with_referrer(events: DataFrame, excluded: DataFrame) -> DataFrame:
+def with_referrer(events: DataFrame, excluded: DataFrame | None) -> DataFrame:
     """Add ``referrer_host`` and ``referrer_excluded``."""
-    flagged = excluded_hosts(excluded).withColumn("_excluded", F.lit(True))
     hosted = events.withColumn("referrer_host", urls.host(referrer_url()))
+    if excluded is None:
+        return hosted.withColumn("referrer_excluded", F.lit(False))
+    flagged = excluded_hosts(excluded).withColumn("_excluded", F.lit(True))
     return small_lookup_join(hosted, flagged, ["referrer_host"]).select(
         *events.columns, "referrer_host", F.coalesce("_excluded", F.lit(False)).alias("referrer_excluded")
     )
 
 
-def external_referrals(events: DataFrame, excluded: DataFrame) -> DataFrame:
+def external_referrals(events: DataFrame, excluded: DataFrame | None) -> DataFrame:
     """Events that came from another site that is not excluded."""
     known = with_referrer(events, excluded).where("referrer_host is not null and not referrer_excluded")
     return known.where(~F.col("referrer_host").eqNullSafe(urls.host(landing_url())))
 
 
-def with_source(events: DataFrame, excluded: DataFrame) -> DataFrame:
+def with_source(events: DataFrame, excluded: DataFrame | None = None) -> DataFrame:
     """Add ``source``, ``medium``, ``campaign``, ``content`` and ``term``; a null source is a direct visit.
 
     The page's ``utm_*`` parameters decide; without a ``utm_source`` it is the referrer's host, unless that is the

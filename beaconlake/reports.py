@@ -408,8 +408,10 @@ def identified_events(spark, sf_dir):
 
 # ---- attribution ----
 
-def _sourced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return referrers.with_source(fx.profiled_events(spark, sf_dir), fx.excluded_referrers(spark))
+def _attributed(spark: SparkSession, sf_dir: str, *arguments) -> DataFrame:
+    return attribution.attribute_events(
+        fx.profiled_events(spark, sf_dir), *arguments, excluded=fx.excluded_referrers(spark)
+    )
 
 
 def _per_conversion(attributed: DataFrame) -> DataFrame:
@@ -423,7 +425,7 @@ def _per_touch(attributed: DataFrame) -> DataFrame:
 @query
 def purchase_revenue_by_source(spark, sf_dir):
     """Purchases and revenue by the source of the last touch."""
-    attributed = attribution.attribute_events(_sourced(spark, sf_dir), "purchase")
+    attributed = _attributed(spark, sf_dir, "purchase")
     return attributed.groupBy(F.coalesce("source", F.lit("(unattributed)")).alias("source")).agg(
         F.count(F.lit(1)).alias("purchases"),
         F.sum(F.col("value").cast("decimal(38,6)")).cast("double").alias("revenue"),
@@ -433,40 +435,42 @@ def purchase_revenue_by_source(spark, sf_dir):
 @query
 def attribution_last_touch(spark, sf_dir):
     """Purchases with the latest touch of their visitor."""
-    return _per_conversion(attribution.attribute_events(_sourced(spark, sf_dir), "purchase", "last_touch"))
+    return _per_conversion(_attributed(spark, sf_dir, "purchase", "last_touch"))
 
 
 @query
 def attribution_first_touch(spark, sf_dir):
     """Purchases with the first touch inside the look-back period."""
-    return _per_conversion(attribution.attribute_events(_sourced(spark, sf_dir), "purchase", "first_touch"))
+    return _per_conversion(_attributed(spark, sf_dir, "purchase", "first_touch"))
 
 
 @query
 def attribution_linear(spark, sf_dir):
     """Touches with their equal shares of later purchases, and unattributed purchases."""
-    return _per_touch(attribution.attribute_events(_sourced(spark, sf_dir), "purchase", "linear"))
+    return _per_touch(_attributed(spark, sf_dir, "purchase", "linear"))
 
 
 @query
 def attribution_position(spark, sf_dir):
     """Touches with 40/20/40 shares of later purchases, and unattributed purchases."""
-    return _per_touch(attribution.attribute_events(_sourced(spark, sf_dir), "purchase", "position"))
+    return _per_touch(_attributed(spark, sf_dir, "purchase", "position"))
 
 
 @query
 def attribution_by_profile(spark, sf_dir):
     """Purchases with the latest touch of their resolved profile."""
     identified = identity.identify_events(fx.raw_events(spark, sf_dir), inserted_at=F.lit(1))
-    sourced = referrers.with_source(identified, fx.excluded_referrers(spark))
-    return _per_conversion(attribution.attribute_events(sourced, "purchase"))
+    return _per_conversion(
+        attribution.attribute_events(identified, "purchase", excluded=fx.excluded_referrers(spark))
+    )
 
 
 @query
 def check_unattributed_share(spark, sf_dir):
     """Unattributed share of purchases and signups per day, without ignored events."""
-    kept = checks.drop_ignored(_sourced(spark, sf_dir), IGNORED[:2])
-    shares = checks.check_unattributed_share(attribution.attribute_events(kept, ("purchase", "signup")))
+    kept = checks.drop_ignored(fx.profiled_events(spark, sf_dir), IGNORED[:2])
+    attributed = attribution.attribute_events(kept, ("purchase", "signup"), excluded=fx.excluded_referrers(spark))
+    shares = checks.check_unattributed_share(attributed)
     return shares.withColumn("date", F.col("date").cast("string"))
 
 
@@ -479,7 +483,7 @@ def ignored_events(spark, sf_dir):
 @query
 def campaign_performance(spark, sf_dir):
     """Costs, revenue, CPC, CTR and ROAS per source."""
-    attributed = attribution.attribute_events(_sourced(spark, sf_dir), "purchase")
+    attributed = _attributed(spark, sf_dir, "purchase")
     return rollups.campaign_performance(_unified(spark, sf_dir), attributed, by=("source",))
 
 
