@@ -15,6 +15,7 @@ PARTITIONS = {"ad_costs": ("date", "data_source")}
 PARTITION_UNITS = ("HOUR", "DAY", "MONTH", "YEAR")
 REQUIRE_FILTER = "require_partition_filter"
 EXPIRATION_MS = "partition_expiration_ms"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def _text(value: object) -> str:
@@ -133,8 +134,13 @@ def save_rows(
         ordered = clustered(ordered, partition, clustering)
     elif partition:
         ordered = gathered(ordered, *partition)
-    writer = ordered.write.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table, overwrite=overwrite)
+    # An insert into a table takes the overwrite mode from the session only, not from the writer's options.
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        ordered.write.insertInto(table, overwrite=overwrite)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def gathered(df: DataFrame, *partition_by: str) -> DataFrame:

@@ -50,7 +50,7 @@ def _day(name: str = "date"):
 _topics: dict[tuple[str, str], str] = {}
 
 
-def _topic_path(spark: SparkSession, sf_dir: str) -> str:
+def topic_path(spark: SparkSession, sf_dir: str) -> str:
     """The topic's files, written once per application and data set."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _topics:
@@ -61,7 +61,7 @@ def _topic_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _messages(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = 2) -> DataFrame:
-    rows = read_topic_files(spark, _topic_path(spark, sf_dir), files_per_trigger)
+    rows = read_topic_files(spark, topic_path(spark, sf_dir), files_per_trigger)
     return envelopes(rows, f"{SINK_SUBSCRIPTION_PREFIX}_{fx.PROJECT_ID}")
 
 
