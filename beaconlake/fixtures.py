@@ -191,11 +191,6 @@ def as_raw_events(staged: DataFrame) -> DataFrame:
     )
 
 
-def profiled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw events with the external id as the profile, for reports that need one profile per user."""
-    return raw_events(spark, sf_dir).withColumn("profile_id", F.get("user_external_ids", F.lit(0))["value"])
-
-
 def excluded_referrers(spark: SparkSession) -> DataFrame:
     return spark.sql(EXCLUDED_QUERY)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconlake.contracts import schema
-from beaconlake.operators.skew import MAX_GROUP_ROWS, lookup_join
+from beaconlake.operators.skew import MAX_BROADCAST_ROWS, MAX_GROUP_ROWS, small_lookup_join
 
 # Column names that differ between a network's table and the common one: common name -> network name.
 RENAMED = {
@@ -19,20 +19,27 @@ RENAMED = {
 
 
 def update_network_costs(
-    network: DataFrame, data_source: str, prefix: str = "", max_group_rows: int = MAX_GROUP_ROWS
+    network: DataFrame,
+    data_source: str,
+    prefix: str = "",
+    max_group_rows: int = MAX_GROUP_ROWS,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Newest snapshot of each account and day of a network's costs, in the common contract.
 
-    The newest ``inserted_at`` is an aggregation; the rows are then kept by a semi join with it, so an account with
-    most of the rows is never brought into one task. Columns the network does not have are null, and the keyword of a
+    The snapshots and their sizes are one aggregation; the rows of the newest ones are then kept by a semi join, so an
+    account with most of the rows is never brought into one task. Columns the network does not have are null, and the keyword of a
     search network fills a missing term.
     """
     if data_source not in RENAMED:
         raise ValueError(f"data_source must be one of {sorted(RENAMED)}")
     snapshot = ["ad_account_id", "date", "inserted_at"]
-    newest = network.groupBy("ad_account_id", "date").agg(F.max("inserted_at").alias("inserted_at"))
-    current = lookup_join(
-        network, newest, snapshot, "left_semi", null_safe=True, max_group_rows=max_group_rows
+    snapshots = network.groupBy(*snapshot).agg(F.count(F.lit(1)).alias("group_rows")).checkpoint()
+    newest = snapshots.groupBy("ad_account_id", "date").agg(F.max("inserted_at").alias("inserted_at"))
+    heavy = snapshots.where(F.col("group_rows") > max_group_rows)
+    current = small_lookup_join(
+        network, newest, snapshot, "left_semi", max_broadcast_rows, snapshots.count(), null_safe=True,
+        heavy=None if heavy.isEmpty() else heavy, look_for_heavy=False,
     )
     if "keyword" in network.columns:
         current = current.withColumn("term", F.coalesce("term", "keyword"))

@@ -94,15 +94,13 @@ def components(edges: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFr
     folder. A node with very many neighbours is joined by broadcast of its one aggregated row, not by shuffling them.
     """
     edges = edges.checkpoint()
-    while _unsettled(edges):
-        # Within a round a node has at most twice as many rows as there are links.
-        crowded = 2 * edges.count() > max_group_rows
+    # A round never has more links than the one before, and a node at most one row per link in each join.
+    crowded = edges.count() > max_group_rows
 
-        def join(rows: DataFrame, centre: DataFrame) -> DataFrame:
-            return lookup_join(
-                rows, centre, ["node"], "inner", max_group_rows=max_group_rows, look_for_heavy=crowded
-            )
+    def join(rows: DataFrame, centre: DataFrame) -> DataFrame:
+        return lookup_join(rows, centre, ["node"], "inner", max_group_rows=max_group_rows, look_for_heavy=crowded)
 
+    while _unsettled(edges):
         edges = _small_star(_large_star(edges, join).checkpoint() if crowded else _large_star(edges, join), join)
         edges = edges.checkpoint()
     members = edges.select(F.col("larger").alias("node"), F.col("smaller").alias("profile_id"))

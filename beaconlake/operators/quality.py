@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
 from beaconlake.functions.params import slots_set
-from beaconlake.operators.skew import MAX_GROUP_ROWS, lookup_join
+from beaconlake.operators.skew import MAX_BROADCAST_ROWS, MAX_GROUP_ROWS, small_lookup_join
 
 DAY_MS = 86_400_000
 
@@ -17,13 +17,18 @@ def real_events(events: DataFrame) -> DataFrame:
     return events.where(~F.coalesce(F.col("is_test_event"), F.lit(False)))
 
 
-def dedupe_events(events: DataFrame, delay: str = "1 hour", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def dedupe_events(
+    events: DataFrame,
+    delay: str = "1 hour",
+    max_group_rows: int = MAX_GROUP_ROWS,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
     """First row per ``event_id``.
 
     A stream keeps the first row to arrive within ``delay`` of the watermark, which it takes from ``timestamp``.
     A batch keeps the row with the smallest ``timestamp``, then the smallest row hash. It finds the repeated ids from
     the id column alone, so rows whose id is unique go through without a shuffle, as long as the repeated ids are few
-    enough for Spark to broadcast them. Rows without an id are not copies of each other and all stay.
+    enough to broadcast. Rows without an id are not copies of each other and all stay.
     """
     if events.isStreaming:
         timed = events.withColumn("_event_time", F.timestamp_millis("timestamp"))
@@ -31,14 +36,16 @@ def dedupe_events(events: DataFrame, delay: str = "1 hour", max_group_rows: int
     keys = ["event_id"]
     copies = F.count(F.lit(1)).alias("group_rows")
     repeated = events.groupBy(*keys).agg(copies).where("event_id is not null and group_rows > 1").checkpoint()
-    if repeated.isEmpty():
+    ids = repeated.count()
+    if ids == 0:
         return events
     heavy = repeated.where(F.col("group_rows") > max_group_rows)
     heavy = None if heavy.isEmpty() else heavy
 
     def join(how: str) -> DataFrame:
-        return lookup_join(
-            events.where("event_id is not null"), repeated.select(*keys), keys, how, heavy=heavy, look_for_heavy=False
+        return small_lookup_join(
+            events.where("event_id is not null"), repeated.select(*keys), keys, how, max_broadcast_rows, ids,
+            heavy=heavy, look_for_heavy=False,
         )
 
     row = F.struct(*[F.col(c) for c in events.columns])

@@ -35,8 +35,9 @@ def with_referrer(events: DataFrame, excluded: DataFrame | None) -> DataFrame:
     hosted = events.withColumn("referrer_host", urls.host(referrer_url()))
     if excluded is None:
         return hosted.withColumn("referrer_excluded", F.lit(False))
+    entries = excluded.agg(F.coalesce(F.sum(F.size("hosts")), F.lit(0))).first()[0]
     flagged = excluded_hosts(excluded).withColumn("_excluded", F.lit(True))
-    return small_lookup_join(hosted, flagged, ["referrer_host"]).select(
+    return small_lookup_join(hosted, flagged, ["referrer_host"], rows=entries).select(
         *events.columns, "referrer_host", F.coalesce("_excluded", F.lit(False)).alias("referrer_excluded")
     )
 

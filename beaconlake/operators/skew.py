@@ -78,12 +78,24 @@ def lookup_join(
 
 
 def small_lookup_join(
-    big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left", max_rows: int = MAX_BROADCAST_ROWS
+    big: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    max_rows: int = MAX_BROADCAST_ROWS,
+    rows: int | None = None,
+    null_safe: bool = False,
+    **options,
 ) -> DataFrame:
-    """As ``lookup_join`` for a lookup that is meant to be small: its rows are counted, and broadcast up to a limit."""
-    if small.limit(max_rows + 1).count() <= max_rows:
-        return _join(big, F.broadcast(small), keys, how, False)
-    return lookup_join(big, small, keys, how)
+    """As ``lookup_join`` for a lookup that is usually small: its rows are counted, and broadcast up to a limit.
+
+    ``rows`` is an upper bound of the count where the caller knows one; ``options`` are those of ``lookup_join``.
+    """
+    if rows is None:
+        rows = small.limit(max_rows + 1).count()
+    if rows <= max_rows:
+        return _join(big, F.broadcast(small), keys, how, null_safe)
+    return lookup_join(big, small, keys, how, null_safe, **options)
 
 
 def running(

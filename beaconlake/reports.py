@@ -45,23 +45,58 @@ def _day(name: str = "date"):
     return F.col(name).cast("string").alias(name)
 
 
-# ---- topic and ingestion ----
+# ---- derived tables, written once per application and data set ----
+
+_paths: dict[tuple[str, str, str], str] = {}
 
-_topics: dict[tuple[str, str], str] = {}
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _paths:
+        path = run_path(spark, name)
+        write(path)
+        _paths[key] = path
+    return _paths[key]
 
 
 def topic_path(spark: SparkSession, sf_dir: str) -> str:
-    """The topic's files, written once per application and data set."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _topics:
-        path = run_path(spark, "topic")
-        fx.topic_rows(spark, sf_dir).repartition(4, "offset").write.parquet(path)
-        _topics[key] = path
-    return _topics[key]
+    """The topic's files."""
+    return _stored(
+        spark, sf_dir, "topic",
+        lambda path: fx.topic_rows(spark, sf_dir).repartition(8, "offset").write.parquet(path),
+    )
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``raw_events`` table, by date."""
+    path = _stored(
+        spark, sf_dir, "raw_events",
+        lambda path: warehouse.replace_partitions(fx.raw_events(spark, sf_dir), path, "date"),
+    )
+    contract = schema("raw_events")
+    return spark.read.schema(contract).parquet(path).select(*[F.col(f"`{name}`") for name in contract.names])
 
 
-def _messages(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = 2) -> DataFrame:
-    rows = read_topic_files(spark, topic_path(spark, sf_dir), files_per_trigger)
+def network_costs(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The cost table of a network, by date."""
+    table = f"{name}_ad_costs"
+    path = _stored(
+        spark, sf_dir, table,
+        lambda path: warehouse.replace_partitions(fx.network_costs(spark, sf_dir, name), path, "date"),
+    )
+    contract = schema(table)
+    return spark.read.schema(contract).parquet(path).select(*[F.col(f"`{name}`") for name in contract.names])
+
+
+def profiled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events with the external id as the profile, for reports that need one profile per user."""
+    return raw_events(spark, sf_dir).withColumn("profile_id", F.get("user_external_ids", F.lit(0))["value"])
+
+
+# ---- topic and ingestion ----
+
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_topic_files(spark, topic_path(spark, sf_dir))
     return envelopes(rows, f"{SINK_SUBSCRIPTION_PREFIX}_{fx.PROJECT_ID}")
 
 
@@ -170,7 +205,7 @@ def process_events_stream(spark, sf_dir):
 @query
 def dedupe_events(spark, sf_dir):
     """First row per event id of events with later copies."""
-    raw = fx.raw_events(spark, sf_dir)
+    raw = raw_events(spark, sf_dir)
     copies = raw.where(F.col("event_id").cast("bigint") % 40 == 5).withColumns(
         {"timestamp": F.col("timestamp") + 1000, "event_name": F.lit("copy")}
     )
@@ -187,7 +222,7 @@ def _project(spark: SparkSession) -> tuple[int, str]:
 def table_contracts(spark, sf_dir):
     """Every column path of the raw table with its type and the number of rows that hold a value."""
     resources = warehouse.bootstrap(spark, *_project(spark))
-    warehouse.save_rows(spark, fx.raw_events(spark, sf_dir), resources["raw_events"])
+    warehouse.save_rows(spark, raw_events(spark, sf_dir), resources["raw_events"])
     stored = spark.table(resources["raw_events"])
     return quality.column_fill(stored.select(*[F.col(f"`{n}`") for n in schema("raw_events").names]))
 
@@ -197,9 +232,9 @@ def bootstrap_twice(spark, sf_dir):
     """Rows per table after filling a project and creating it again."""
     project, location = _project(spark)
     resources = warehouse.bootstrap(spark, project, location)
-    warehouse.save_rows(spark, fx.raw_events(spark, sf_dir), resources["raw_events"])
+    warehouse.save_rows(spark, raw_events(spark, sf_dir), resources["raw_events"])
     for name in fx.NETWORKS:
-        warehouse.save_rows(spark, fx.network_costs(spark, sf_dir, name), resources[f"{name}_ad_costs"])
+        warehouse.save_rows(spark, network_costs(spark, sf_dir, name), resources[f"{name}_ad_costs"])
     again = warehouse.bootstrap(spark, project, location)
     tables = [name for name in again if name != "database"]
     counts = [
@@ -255,7 +290,7 @@ def partition_guard(spark, sf_dir):
 def excluded_referrers(spark, sf_dir):
     """Events per excluded referrer, with the excluded list read from the project's view."""
     resources = warehouse.bootstrap(spark, *_project(spark), excluded_referrers_query=fx.EXCLUDED_QUERY)
-    flagged = referrers.with_referrer(fx.raw_events(spark, sf_dir), spark.table(resources["excluded_referrers"]))
+    flagged = referrers.with_referrer(raw_events(spark, sf_dir), spark.table(resources["excluded_referrers"]))
     return flagged.where("referrer_excluded").groupBy("referrer_host").agg(F.count(F.lit(1)).alias("events"))
 
 
@@ -300,7 +335,7 @@ def materialize_empty(spark, sf_dir):
 @query
 def config_enriched(spark, sf_dir):
     """Events of all projects with their project's settings."""
-    events = fx.as_raw_events(fx.staged_events(spark, sf_dir)).withColumn(
+    events = raw_events(spark, sf_dir).withColumn(
         "project_id", F.substring_index(F.get("user_external_ids", F.lit(0))["value"], "u", -1).cast("bigint") % 5
     )
     enriched = configs.config_enriched(events, fx.project_configs(spark, sf_dir))
@@ -320,7 +355,7 @@ def job_last_run(spark, sf_dir):
 # ---- costs ----
 
 def _network(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return costs.update_network_costs(fx.network_costs(spark, sf_dir, name), name)
+    return costs.update_network_costs(network_costs(spark, sf_dir, name), name)
 
 
 def _flat_costs(df: DataFrame) -> DataFrame:
@@ -333,7 +368,7 @@ def _flat_costs(df: DataFrame) -> DataFrame:
 @query
 def scan_network_costs(spark, sf_dir):
     """All snapshots of all networks."""
-    networks = [(name, fx.network_costs(spark, sf_dir, name)) for name in fx.NETWORKS]
+    networks = [(name, network_costs(spark, sf_dir, name)) for name in fx.NETWORKS]
     return costs.scan_network_costs(*networks).select(
         "network", "inserted_at", _day(), "ad_account_id", "ad_id", "keyword", "adset_id", "cost"
     )
@@ -390,19 +425,19 @@ def check_costs_without_visits(spark, sf_dir):
 @query
 def identity_components(spark, sf_dir):
     """Every identifier with its profile."""
-    return identity.identity_components(fx.raw_events(spark, sf_dir))
+    return identity.identity_components(raw_events(spark, sf_dir))
 
 
 @query
 def identity_with_contacts(spark, sf_dir):
     """Every identifier, also e-mail addresses and phone numbers, with its profile."""
-    return identity.identity_components(fx.raw_events(spark, sf_dir), use_contacts=True)
+    return identity.identity_components(raw_events(spark, sf_dir), use_contacts=True)
 
 
 @query
 def identified_events(spark, sf_dir):
     """Events with the profile of their visitor."""
-    identified = identity.identify_events(fx.raw_events(spark, sf_dir), inserted_at=F.lit(1))
+    identified = identity.identify_events(raw_events(spark, sf_dir), inserted_at=F.lit(1))
     return identified.select("event_id", _day(), "event_name", "profile_id", "inserted_at")
 
 
@@ -410,7 +445,7 @@ def identified_events(spark, sf_dir):
 
 def _attributed(spark: SparkSession, sf_dir: str, *arguments) -> DataFrame:
     return attribution.attribute_events(
-        fx.profiled_events(spark, sf_dir), *arguments, excluded=fx.excluded_referrers(spark)
+        profiled_events(spark, sf_dir), *arguments, excluded=fx.excluded_referrers(spark)
     )
 
 
@@ -459,7 +494,7 @@ def attribution_position(spark, sf_dir):
 @query
 def attribution_by_profile(spark, sf_dir):
     """Purchases with the latest touch of their resolved profile."""
-    identified = identity.identify_events(fx.raw_events(spark, sf_dir), inserted_at=F.lit(1))
+    identified = identity.identify_events(raw_events(spark, sf_dir), inserted_at=F.lit(1))
     return _per_conversion(
         attribution.attribute_events(identified, "purchase", excluded=fx.excluded_referrers(spark))
     )
@@ -468,7 +503,7 @@ def attribution_by_profile(spark, sf_dir):
 @query
 def check_unattributed_share(spark, sf_dir):
     """Unattributed share of purchases and signups per day, without ignored events."""
-    kept = checks.drop_ignored(fx.profiled_events(spark, sf_dir), IGNORED[:2])
+    kept = checks.drop_ignored(profiled_events(spark, sf_dir), IGNORED[:2])
     attributed = attribution.attribute_events(kept, ("purchase", "signup"), excluded=fx.excluded_referrers(spark))
     shares = checks.check_unattributed_share(attributed)
     return shares.withColumn("date", F.col("date").cast("string"))
@@ -477,7 +512,7 @@ def check_unattributed_share(spark, sf_dir):
 @query
 def ignored_events(spark, sf_dir):
     """Events that no ignore filter matches."""
-    return checks.drop_ignored(fx.raw_events(spark, sf_dir), IGNORED).select("event_id", "event_name")
+    return checks.drop_ignored(raw_events(spark, sf_dir), IGNORED).select("event_id", "event_name")
 
 
 @query
@@ -492,7 +527,7 @@ def campaign_performance(spark, sf_dir):
 @query
 def param_lookup(spark, sf_dir):
     """First value of a parameter, by type, and lookups in the string lists."""
-    return fx.raw_events(spark, sf_dir).select(
+    return raw_events(spark, sf_dir).select(
         "event_id",
         param("event_params", "k", "int_value").alias("k"),
         param("event_params", "value", "double_value").alias("value"),
@@ -506,31 +541,31 @@ def param_lookup(spark, sf_dir):
 @query
 def external_ids(spark, sf_dir):
     """One row per external id."""
-    return flatten.external_ids(fx.raw_events(spark, sf_dir))
+    return flatten.external_ids(raw_events(spark, sf_dir))
 
 
 @query
 def ad_data_flat(spark, sf_dir):
     """One row per network, key and value."""
-    return flatten.ad_data_flat(fx.raw_events(spark, sf_dir))
+    return flatten.ad_data_flat(raw_events(spark, sf_dir))
 
 
 @query
 def product_lines(spark, sf_dir):
     """One row per product with its net value."""
-    return flatten.product_lines(fx.raw_events(spark, sf_dir))
+    return flatten.product_lines(raw_events(spark, sf_dir))
 
 
 @query
 def offer_lines(spark, sf_dir):
     """One row per offer with its net value."""
-    return flatten.offer_lines(fx.raw_events(spark, sf_dir))
+    return flatten.offer_lines(raw_events(spark, sf_dir))
 
 
 @query
 def url_parts(spark, sf_dir):
     """Host, path and parameters of landing pages."""
-    events = fx.raw_events(spark, sf_dir).select("event_id", referrers.landing_url().alias("landing_page_url"))
+    events = raw_events(spark, sf_dir).select("event_id", referrers.landing_url().alias("landing_page_url"))
     pairs = F.transform("url_params", lambda p: F.concat_ws("=", p["key"], p["value"]["string_value"]))
     return flatten.url_parts(events, "landing_page_url").select(
         "event_id", "landing_hostname", "landing_page_path", F.array_join(pairs, "&").alias("params")
@@ -540,7 +575,7 @@ def url_parts(spark, sf_dir):
 @query
 def external_referrals(spark, sf_dir):
     """Events that came from another, not excluded site."""
-    return referrers.external_referrals(fx.raw_events(spark, sf_dir), fx.excluded_referrers(spark)).select(
+    return referrers.external_referrals(raw_events(spark, sf_dir), fx.excluded_referrers(spark)).select(
         "event_id", "referrer_host"
     )
 
@@ -548,13 +583,13 @@ def external_referrals(spark, sf_dir):
 @query
 def real_events(spark, sf_dir):
     """Events that are not tests."""
-    return quality.real_events(fx.raw_events(spark, sf_dir)).select("event_id", "event_name")
+    return quality.real_events(raw_events(spark, sf_dir)).select("event_id", "event_name")
 
 
 @query
 def local_dates(spark, sf_dir):
     """Local date by the device's offset."""
-    return quality.local_dates(fx.raw_events(spark, sf_dir)).select(
+    return quality.local_dates(raw_events(spark, sf_dir)).select(
         "event_id", _day(), _day("local_date"), "date_differs"
     )
 
@@ -562,7 +597,7 @@ def local_dates(spark, sf_dir):
 @query
 def local_dates_in_zone(spark, sf_dir):
     """Local date in the project's time zone."""
-    return quality.local_dates(fx.raw_events(spark, sf_dir), "Asia/Tokyo").select(
+    return quality.local_dates(raw_events(spark, sf_dir), "Asia/Tokyo").select(
         "event_id", _day(), _day("local_date"), "date_differs"
     )
 
@@ -570,13 +605,13 @@ def local_dates_in_zone(spark, sf_dir):
 @query
 def variant_slot_violations(spark, sf_dir):
     """Typed values with more than one slot set."""
-    return quality.variant_slot_violations(fx.raw_events(spark, sf_dir)).withColumn(
+    return quality.variant_slot_violations(raw_events(spark, sf_dir)).withColumn(
         "slots_set", F.col("slots_set").cast("bigint")
     )
 
 
 def _state(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return commerce.latest_state(fx.raw_events(spark, sf_dir), entity).select(
+    return commerce.latest_state(raw_events(spark, sf_dir), entity).select(
         "id", "status", "value", "paid_value", "refund_value", "currency", "state_event_id"
     )
 
@@ -596,22 +631,22 @@ def deal_state(spark, sf_dir):
 @query
 def deal_balance(spark, sf_dir):
     """Paid, refunded and net value of the latest deals per currency."""
-    return commerce.balance_by_currency(commerce.latest_state(fx.raw_events(spark, sf_dir), "deal"))
+    return commerce.balance_by_currency(commerce.latest_state(raw_events(spark, sf_dir), "deal"))
 
 
 @query
 def transaction_links(spark, sf_dir):
     """Transactions with the state of their order and deal."""
-    return commerce.transaction_links(fx.raw_events(spark, sf_dir))
+    return commerce.transaction_links(raw_events(spark, sf_dir))
 
 
 @query
 def geo_rollup(spark, sf_dir):
     """Events and profiles per place with subtotals."""
-    return rollups.geo_rollup(fx.profiled_events(spark, sf_dir))
+    return rollups.geo_rollup(profiled_events(spark, sf_dir))
 
 
 @query
 def device_cube(spark, sf_dir):
     """Events and profiles per combination of device properties."""
-    return rollups.device_cube(fx.profiled_events(spark, sf_dir))
+    return rollups.device_cube(profiled_events(spark, sf_dir))

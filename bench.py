@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
-``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores. ``detail`` adds, per query, the result rows and the
-shuffle and spill bytes of its Spark stages. The topic files are written before the clock starts.
+``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores. ``detail`` adds, per query, the shuffle and spill
+bytes of its Spark stages. The derived tables are written before the clock starts.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from beaconlake import reports  # noqa: E402
+from beaconlake import fixtures, reports  # noqa: E402
 from beaconlake.session import configure  # noqa: E402
 
 HEADLINE = (
@@ -44,7 +44,10 @@ HEADLINE = (
 
 
 def stage_totals(spark: SparkSession) -> dict[str, int]:
-    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None)
+    gateway = spark.sparkContext._gateway
+    no_quantiles = gateway.new_array(gateway.jvm.double, 0)
+    no_statuses = gateway.jvm.java.util.ArrayList()
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, no_quantiles, no_statuses)
     totals = {"shuffle_write_bytes": 0, "spill_bytes": 0}
     for i in range(stages.size()):
         stage = stages.apply(i)
@@ -69,8 +72,10 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
     names = sys.argv[1:] or HEADLINE
-    reports.QUERIES["real_events"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    reports.raw_events(spark, sf_dir)
     reports.topic_path(spark, sf_dir)
+    for network in fixtures.NETWORKS:
+        reports.network_costs(spark, sf_dir, network)
     seconds, detail = {}, {}
     for name in names:
         before = stage_totals(spark)

@@ -139,7 +139,8 @@ def test_dedupe_keeps_the_first_copy(make_events, limit):
     rows += [{"event_id": "e0", "timestamp": 11 + i, "event_name": "copy"} for i in range(15)]
     rows += [{"event_id": "e1", "timestamp": 10, "event_name": "first"} for _ in range(9)]
     rows += [{"event_id": None, "timestamp": 1, "event_name": "no id"} for _ in range(3)]
-    found = quality.dedupe_events(make_events(rows), max_group_rows=limit)
+    broadcast_rows = 100 if limit > 5 else 0
+    found = quality.dedupe_events(make_events(rows), max_group_rows=limit, max_broadcast_rows=broadcast_rows)
     wanted = [("first", f"e{i}", 10) for i in range(20)] + [("no id", None, 1)] * 3
     assert as_tuples(found, "event_name", "event_id", "timestamp") == sorted(wanted, key=lambda t: tuple(map(str, t)))
 
@@ -149,8 +150,10 @@ def test_newest_snapshot_of_a_busy_account(spark):
     rows += [(1, "2024-01-01", None, "nobody", 1.0), (7, "2024-01-02", "busy", "next", 1.0)]
     network = spark.createDataFrame(rows, "inserted_at bigint, date string, ad_account_id string, ad_id string, cost double")
     network = network.withColumn("date", F.to_date("date"))
-    for limit in (1_000_000, 10):
-        current = costs.update_network_costs(network, "tiktok_ads", max_group_rows=limit)
+    for limit, broadcast_rows in ((1_000_000, 100), (1_000_000, 0), (10, 0)):
+        current = costs.update_network_costs(
+            network, "tiktok_ads", max_group_rows=limit, max_broadcast_rows=broadcast_rows
+        )
         assert current.count() == 32
         assert {r["data_source"] for r in current.collect()} == {"tiktok_ads"}
 
