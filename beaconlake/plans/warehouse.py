@@ -146,8 +146,11 @@ def save_rows(
 def gathered(df: DataFrame, *partition_by: str) -> DataFrame:
     """Rows of a partition brought together before a write, so that there are few files.
 
-    Spark sizes the result at run time: small partitions share a task and a large one is split over several.
+    Spark sizes the result at run time: small partitions share a task and a large one is split over several. Without
+    adaptive execution it could not split them, so the rows are then left where they are.
     """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return df
     return df.hint("rebalance", *[F.col(f"`{name}`") for name in partition_by])
 
 
