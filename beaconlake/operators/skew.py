@@ -126,6 +126,8 @@ def running(
     if heavy is None:
         return compute(df, up_to_here(*keys))
 
+    # Read by both parts, and once more to sample the range bounds.
+    df = df.checkpoint()
     heavy_only = F.broadcast(heavy.select(*keys))
     ordinary = compute(df.join(heavy_only, list(keys), "left_anti"), up_to_here(*keys))
 

@@ -27,28 +27,36 @@ class JobError(Exception):
 
 
 def log_run(spark: SparkSession, path: str, job: str, project_id: int, fn: Callable[[], object]) -> object:
-    """Run ``fn`` and append one row about it to the log, also when it fails. The failure is raised again."""
+    """Run ``fn`` and append a row to the log before and after, also when it fails. The failure is raised again."""
     started = int(time.time() * 1000)
-    status, error_type, message = "success", None, None
+
+    def append(ended: int | None, status: str, error_type: str | None = None, message: str | None = None) -> None:
+        row = (job, project_id, started, ended, status, error_type, message)
+        spark.createDataFrame([row], RUN_LOG).write.mode("append").parquet(path)
+
+    append(None, "running")
     try:
-        return fn()
+        result = fn()
     except Exception as error:
-        status = "error"
         error_type = error.error_type if isinstance(error, JobError) else "UNRECOGNIZED_ERROR"
-        message = str(error)
+        append(int(time.time() * 1000), "error", error_type, str(error))
         raise
-    finally:
-        row = (job, project_id, started, int(time.time() * 1000), status, error_type, message)
-        spark.createDataFrame([row], RUN_LOG).write.mode("append").parquet(path)
+    append(int(time.time() * 1000), "success")
+    return result
 
 
 def last_run(log: DataFrame) -> DataFrame:
-    """Per job and project: start of the last successful run (0 if none), and the state and error of the last run."""
+    """Per job and project: start of the last successful run (0 if none), and the state and error of the last run.
+
+    A run that has no row with its end is still running.
+    """
+    latest = F.struct("started_ms", "ended_ms", "status")
     return log.groupBy("job", "project_id").agg(
         F.coalesce(F.max(F.when(F.col("status") == "success", F.col("started_ms"))), F.lit(0)).alias("last_run"),
-        F.max_by("status", F.struct("started_ms", "ended_ms", "status")).alias("last_status"),
-        F.max_by("error_type", F.struct("started_ms", "ended_ms", "status")).alias("last_error_type"),
-        F.count(F.lit(1)).alias("runs"),
+        F.max_by("status", latest).alias("last_status"),
+        (F.max_by("status", latest) == "running").alias("is_running"),
+        F.max_by("error_type", latest).alias("last_error_type"),
+        F.count_if(F.col("status") != "running").alias("runs"),
     )
 
 

@@ -7,30 +7,48 @@ from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
 
-from beaconlake.plans.warehouse import EXPIRATION_MS
+from beaconlake.plans.warehouse import EXPIRATION_MS, PARTITION_TIME, table_properties
+
+# Partition values of the four units, by length.
+FORMATS = {4: "%Y", 7: "%Y-%m", 10: "%Y-%m-%d", 13: "%Y-%m-%d-%H"}
+
+
+def _end(value: str) -> datetime | None:
+    """End of the time a partition value stands for; None for a null or foreign value."""
+    if len(value) not in FORMATS or not re.fullmatch(r"[0-9-]+", value):
+        return None
+    start = datetime.strptime(value, FORMATS[len(value)])
+    if len(value) == 4:
+        return start.replace(year=start.year + 1)
+    if len(value) == 7:
+        return (start + timedelta(days=31)).replace(day=1)
+    return start + (timedelta(days=1) if len(value) == 10 else timedelta(hours=1))
 
 
 def expire_partitions(
-    spark: SparkSession, table: str, today: date, expiration_ms: int | None = None
+    spark: SparkSession, table: str, now: date | datetime, expiration_ms: int | None = None
 ) -> list[str]:
-    """Drop the days of a table that are older than its expiry and return the dropped partitions.
+    """Drop the partitions of a table that ended longer ago than its expiry and return them.
 
-    Only partition names are listed; each old one is dropped by equality.
+    Only partition names are listed, one per hour, day, month or year; the old ones go in one statement, by equality.
     """
-    properties = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     if expiration_ms is None:
+        properties = table_properties(spark, table)
         if EXPIRATION_MS not in properties:
             return []
         expiration_ms = int(properties[EXPIRATION_MS])
-    oldest = today - timedelta(milliseconds=expiration_ms)
-    dropped = []
+    if not isinstance(now, datetime):
+        now = datetime(now.year, now.month, now.day)
+    oldest = now - timedelta(milliseconds=expiration_ms)
+    dropped, specs = [], []
     for (name,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
         values = dict(part.split("=", 1) for part in name.split("/"))
-        day = values.get("date", "")
-        if re.fullmatch(r"\d{4}-\d{2}-\d{2}", day) and date.fromisoformat(day) < oldest:
-            spec = ", ".join(f"`{k}` = '{v}'" for k, v in values.items())
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec}) PURGE")
+        end = _end(values.get(PARTITION_TIME, values.get("date", "")))
+        if end is not None and end <= oldest:
             dropped.append(name)
+            specs.append("PARTITION (" + ", ".join(f"`{k}` = '{v}'" for k, v in values.items()) + ")")
+    if specs:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)} PURGE")
     return dropped
 
 
@@ -43,10 +61,12 @@ def expire_tables(spark: SparkSession, database: str, now: datetime | None = Non
         return []
     limit = now - timedelta(milliseconds=int(found.group(1)))
     dropped = []
-    for (name,) in [(t.name,) for t in spark.catalog.listTables(database) if t.tableType != "VIEW" and not t.isTemporary]:
-        details = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED `{database}`.`{name}`").collect()}
+    for table in spark.catalog.listTables(database):
+        if table.tableType == "VIEW" or table.isTemporary:
+            continue
+        details = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED `{database}`.`{table.name}`").collect()}
         created = datetime.strptime(re.sub(r" [A-Z]{3,4} ", " ", details["Created Time"]), "%a %b %d %H:%M:%S %Y")
         if created.replace(tzinfo=timezone.utc) < limit:
-            spark.sql(f"DROP TABLE `{database}`.`{name}`")
-            dropped.append(name)
+            spark.sql(f"DROP TABLE `{database}`.`{table.name}`")
+            dropped.append(table.name)
     return dropped

@@ -14,7 +14,12 @@ from beaconlake import contracts
 PARTITIONS = {"ad_costs": ("date", "data_source")}
 PARTITION_UNITS = ("HOUR", "DAY", "MONTH", "YEAR")
 REQUIRE_FILTER = "require_partition_filter"
+CLUSTERING = "clustering"
 EXPIRATION_MS = "partition_expiration_ms"
+PARTITION_UNIT = "partition_unit"
+PARTITION_FIELD = "partition_field"
+# Partition column of tables that are not partitioned by day.
+PARTITION_TIME = "partition_time"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -65,8 +70,16 @@ def create_table(
     expiration_ms: int | None = None,
     require_partition_filter: bool | None = None,
     clustering: tuple[str, ...] = (),
+    unit: str = "DAY",
+    unit_field: str = "timestamp",
 ) -> None:
-    """Create a partitioned Parquet table if it is absent; a table that exists is left as it is."""
+    """Create a partitioned Parquet table if it is absent; a table that exists is left as it is.
+
+    With a ``unit`` of HOUR, MONTH or YEAR the table is partitioned by that part of an event time in milliseconds, in
+    an added column ``partition_time`` that ``save_rows`` fills.
+    """
+    if unit not in PARTITION_UNITS:
+        raise ValueError(f"unit must be one of {PARTITION_UNITS}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     properties: dict[str, object] = dict(labels or {})
     if expiration_ms is not None:
@@ -74,7 +87,11 @@ def create_table(
     if require_partition_filter is not None:
         properties[REQUIRE_FILTER] = str(require_partition_filter).lower()
     if clustering:
-        properties["clustering"] = ",".join(clustering)
+        properties[CLUSTERING] = ",".join(clustering)
+    if unit != "DAY":
+        columns += f", `{PARTITION_TIME}` STRING"
+        partition_by = (PARTITION_TIME,)
+        properties[PARTITION_UNIT], properties[PARTITION_FIELD] = unit, unit_field
     statement = f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({columns}) USING parquet"
     if partition_by:
         statement += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
@@ -123,10 +140,20 @@ def bootstrap(
     return resources
 
 
-def save_rows(
-    spark: SparkSession, df: DataFrame, table: str, overwrite: bool = False, clustering: tuple[str, ...] = ()
-) -> None:
-    """Insert rows into a table by column name; ``overwrite`` replaces the partitions the rows fall into."""
+def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def save_rows(spark: SparkSession, df: DataFrame, table: str, overwrite: bool = False) -> None:
+    """Insert rows into a table by column name; ``overwrite`` replaces the partitions the rows fall into.
+
+    The rows are put in the table's clustering order, if it has one.
+    """
+    properties = table_properties(spark, table)
+    clustering = tuple(name for name in properties.get(CLUSTERING, "").split(",") if name)
+    if PARTITION_UNIT in properties:
+        time = F.col(properties[PARTITION_FIELD])
+        df = df.withColumn(PARTITION_TIME, partition_unit(properties[PARTITION_UNIT], time))
     target = spark.table(table).schema.names
     ordered = df.select(*[F.col(f"`{name}`") for name in target])
     partition = tuple(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
@@ -173,15 +200,15 @@ def partition_unit(unit: str, timestamp_ms: Column) -> Column:
 
 def write_by_unit(df: DataFrame, path: str, unit: str, timestamp_ms: str = "timestamp") -> None:
     """Write a table partitioned by the hour, day, month or year of its event time."""
-    timed = df.withColumn("partition_time", partition_unit(unit, F.col(timestamp_ms)))
-    gathered(timed, "partition_time").write.mode("overwrite").partitionBy("partition_time").parquet(path)
+    timed = df.withColumn(PARTITION_TIME, partition_unit(unit, F.col(timestamp_ms)))
+    gathered(timed, PARTITION_TIME).write.mode("overwrite").partitionBy(PARTITION_TIME).parquet(path)
 
 
 def read_table(
     spark: SparkSession, table: str, date_from: date | None = None, date_to: date | None = None
 ) -> DataFrame:
     """Rows of a table between two dates, both included. A table that requires a partition filter needs a bound."""
-    properties = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    properties = table_properties(spark, table)
     if properties.get(REQUIRE_FILTER) == "true" and date_from is None and date_to is None:
         raise ValueError(f"{table} needs a bound on its partition column")
     rows = spark.table(table)

@@ -263,9 +263,11 @@ def _dated_table(spark: SparkSession, sf_dir: str, **options) -> str:
     project, location = _project(spark)
     database = warehouse.create_database(spark, project, location)
     events = fx.staged_events(spark, sf_dir).select("event_id", "event_name", "value", "date")
-    warehouse.create_table(spark, database, "events_by_day", events.schema, **options)
+    warehouse.create_table(
+        spark, database, "events_by_day", events.schema, clustering=("event_name",), **options
+    )
     name = f"{database}.events_by_day"
-    warehouse.save_rows(spark, events, name, clustering=("event_name",))
+    warehouse.save_rows(spark, events, name)
     return name
 
 

@@ -79,8 +79,8 @@ def _by_day(spark, database, days: int = 10, **options) -> str:
     df = spark.range(days * 10).select(
         F.col("id").alias("n"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % days).cast("int")).alias("date")
     )
-    warehouse.create_table(spark, database, "by_day", df.schema, **options)
-    warehouse.save_rows(spark, df, f"{database}.by_day", clustering=("n",))
+    warehouse.create_table(spark, database, "by_day", df.schema, clustering=("n",), **options)
+    warehouse.save_rows(spark, df, f"{database}.by_day")
     return f"{database}.by_day"
 
 
@@ -102,6 +102,21 @@ def test_partitions_expire(spark, database):
     assert retention.expire_partitions(spark, name, date(2024, 1, 10)) == []
 
 
+@pytest.mark.parametrize("unit, partitions, left", [("HOUR", 50, 30), ("MONTH", 1, 1), ("YEAR", 1, 1), ("DAY", 3, 3)])
+def test_partitions_of_every_unit(spark, database, unit, partitions, left):
+    start = 1704067200000
+    df = spark.range(100).select(
+        F.col("id").alias("n"), (F.lit(start) + F.col("id") * 1_800_000).alias("timestamp"),
+    ).withColumn("date", F.timestamp_millis("timestamp").cast("date"))
+    warehouse.create_table(spark, database, "t", df.schema, unit=unit, expiration_ms=30 * 3_600_000)
+    warehouse.save_rows(spark, df, f"{database}.t")
+    assert spark.sql(f"SHOW PARTITIONS {database}.t").count() == partitions
+    assert spark.table(f"{database}.t").count() == 100
+    assert len(retention.expire_partitions(spark, f"{database}.t", datetime(2024, 1, 3, 2))) == partitions - left
+    with pytest.raises(ValueError):
+        warehouse.create_table(spark, database, "u", df.schema, unit="WEEK")
+
+
 def test_tables_expire(spark, project):
     name = warehouse.create_database(spark, *project, default_table_expiration_ms=1000)
     warehouse.create_table(spark, name, "old", contracts.schema("ad_costs"))
@@ -154,8 +169,14 @@ def test_jobs_are_found_by_exact_name(spark):
 
 def test_run_log(spark):
     path = run_path(spark, "runs")
-    assert jobs.log_run(spark, path, "job", 1, lambda: 5) == 5
+
+    def state():
+        return as_tuples(jobs.last_run(spark.read.parquet(path)), "job", "last_run", "is_running", "runs")
+
+    running = jobs.log_run(spark, path, "job", 1, state)
+    assert running == [("job", 0, True, 0)]
     started = spark.read.parquet(path).first()["started_ms"]
+    assert state() == [("job", started, False, 1)]
 
     def fail():
         raise jobs.JobError("MISSING_PROJECT_CONFIG", "none")
