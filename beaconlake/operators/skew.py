@@ -27,10 +27,8 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], max_group_rows: int = MAX_GRO
     Only the key columns are read, and the count is combined before the shuffle.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
-    heavy = counts.where(F.col("group_rows") > max_group_rows)
-    if heavy.isEmpty():
-        return None
-    return heavy.checkpoint()
+    heavy = counts.where(F.col("group_rows") > max_group_rows).checkpoint()
+    return None if heavy.isEmpty() else heavy
 
 
 

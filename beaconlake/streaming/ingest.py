@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from beaconlake.contracts import MESSAGE_RETENTION_SECONDS
 from beaconlake.operators.skew import small_lookup_join
 from beaconlake.plans.warehouse import gathered, replace_partitions
 from beaconlake.sources.messages import good_rows, parse_messages, quarantined
@@ -72,14 +73,22 @@ def ingest_events(
 
 
 def land_messages(
-    messages: DataFrame, target: str, checkpoint: str, trigger: dict = ALL_AVAILABLE
+    messages: DataFrame,
+    target: str,
+    checkpoint: str,
+    trigger: dict = ALL_AVAILABLE,
+    retention_seconds: int = MESSAGE_RETENTION_SECONDS,
 ) -> StreamingQuery:
-    """Keep the envelopes as they came, by day of publication, for replays."""
+    """Keep the envelopes as they came, by day of publication, for replays within the retention period.
+
+    Files of batches older than that leave the sink's log, so readers no longer see them.
+    """
     return (
         messages.withColumn("publish_date", F.to_date("publish_time"))
         .writeStream.format("parquet")
         .partitionBy("publish_date")
         .option("path", target)
+        .option("retention", f"{retention_seconds}s")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
