@@ -430,6 +430,12 @@ def identity_components(spark, sf_dir):
     return identity.identity_components(raw_events(spark, sf_dir))
 
 
+@query
+def identity_components_split(spark, sf_dir):
+    """As ``identity_components``, with every busy identifier joined as a heavy one."""
+    return identity.identity_components(raw_events(spark, sf_dir), max_group_rows=30)
+
+
 @query
 def identity_with_contacts(spark, sf_dir):
     """Every identifier, also e-mail addresses and phone numbers, with its profile."""
@@ -445,9 +451,9 @@ def identified_events(spark, sf_dir):
 
 # ---- attribution ----
 
-def _attributed(spark: SparkSession, sf_dir: str, *arguments) -> DataFrame:
+def _attributed(spark: SparkSession, sf_dir: str, *arguments, **options) -> DataFrame:
     return attribution.attribute_events(
-        profiled_events(spark, sf_dir), *arguments, excluded=fx.excluded_referrers(spark)
+        profiled_events(spark, sf_dir), *arguments, excluded=fx.excluded_referrers(spark), **options
     )
 
 
@@ -494,14 +500,30 @@ def attribution_position(spark, sf_dir):
 
 
 @query
-def attribution_by_profile(spark, sf_dir):
-    """Purchases with the latest touch of their resolved profile."""
+def attribution_linear_split(spark, sf_dir):
+    """As ``attribution_linear``, with the events of busy visitors spread over several tasks."""
+    return _per_touch(_attributed(spark, sf_dir, "purchase", "linear", max_group_rows=60))
+
+
+def _by_profile(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     identified = identity.identify_events(raw_events(spark, sf_dir), inserted_at=F.lit(1))
     return _per_conversion(
-        attribution.attribute_events(identified, "purchase", excluded=fx.excluded_referrers(spark))
+        attribution.attribute_events(identified, "purchase", excluded=fx.excluded_referrers(spark), **options)
     )
 
 
+@query
+def attribution_by_profile(spark, sf_dir):
+    """Purchases with the latest touch of their resolved profile."""
+    return _by_profile(spark, sf_dir)
+
+
+@query
+def attribution_by_profile_split(spark, sf_dir):
+    """As ``attribution_by_profile``, with the events of busy profiles spread over several tasks."""
+    return _by_profile(spark, sf_dir, max_group_rows=1000)
+
+
 @query
 def check_unattributed_share(spark, sf_dir):
     """Unattributed share of purchases and signups per day, without ignored events."""

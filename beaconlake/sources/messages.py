@@ -51,8 +51,9 @@ def parse_messages(
         known = F.struct(*[F.col(f"row.`{f.name}`") for f in schema.fields])
         complete = F.regexp_count("data", F.lit(NAME_END)) == F.regexp_count(F.to_json(known), F.lit(NAME_END))
         unknown = F.when(~complete, F.array_join(unknown_fields(F.col("data"), schema), ", "))
-        reasons.append(F.when(unknown != "", F.concat(F.lit("unknown fields: "), unknown)))
-    return parsed.withColumn("reason", F.coalesce(*reasons))
+        parsed = parsed.select("*", F.explode(F.array(unknown)).alias("_unknown"))
+        reasons.append(F.when(F.col("_unknown") != "", F.concat(F.lit("unknown fields: "), "_unknown")))
+    return parsed.withColumn("reason", F.coalesce(*reasons)).drop("_unknown")
 
 
 def good_rows(parsed: DataFrame, schema: StructType) -> DataFrame:
