@@ -28,8 +28,8 @@ def update_network_costs(
     """Newest snapshot of each account and day of a network's costs, in the common contract.
 
     The snapshots and their sizes are one aggregation; the rows of the newest ones are then kept by a semi join, so an
-    account with most of the rows is never brought into one task. Columns the network does not have are null, and the keyword of a
-    search network fills a missing term.
+    account with most of the rows is never brought into one task. Columns the network does not have are null, and the
+    keyword of a search network fills a missing term.
     """
     if data_source not in RENAMED:
         raise ValueError(f"data_source must be one of {sorted(RENAMED)}")

@@ -194,7 +194,9 @@ def extend_profiles(profiles: DataFrame, new_edges: DataFrame) -> tuple[DataFram
         F.greatest("larger", "smaller").alias("larger"), F.least("larger", "smaller").alias("smaller")
     ).distinct()
     moved = components(contracted).withColumnRenamed("profile_id", "_new").checkpoint()
-    aliases = moved.where("node <> _new").select(F.col("node").alias("old_profile_id"), F.col("_new").alias("profile_id"))
+    aliases = moved.where("node <> _new").select(
+        F.col("node").alias("old_profile_id"), F.col("_new").alias("profile_id")
+    )
     renamed = lookup_join(profiles.withColumnRenamed("node", "_node").withColumnRenamed("profile_id", "node"),
                           moved, ["node"])
     old = renamed.select(F.col("_node").alias("node"), F.coalesce("_new", "node").alias("profile_id"))

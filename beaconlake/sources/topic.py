@@ -39,7 +39,7 @@ def read_topic_files(spark: SparkSession, path: str, files_per_trigger: int | No
 
 
 def envelopes(topic_rows: DataFrame, subscription: str) -> DataFrame:
-    """Topic rows as message envelopes; the message headers become a JSON object of attributes, the last of a name wins."""
+    """Topic rows as message envelopes; headers become a JSON object of attributes, and the last of a name wins."""
     last_of_name = F.filter(
         "headers",
         lambda h, i: ~F.exists(

@@ -339,7 +339,9 @@ def _contracts() -> str:
     for line in PATHS.strip().splitlines():
         path, kind, rule = line.split("|")
         condition = {"all": "true", "": "false"}.get(rule, rule)
-        counts.append(f"select '{path}' as path, '{kind}' as type, count(*) filter (where {condition}) as rows_set from fx")
+        counts.append(
+            f"select '{path}' as path, '{kind}' as type, count(*) filter (where {condition}) as rows_set from fx"
+        )
     return STAGED + " union all ".join(counts)
 
 
@@ -363,7 +365,7 @@ ORACLES: dict[str, str] = {
 select event_id, date, timestamp, event_name, avid,
        3 + cast(referrer_url is not null as bigint) as params,
        case when event_name = 'purchase' then eid % 4 else 0 end as product_lines,
-       case when event_name in ('click', 'view') then case when eid % 3 = 0 then 2::bigint else 1 end else 0 end as ad_networks,
+       case when event_name not in ('click', 'view') then 0 when eid % 3 = 0 then 2::bigint else 1 end as ad_networks,
        case when event_name = 'purchase' then value else 0 end as order_value,
        eid % 50 = 0 as is_test
 from fate where reason is null
@@ -588,7 +590,8 @@ local as (select *, cast(cast(make_timestamp((timestamp + (user_id % 5 - 2) * 14
 select event_id, date, local_date, local_date <> date as date_differs from local
 """,
     "local_dates_in_zone": STAGED + """,
-local as (select *, cast(cast(make_timestamp((timestamp + 9 * 3600000) * 1000) as date) as varchar) as local_date from fx)
+local as (select *, cast(cast(make_timestamp((timestamp + 9 * 3600000) * 1000) as date) as varchar) as local_date
+          from fx)
 select event_id, date, local_date, local_date <> date as date_differs from local
 """,
     "variant_slot_violations": STAGED + """

@@ -67,7 +67,8 @@ def test_events_without_identifiers_and_empty_input(spark, make_events):
 
 
 def test_an_identifier_shared_by_many(make_events):
-    events = make_events([_event(str(i), f"v{i:04d}", "shared") for i in range(1001)] + [_event("last", "v0000", "own")])
+    shared = [_event(str(i), f"v{i:04d}", "shared") for i in range(1001)]
+    events = make_events([*shared, _event("last", "v0000", "own")])
     everyone = identity.identify_events(events, max_group_rows=300)
     assert everyone.select("profile_id").distinct().count() == 1
     capped = identity.identify_events(events, max_degree=1000)

@@ -83,7 +83,8 @@ def test_unknown_fields_refused(spark, changes, reason):
 
 def test_schema_is_an_argument(spark):
     own = StructType.fromDDL("event_id string, `date` date, note string")
-    rows = spark.createDataFrame([('{"event_id":"1","date":"2024-01-01","note":"n"}', "{}")], "data string, attributes string")
+    text = '{"event_id":"1","date":"2024-01-01","note":"n"}'
+    rows = spark.createDataFrame([(text, "{}")], "data string, attributes string")
     assert messages.good_rows(messages.parse_messages(rows, own), own).first()["note"] == "n"
 
 
@@ -125,7 +126,8 @@ def _stored(spark, tmp_path):
 
 def test_several_batches_equal_one_and_a_restart_adds_nothing(spark, tmp_path, stream):
     path = str(tmp_path / "topic")
-    _topic(spark, path, [(i, _event(i, 1 + i % 3), "a") for i in range(20)] + [(20, "bad", "a"), (21, _event(0), "a")], 4)
+    sent = [(i, _event(i, 1 + i % 3), "a") for i in range(20)] + [(20, "bad", "a"), (21, _event(0), "a")]
+    _topic(spark, path, sent, 4)
     _start(stream, tmp_path)
     first = _stored(spark, tmp_path)
     assert len(first) == 21

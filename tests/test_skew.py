@@ -148,7 +148,8 @@ def test_dedupe_keeps_the_first_copy(make_events, limit):
 def test_newest_snapshot_of_a_busy_account(spark):
     rows = [(s, "2024-01-01", "busy", f"ad{i}", float(i)) for i in range(30) for s in (1, 2)]
     rows += [(1, "2024-01-01", None, "nobody", 1.0), (7, "2024-01-02", "busy", "next", 1.0)]
-    network = spark.createDataFrame(rows, "inserted_at bigint, date string, ad_account_id string, ad_id string, cost double")
+    columns = "inserted_at bigint, date string, ad_account_id string, ad_id string, cost double"
+    network = spark.createDataFrame(rows, columns)
     network = network.withColumn("date", F.to_date("date"))
     for limit, broadcast_rows in ((1_000_000, 100), (1_000_000, 0), (10, 0)):
         current = costs.update_network_costs(

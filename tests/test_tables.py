@@ -51,7 +51,9 @@ def test_a_table_that_exists_is_left_as_it_is(spark, database):
 
 
 def test_database_and_table_descriptions(spark, project):
-    name = warehouse.create_database(spark, *project, description="it's", default_table_expiration_ms=5, labels={"a": "b"})
+    name = warehouse.create_database(
+        spark, *project, description="it's", default_table_expiration_ms=5, labels={"a": "b"}
+    )
     described = {r[0]: r[1] for r in spark.sql(f"DESCRIBE DATABASE EXTENDED `{name}`").collect()}
     assert described["Comment"] == "it's"
     assert "default_table_expiration_ms" in described["Properties"]
@@ -72,12 +74,15 @@ def test_overwriting_replaces_only_its_own_partitions(spark, database):
         warehouse.save_rows(spark, rows(source, day, cost), name, overwrite=True)
     for _ in range(2):
         warehouse.save_rows(spark, rows("a", "2024-01-01", 9.0).limit(1), name, overwrite=True)
-    assert as_tuples(spark.table(name), "data_source", "cost") == [("a", 3.0), ("a", 3.0), ("a", 9.0), ("b", 2.0), ("b", 2.0)]
+    assert as_tuples(spark.table(name), "data_source", "cost") == [
+        ("a", 3.0), ("a", 3.0), ("a", 9.0), ("b", 2.0), ("b", 2.0)
+    ]
 
 
 def _by_day(spark, database, days: int = 10, **options) -> str:
     df = spark.range(days * 10).select(
-        F.col("id").alias("n"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % days).cast("int")).alias("date")
+        F.col("id").alias("n"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % days).cast("int")).alias("date"),
     )
     warehouse.create_table(spark, database, "by_day", df.schema, clustering=("n",), **options)
     warehouse.save_rows(spark, df, f"{database}.by_day")
