@@ -52,10 +52,12 @@ def attribute_events(
         raise ValueError(f"model must be one of {MODELS}")
     names = [conversion_event] if isinstance(conversion_event, str) else list(conversion_event)
     value = F.col("`order`")["value"] if value is None else value
+    # One touch takes the whole amount as it is; only shares are exact decimals, and an amount beyond them has no share.
+    amount = value.cast("double") if model in ("last_touch", "first_touch") else value.try_cast(SHARE)
     is_conversion = F.coalesce(F.col("event_name").isin(names), F.lit(False))
     may_touch = F.coalesce(F.col("event_name").isin(list(touch_events)), F.lit(False))
     used = identified.where(F.col("event_name").isin([*names, *touch_events])).select(
-        F.col(key).alias("key"), "date", "event_name", "timestamp", "event_id", value.cast(SHARE).alias("value"),
+        F.col(key).alias("key"), "date", "event_name", "timestamp", "event_id", amount.alias("value"),
         "event_params",
     )
     # Counted before the URLs are read: an upper bound that needs the key and the event name only.

@@ -6,10 +6,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from beaconlake.contracts import schema
 from beaconlake.operators.skew import MAX_BROADCAST_ROWS, MAX_GROUP_ROWS, small_lookup_join
 
+# Holds the line of an upload that has not as many fields as its header.
+CORRUPT_LINE = "_corrupt_line"
+
 # Column names that differ between a network's table and the common one: common name -> network name.
 RENAMED = {
     "facebook_ads": {"adgroup_id": "adset_id", "adgroup_name": "adset_name"},
@@ -66,11 +70,27 @@ def scan_network_costs(*networks: tuple[str, DataFrame]) -> DataFrame:
 def check_manual_costs(uploaded: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
     """Split uploaded rows of text into (good rows of the common contract, bad rows with a reason).
 
-    A row is bad when a typed field does not parse, when it has no date or cost, or when a figure is negative.
+    A row is bad when a typed field does not parse, when it has no date or cost, when a figure is negative, when its line
+    has more or fewer fields than its header, or when it fills a column that the contract does not have. ``url_params``
+    is JSON text or, in uploads with types, the contract's own type.
     """
+    params = schema("ad_costs", prefix)["url_params"].dataType
     contract = [f for f in schema("ad_costs", prefix).fields if f.name not in ("data_source", "url_params")]
     missing = [f.name for f in contract if f.name not in uploaded.columns]
     staged = uploaded.select("*", *[F.lit(None).cast("string").alias(name) for name in missing])
+    given = "url_params" in uploaded.columns
+    as_text = given and isinstance(uploaded.schema["url_params"].dataType, StringType)
+    filled = F.coalesce(F.trim("url_params"), F.lit("")) != "" if as_text else F.lit(False)
+    if as_text:
+        url_params = F.when(filled, F.from_json("url_params", params, {"mode": "PERMISSIVE"}))
+    else:
+        url_params = F.col("url_params").cast(params) if given else F.lit(None).cast(params)
+    known = {*[f.name for f in contract], "url_params", CORRUPT_LINE}
+    unknown = [
+        F.when(F.trim(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))) != "", F.lit(f"unknown column {c}"))
+        for c in uploaded.columns if c not in known
+    ]
+    broken = [F.when(F.col(CORRUPT_LINE).isNotNull(), F.lit("not as many fields as its header"))] if CORRUPT_LINE in uploaded.columns else []
     text = {f.name: F.trim(F.col(f.name).cast("string")) for f in contract}
     parsed = {
         f.name: F.when(text[f.name] != "", text[f.name]).try_cast(f.dataType.simpleString()) for f in contract
@@ -82,16 +102,19 @@ def check_manual_costs(uploaded: DataFrame, prefix: str = "") -> tuple[DataFrame
     negative = [
         F.when(parsed[n] < 0, F.lit(f"{n} is negative")) for n in ("cost", "impressions", "reach", "clicks")
     ]
+    if as_text:
+        wrong.append(F.when(filled & F.from_json("url_params", params).isNull(), F.lit("url_params does not parse")))
     checked = staged.select(
+        url_params.alias("_url_params"),
         *[parsed[f.name].alias(f"_{f.name}") for f in contract],
         F.struct(*[F.col(c) for c in uploaded.columns]).alias("_row"),
-        F.concat_ws("; ", F.array_compact(F.array(*wrong, *required, *negative))).alias("_reason"),
+        F.concat_ws("; ", F.array_compact(F.array(*wrong, *required, *negative, *unknown, *broken))).alias("_reason"),
     )
     good = checked.where("_reason = ''").select(
         *[
             (
                 F.lit("manual") if f.name == "data_source"
-                else F.array().cast(f.dataType) if f.name == "url_params"
+                else F.coalesce("_url_params", F.array().cast(f.dataType)) if f.name == "url_params"
                 else F.col(f"_{f.name}")
             ).alias(f.name)
             for f in schema("ad_costs", prefix).fields
@@ -101,13 +124,24 @@ def check_manual_costs(uploaded: DataFrame, prefix: str = "") -> tuple[DataFrame
     return good, bad
 
 
-def load_manual_costs(spark: SparkSession, path: str, prefix: str = "") -> tuple[DataFrame, DataFrame]:
-    """Read a CSV upload with a header, or a Parquet one, and split it into (good, bad)."""
-    if path.endswith(".parquet"):
-        uploaded = spark.read.parquet(path)
-    else:
-        uploaded = spark.read.csv(path, header=True, inferSchema=False)
-    return check_manual_costs(uploaded, prefix)
+def load_manual_costs(
+    spark: SparkSession, path: str, prefix: str = "", file_format: str = "csv"
+) -> tuple[DataFrame, DataFrame]:
+    """Read an upload, ``csv`` with a header in each file or ``parquet``, and split it into (good, bad).
+
+    Each CSV file's own header names its fields, so files of one upload may order their columns differently.
+    """
+    if file_format not in ("csv", "parquet"):
+        raise ValueError("file_format must be csv or parquet")
+    if file_format == "parquet":
+        return check_manual_costs(spark.read.parquet(path), prefix)
+    files = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    parts = []
+    for file in sorted(files):
+        header = spark.read.csv(file, header=True, inferSchema=False, escape='"').columns
+        fields = StructType([StructField(name, StringType()) for name in [*header, CORRUPT_LINE]])
+        parts.append(spark.read.schema(fields).csv(file, header=True, escape='"', columnNameOfCorruptRecord=CORRUPT_LINE))
+    return check_manual_costs(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), prefix)
 
 
 def unify_costs(*parts: DataFrame) -> DataFrame:

@@ -108,33 +108,12 @@ def components(edges: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFr
     return members.unionByName(centres)
 
 
-def without_crowded(nodes: DataFrame, max_degree: int) -> DataFrame:
-    """Drop identifiers linked to more than ``max_degree`` others from the node lists (shared devices, test accounts).
-
-    Degrees come from aggregations of the distinct links, and the lists are rebuilt per event, which holds few ids.
-    """
-    pairs = nodes.select(F.col("nodes"), F.explode("nodes").alias("node")).select(
-        "node", F.explode(F.col("nodes")).alias("other")
-    )
-    degrees = pairs.where("node <> other").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    crowded = degrees.where(F.col("degree") > max_degree).select("node").checkpoint()
-    exploded = nodes.select("event_id", F.explode("nodes").alias("node"))
-    kept = lookup_join(exploded, crowded, ["node"], "left_anti")
-    return kept.groupBy("event_id").agg(F.array_sort(F.collect_set("node")).alias("nodes"))
-
-
 def identity_components(
-    raw: DataFrame, avid_col: str = "avid", use_contacts: bool = False, max_degree: int | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    raw: DataFrame, avid_col: str = "avid", use_contacts: bool = False, max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Every identifier of the events with its profile, as (``node``, ``profile_id``)."""
     nodes = raw.select("event_id", event_nodes(avid_col, use_contacts).alias("nodes"))
-    return _profiles(nodes, max_degree, max_group_rows)
-
-
-def _profiles(nodes: DataFrame, max_degree: int | None, max_group_rows: int) -> DataFrame:
-    linking = nodes if max_degree is None else without_crowded(nodes, max_degree)
-    linked = components(event_edges(linking), max_group_rows).checkpoint()
+    linked = components(event_edges(nodes), max_group_rows).checkpoint()
     alone = nodes.select(F.explode("nodes").alias("node")).distinct().join(linked, "node", "left_anti")
     return linked.unionByName(alone.select("node", F.col("node").alias("profile_id")))
 
@@ -144,29 +123,16 @@ def identify_events(
     inserted_at: Column | None = None,
     avid_col: str = "avid",
     use_contacts: bool = False,
-    max_degree: int | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Raw events with ``profile_id`` and ``inserted_at``, in the column order of the identified table.
 
-    All identifiers of an event share a profile, so one of them finds it. With ``max_degree`` set, crowded identifiers
-    link nothing, and an event is looked up by an identifier that is not crowded if it has one.
+    All identifiers of an event share a profile, so one of them finds it.
     """
     inserted_at = F.unix_millis(F.current_timestamp()) if inserted_at is None else inserted_at
     with_nodes = raw.withColumn("_nodes", event_nodes(avid_col, use_contacts))
-    if max_degree is None:
-        profiles = components(
-            event_edges(with_nodes.select("event_id", F.col("_nodes").alias("nodes"))), max_group_rows
-        )
-        keyed = with_nodes.withColumn("node", F.get("_nodes", F.lit(0)))
-    else:
-        nodes = with_nodes.select("event_id", F.col("_nodes").alias("nodes"))
-        linking = without_crowded(nodes, max_degree).checkpoint()
-        profiles = components(event_edges(linking), max_group_rows)
-        first = linking.select("event_id", F.col("nodes")[0].alias("_kept"))
-        keyed = lookup_join(with_nodes, first, ["event_id"], max_group_rows=max_group_rows).withColumn(
-            "node", F.coalesce("_kept", F.get("_nodes", F.lit(0)))
-        )
+    profiles = components(event_edges(with_nodes.select("event_id", F.col("_nodes").alias("nodes"))), max_group_rows)
+    keyed = with_nodes.withColumn("node", F.get("_nodes", F.lit(0)))
     found = lookup_join(keyed, profiles, ["node"], max_group_rows=max_group_rows)
     columns = [F.col(f"`{name}`") for name in raw.columns]
     position = raw.columns.index(avid_col)

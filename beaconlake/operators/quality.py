@@ -8,6 +8,7 @@ from pyspark.sql.types import ArrayType, DataType, StructType
 
 from beaconlake.functions.params import slots_set
 from beaconlake.operators.skew import MAX_BROADCAST_ROWS, MAX_GROUP_ROWS, small_lookup_join
+from beaconlake.sources.messages import SANE_MS
 
 DAY_MS = 86_400_000
 
@@ -22,16 +23,18 @@ def dedupe_events(
     delay: str = "1 hour",
     max_group_rows: int = MAX_GROUP_ROWS,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    arrival: str | None = None,
 ) -> DataFrame:
     """First row per ``event_id``.
 
-    A stream keeps the first row to arrive within ``delay`` of the watermark, which it takes from ``timestamp``.
+    A stream keeps the first row to arrive within ``delay`` of the watermark. The watermark follows the column
+    ``arrival``, the time of publication, so that no sender's clock can move it; without one it follows ``timestamp``.
     A batch keeps the row with the smallest ``timestamp``, then the smallest row hash. It finds the repeated ids from
     the id column alone, so rows whose id is unique go through without a shuffle, as long as the repeated ids are few
     enough to broadcast. Rows without an id are not copies of each other and all stay.
     """
     if events.isStreaming:
-        timed = events.withColumn("_event_time", F.timestamp_millis("timestamp"))
+        timed = events.withColumn("_event_time", F.col(arrival) if arrival else F.timestamp_millis("timestamp"))
         return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(["event_id"]).drop("_event_time")
     keys = ["event_id"]
     copies = F.count(F.lit(1)).alias("group_rows")
@@ -55,7 +58,8 @@ def dedupe_events(
 
 
 def local_date(timestamp: Column, offset_seconds: Column) -> Column:
-    """Date at an offset from UTC, whatever the session time zone."""
+    """Date at an offset from UTC, whatever the session time zone; null for a timestamp that no date can hold."""
+    timestamp = F.when(timestamp.between(*SANE_MS), timestamp)
     days = F.floor((timestamp + F.coalesce(offset_seconds, F.lit(0)) * 1000) / DAY_MS)
     return F.date_add(F.lit("1970-01-01").cast("date"), days.cast("int"))
 
@@ -65,7 +69,9 @@ def local_dates(events: DataFrame, tz: str | None = None) -> DataFrame:
     if tz is None:
         local = local_date(F.col("timestamp"), F.col("device_info.timezone_offset_seconds"))
     else:
-        utc = F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, `timestamp` / 1000.0)")
+        low, high = SANE_MS
+        sane = f"CASE WHEN `timestamp` BETWEEN {low} AND {high} THEN `timestamp` END"
+        utc = F.expr(f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, ({sane}) / 1000.0)")
         local = F.convert_timezone(F.lit("UTC"), F.lit(tz), utc).cast("date")
     return events.withColumn("local_date", local).withColumn(
         "date_differs", F.coalesce(F.col("local_date") != F.col("date"), F.lit(False))

@@ -15,6 +15,9 @@ def campaign_performance(costs: DataFrame, attributed: DataFrame, by: tuple[str,
     ``reach`` counts people, so it is not additive: the largest single figure is reported.
     """
     keys = by
+    # Models that share a conversion between touches credit each with a part of it; parts are summed as decimals.
+    shared = "conversions" in attributed.columns
+    count = "decimal(38,12)" if shared else "bigint"
     cost_rows = costs.select(
         *keys,
         F.col("cost").cast("decimal(38,6)").alias("cost"),
@@ -22,7 +25,7 @@ def campaign_performance(costs: DataFrame, attributed: DataFrame, by: tuple[str,
         F.col("clicks"),
         F.col("reach"),
         F.lit(None).cast("decimal(38,6)").alias("revenue"),
-        F.lit(0).cast("bigint").alias("conversions"),
+        F.lit(0).cast(count).alias("conversions"),
     )
     revenue_rows = attributed.select(
         *keys,
@@ -31,7 +34,7 @@ def campaign_performance(costs: DataFrame, attributed: DataFrame, by: tuple[str,
         F.lit(None).cast("bigint").alias("clicks"),
         F.lit(None).cast("bigint").alias("reach"),
         F.col("value").cast("decimal(38,6)").alias("revenue"),
-        F.lit(1).cast("bigint").alias("conversions"),
+        (F.col("conversions") if shared else F.lit(1)).cast(count).alias("conversions"),
     )
     totals = cost_rows.unionByName(revenue_rows).groupBy(*keys).agg(
         F.sum("cost").cast("double").alias("cost"),
@@ -39,7 +42,7 @@ def campaign_performance(costs: DataFrame, attributed: DataFrame, by: tuple[str,
         F.sum("clicks").alias("clicks"),
         F.max("reach").alias("max_reach"),
         F.sum("revenue").cast("double").alias("revenue"),
-        F.sum("conversions").alias("conversions"),
+        F.sum("conversions").cast("double" if shared else "bigint").alias("conversions"),
     )
     return totals.select(
         "*",
@@ -57,9 +60,11 @@ def geo_rollup(events: DataFrame) -> DataFrame:
         F.col("geo.city").alias("city"),
         "profile_id",
     )
-    return places.rollup("continent", "country", "city").agg(
+    # Summed per place and profile first: the rollup copies those rows for each level, not the events.
+    counted = places.groupBy("continent", "country", "city", "profile_id").agg(F.count(F.lit(1)).alias("n"))
+    return counted.rollup("continent", "country", "city").agg(
         F.grouping_id().cast("bigint").alias("level"),
-        F.count(F.lit(1)).alias("events"),
+        F.sum("n").alias("events"),
         F.countDistinct("profile_id").alias("profiles"),
     )
 
@@ -72,8 +77,10 @@ def device_cube(events: DataFrame) -> DataFrame:
         F.col("device_info.web_info.browser").alias("browser"),
         "profile_id",
     )
-    return devices.cube("category", "operating_system", "browser").agg(
+    # As above: the cube makes eight copies of the counted rows, not of the events.
+    counted = devices.groupBy("category", "operating_system", "browser", "profile_id").agg(F.count(F.lit(1)).alias("n"))
+    return counted.cube("category", "operating_system", "browser").agg(
         F.grouping_id().cast("bigint").alias("level"),
-        F.count(F.lit(1)).alias("events"),
+        F.sum("n").alias("events"),
         F.countDistinct("profile_id").alias("profiles"),
     )

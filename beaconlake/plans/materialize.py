@@ -8,12 +8,17 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beaconlake.session import run_path
+
 DISPOSITIONS = ("WRITE_TRUNCATE", "WRITE_APPEND", "WRITE_EMPTY")
 
 # Defaults of a scheduled query.
 DEFAULT_TEMPLATE = "scheduled_{run_date}"
 DEFAULT_SCHEDULE = "every 24 hours"
 
+# Properties that the catalog sets itself.
+OWN_PROPERTIES = ("option.", "transient", "spark.sql", "provider", "location", "owner", "external")
+
 JOB_RECORD = (
     "display_name STRING, query STRING, database STRING, destination_template STRING, write_disposition STRING, "
     "partitioning_field STRING, schedule STRING, disabled BOOLEAN, created_ms BIGINT"
@@ -47,13 +52,25 @@ def materialize(
     if exists and write_disposition != "WRITE_TRUNCATE":
         rows.select(*[F.col(f"`{name}`") for name in spark.table(table).columns]).write.insertInto(table)
         return table
-    writer = rows.write.mode("overwrite").format("parquet")
+    # The query's rows are complete in the shared folder before the table is touched: a query that fails leaves the old
+    # table as it is, and a query may read the table it replaces.
+    staged = run_path(spark, "staged")
+    rows.write.parquet(staged)
+    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()} if exists else {}
+    writer = spark.read.schema(rows.schema).parquet(staged).write.mode("overwrite").format("parquet")
     if partitioning_field:
         writer = writer.partitionBy(partitioning_field)
     writer.saveAsTable(table)
+    for key, value in properties.items():
+        if not key.startswith(OWN_PROPERTIES):
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_quoted(key)}' = '{_quoted(value)}')")
     return table
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def register_job(
     spark: SparkSession,
     path: str,

@@ -52,6 +52,14 @@ def expire_partitions(
     return dropped
 
 
+def _created(spark: SparkSession, database: str, table: str) -> datetime:
+    """Creation time from the catalog's milliseconds; the printed one is in the zone of the driver's machine."""
+    jvm = spark.sparkContext._jvm
+    name = jvm.org.apache.spark.sql.catalyst.TableIdentifier(table, jvm.scala.Option.apply(database))
+    details = spark._jsparkSession.sessionState().catalog().getTableMetadata(name)
+    return datetime.fromtimestamp(details.createTime() / 1000, timezone.utc)
+
+
 def expire_tables(spark: SparkSession, database: str, now: datetime | None = None) -> list[str]:
     """Drop the tables of a database that are older than its default table expiry."""
     now = now or datetime.now(timezone.utc)
@@ -64,9 +72,7 @@ def expire_tables(spark: SparkSession, database: str, now: datetime | None = Non
     for table in spark.catalog.listTables(database):
         if table.tableType == "VIEW" or table.isTemporary:
             continue
-        details = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED `{database}`.`{table.name}`").collect()}
-        created = datetime.strptime(re.sub(r" [A-Z]{3,4} ", " ", details["Created Time"]), "%a %b %d %H:%M:%S %Y")
-        if created.replace(tzinfo=timezone.utc) < limit:
+        if _created(spark, database, table.name) < limit:
             spark.sql(f"DROP TABLE `{database}`.`{table.name}`")
             dropped.append(table.name)
     return dropped

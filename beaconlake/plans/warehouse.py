@@ -216,6 +216,14 @@ def read_table(
         rows = rows.where(F.col("date") >= F.lit(date_from))
     if date_to is not None:
         rows = rows.where(F.col("date") <= F.lit(date_to))
+    if PARTITION_TIME in rows.columns:
+        # Hours, days, months and years as text: the bounds hold for each unit, and reach the partition column.
+        unit = F.col(PARTITION_TIME)
+        if date_from is not None:
+            day = date_from.isoformat()[:10]
+            rows = rows.where((unit >= day) | (unit == day[:7]) | (unit == day[:4]))
+        if date_to is not None:
+            rows = rows.where(unit <= f"{date_to.isoformat()[:10]}-99")
     return rows
 
 

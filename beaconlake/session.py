@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,7 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(CHECKPOINT_SETTING)
     current = context.getCheckpointDir()
     if folder is None and current is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="beaconlake-")
     if current is None:

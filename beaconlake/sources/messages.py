@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 CORRUPT = "_corrupt"
+
+# Milliseconds since 1970 that a date of the years 1 to 9999 can hold, a day short at both ends for offsets: later or earlier ones would stop every job that reads the row.
+SANE_MS = (-62_135_500_000_000, 253_402_200_000_000)
 REQUIRED = ("event_id", "date")
 
 # The end of a field name in JSON text. Text values may contain it too, but a row and its message then both do.
@@ -47,18 +50,23 @@ def parse_messages(
         F.when(F.col(f"row.{CORRUPT}").isNotNull(), F.lit("does not fit the schema")),
         *[F.when(F.col(f"row.`{name}`").isNull(), F.lit(f"no {name}")) for name in required],
     ]
+    if "timestamp" in schema.names:
+        reasons.append(F.when(~F.col("row.timestamp").between(*SANE_MS), F.lit("timestamp out of range")))
     if not drop_unknown_fields:
         known = F.struct(*[F.col(f"row.`{f.name}`") for f in schema.fields])
-        complete = F.regexp_count("data", F.lit(NAME_END)) == F.regexp_count(F.to_json(known), F.lit(NAME_END))
+        # An escape may stand for a quote or a colon, which the row's text would then count and the message would not.
+        plain = ~F.contains("data", F.lit("\\u"))
+        complete = plain & (F.regexp_count("data", F.lit(NAME_END)) == F.regexp_count(F.to_json(known), F.lit(NAME_END)))
         unknown = F.when(~complete, F.array_join(unknown_fields(F.col("data"), schema), ", "))
         parsed = parsed.select("*", F.explode(F.array(unknown)).alias("_unknown"))
         reasons.append(F.when(F.col("_unknown") != "", F.concat(F.lit("unknown fields: "), "_unknown")))
     return parsed.withColumn("reason", F.coalesce(*reasons)).drop("_unknown")
 
 
-def good_rows(parsed: DataFrame, schema: StructType) -> DataFrame:
-    """Typed rows of the good messages; a missing repeated field is an empty list."""
+def good_rows(parsed: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed rows of the good messages; a missing repeated field is an empty list. ``keep`` names envelope columns."""
     return parsed.where("reason is null").select(
+        *[F.col(name) for name in keep],
         *[_filled(F.col(f"row.`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields]
     )
 

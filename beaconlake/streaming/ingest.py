@@ -6,9 +6,11 @@ are written to partitions named after the batch: a batch that is repeated after
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +18,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from beaconlake.contracts import MESSAGE_RETENTION_SECONDS
 from beaconlake.operators.skew import small_lookup_join
-from beaconlake.plans.warehouse import gathered, replace_partitions
+from beaconlake.plans.warehouse import gathered
+from beaconlake.session import run_path
 from beaconlake.sources.messages import good_rows, parse_messages, quarantined
 
 BATCH = "ingest_batch"
@@ -133,9 +136,36 @@ def replay_window(
 
 
 def replay_into(
-    landed: DataFrame, schema: StructType, start: datetime, end: datetime, target: str
+    landed: DataFrame,
+    schema: StructType,
+    start: datetime,
+    end: datetime,
+    target: str,
+    drop_unknown_fields: bool = True,
+    message_filter: str | None = None,
 ) -> None:
-    """Rebuild every date that the messages of a window touch, from all landed messages of that date."""
-    dates = replay_window(landed, schema, start, end).select("date").distinct()
-    everything = good_rows(parse_messages(landed.select("data", "attributes"), schema), schema)
-    replace_partitions(small_lookup_join(everything, dates, ["date"], "left_semi"), target, "date")
+    """Add the events of a window's messages that ``target`` lacks; nothing stored is replaced or removed.
+
+    ``target`` is what ``ingest_events`` writes and stays in its layout; parsing options are those it was filled with.
+    Only the stored ids of the dates that the window touches are read. The ids are required, so they tell events apart.
+    A replay writes under a batch number of its own, made from the window, so repeating one changes nothing.
+    """
+    spark = landed.sparkSession
+    parsed = parse_messages(in_window(landed, start, end), schema, drop_unknown_fields, message_filter)
+    rows = good_rows(parsed, schema).dropDuplicates(["date", "event_id"])
+    try:
+        stored = read_batches(spark, target, schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = rows.limit(0)
+    dates = rows.select("date").distinct()
+    known = small_lookup_join(stored.select("date", "event_id"), dates, ["date"], "left_semi")
+    # Negative numbers are never a micro-batch's.
+    number = -1 - int(zlib.crc32(f"{start.isoformat()} {end.isoformat()}".encode()))
+    own = f"{run_path(spark, 'replay')}/rows"
+    rows.join(known, ["date", "event_id"], "left_anti").select(*[F.col(f"`{n}`") for n in schema.names]).write.parquet(own)
+    missing = spark.read.schema(schema).parquet(own)
+    gathered(missing, "date").withColumn(BATCH, F.lit(number).cast("bigint")).write.mode("append").partitionBy(
+        "date", BATCH
+    ).parquet(target)

@@ -15,8 +15,12 @@ from beaconlake.streaming.ingest import ALL_AVAILABLE
 
 def enriched(messages: DataFrame, schema: StructType, delay: str = "1 hour") -> DataFrame:
     """Valid, real events once each, with the parts of their landing page."""
-    events = real_events(good_rows(parse_messages(messages, schema), schema))
-    once = dedupe_events(events, delay)
+    parsed = parse_messages(messages, schema)
+    if messages.isStreaming:
+        events = real_events(good_rows(parsed, schema, keep=("publish_time",)))
+        once = dedupe_events(events, delay, arrival="publish_time").drop("publish_time")
+    else:
+        once = dedupe_events(real_events(good_rows(parsed, schema)))
     return url_parts(once.withColumn("landing_page_url", landing_url()), "landing_page_url")
 
 
@@ -30,8 +34,9 @@ def process_events(
 ) -> StreamingQuery:
     """Append enriched events to ``target`` by date, exactly once.
 
-    Copies are recognised within ``delay`` of the watermark; an event that comes later than that is left out here, and
-    the batch ``dedupe_events`` over the raw table is the complete answer.
+    Copies are recognised within ``delay`` of the watermark, which follows the time of publication: an event's own
+    timestamp, early or late, costs no event. A message that is delivered later than ``delay`` after its publication is
+    left out here, and the batch ``dedupe_events`` over the raw table is the complete answer.
     """
     return (
         enriched(messages, schema, delay)

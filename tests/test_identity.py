@@ -71,11 +71,6 @@ def test_an_identifier_shared_by_many(make_events):
     events = make_events([*shared, _event("last", "v0000", "own")])
     everyone = identity.identify_events(events, max_group_rows=300)
     assert everyone.select("profile_id").distinct().count() == 1
-    capped = identity.identify_events(events, max_degree=1000)
-    profiles = dict(as_tuples(capped, "event_id", "profile_id"))
-    assert len(set(profiles.values())) == 1001
-    assert profiles["0"] == profiles["last"] == "avid:v0000"
-    assert identity.identify_events(events, max_degree=1001).select("profile_id").distinct().count() == 1
 
 
 def test_contacts_are_off_by_default(make_events):

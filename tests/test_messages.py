@@ -178,11 +178,35 @@ def test_landing_and_replay(spark, tmp_path, stream):
     start, end = datetime(2024, 1, 1, 0, 0, 2), datetime(2024, 1, 1, 0, 0, 3)
     assert as_tuples(ingest.replay_window(landed, schema("raw_events"), start, end), "event_id") == [("e2",), ("e3",)]
     target = str(tmp_path / "rebuilt")
-    ingest.replay_into(landed, schema("raw_events"), datetime(2024, 1, 1), datetime(2024, 1, 2), target)
-    for _ in range(2):
-        ingest.replay_into(landed, schema("raw_events"), start, end, target)
-        rebuilt = spark.read.schema(schema("raw_events")).parquet(target)
-        assert as_tuples(rebuilt, "event_id") == [(f"e{i}",) for i in range(10)]
+    for window in ((start, end), (start, end), (datetime(2024, 1, 1), datetime(2024, 1, 2))):
+        ingest.replay_into(landed, schema("raw_events"), *window, target)
+        rebuilt = ingest.read_batches(spark, target, schema("raw_events"))
+        wanted = [("e2",), ("e3",)] if window == (start, end) else [(f"e{i}",) for i in range(10)]
+        assert as_tuples(rebuilt, "event_id") == wanted
+
+
+def test_replay_keeps_what_landing_no_longer_holds(spark, tmp_path, stream):
+    _topic(spark, str(tmp_path / "topic"), [(i, _event(i, 1), "a") for i in range(10)], 1)
+    out = [str(tmp_path / name) for name in ("raw", "quarantine", "checkpoint")]
+    ingest.ingest_events(stream(), schema("raw_events"), *out).awaitTermination()
+    ingest.land_messages(stream(), str(tmp_path / "landed"), str(tmp_path / "landing")).awaitTermination()
+    landed = spark.read.parquet(str(tmp_path / "landed"))
+    late = landed.where(F.col("data").contains("e3")).withColumn("data", F.regexp_replace("data", "e3", "late"))
+    ingest.replay_into(late, schema("raw_events"), datetime(2024, 1, 1), datetime(2025, 1, 1), out[0])
+    stored = ingest.read_batches(spark, out[0], schema("raw_events"))
+    assert as_tuples(stored, "event_id") == [*[(f"e{i}",) for i in range(10)], ("late",)]
+
+
+def test_impossible_timestamps_and_hidden_unknown_fields(spark):
+    rows = spark.createDataFrame([
+        ('{"event_id":"a","date":"2024-01-01","timestamp":100000000000000000}',),
+        ('{"event_id":"b","date":"2024-01-01","timestamp":4102444800000}',),
+        ('{"event_id":"c","date":"2024-01-01","event_name":"a\\u0022:b","extra":1}',),
+    ], "data string")
+    parsed = messages.parse_messages(rows, schema("raw_events"), drop_unknown_fields=False)
+    assert as_tuples(parsed, "row.event_id", "reason") == [
+        ("a", "timestamp out of range"), ("b", None), ("c", "unknown fields: extra"),
+    ]
 
 
 def test_processing_removes_copies_across_batches_and_restarts(spark, tmp_path, stream):

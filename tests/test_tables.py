@@ -212,4 +212,27 @@ def test_manual_costs_from_a_file(spark, tmp_path):
     ]
     parquet = str(tmp_path / "upload.parquet")
     spark.read.csv(str(path), header=True).write.parquet(parquet)
-    assert costs.load_manual_costs(spark, parquet)[0].count() == 1
+    assert costs.load_manual_costs(spark, parquet, file_format="parquet")[0].count() == 1
+
+
+def test_each_file_has_its_own_header_and_loses_nothing(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('date,cost,source,url_params\n2024-01-01,5,x,"[{""key"":""k"",""value"":""v""}]"\n')
+    (tmp_path / "b.csv").write_text("date,source,cost\n2024-01-01,y,7\n2024-01-01,z,1,surplus\n")
+    (tmp_path / "c.csv").write_text("date,cost,colour\n2024-01-01,1,red\n")
+    good, bad = costs.load_manual_costs(spark, str(tmp_path))
+    assert as_tuples(good, "source", "cost") == [("x", 5.0), ("y", 7.0)]
+    assert good.where("source = 'x'").first()["url_params"][0]["key"] == "k"
+    assert sorted(r["reason"] for r in bad.collect()) == ["not as many fields as its header", "unknown column colour"]
+
+
+def test_a_failing_truncate_keeps_the_old_table(spark):
+    spark.sql("create database if not exists kept_db")
+    day = date(2024, 1, 1)
+    table = materialize.materialize(spark, "select 1 as a", "kept_db", day)
+    with pytest.raises(Exception):
+        materialize.materialize(spark, "select 1 / (id - id) as a from range(3)", "kept_db", day)
+    assert as_tuples(spark.table(table), "a") == [(1,)]
+    materialize.materialize(spark, f"select a + 1 as a from {table}", "kept_db", day)
+    assert as_tuples(spark.table(table), "a") == [(2,)]
+    assert spark.catalog.listTables("kept_db")[0].name == "scheduled_20240101"
+    spark.sql("drop database kept_db cascade")
