@@ -84,17 +84,17 @@ def _strength(groups: DataFrame) -> DataFrame:
 
 
 def _posterior(groups: DataFrame, prior_mean: str) -> DataFrame:
-    """Adds ``mean`` and ``weight`` (the posterior's two numbers); one row of level statistics is joined to the groups."""
-    level = F.broadcast(_strength(groups).select("strength"))
-    weight = F.col("strength") + F.col("n")
-    return groups.join(level).select(
+    """Adds ``mean`` and ``weight`` (the posterior's two numbers); the level's strength is one number."""
+    strength = F.lit(_strength(groups).first().strength)
+    weight = strength + F.col("n")
+    return groups.select(
         *[c for c in groups.columns if c != prior_mean],
-        ((F.col("strength") * F.col(prior_mean) + F.col("good")) / weight).alias("mean"), weight.alias("weight"),
+        ((strength * F.col(prior_mean) + F.col("good")) / weight).alias("mean"), weight.alias("weight"),
     )
 
 
 def reputations(outcomes: DataFrame, long_suffixes: Sequence[str] = LONG_SUFFIXES) -> dict[str, DataFrame]:
-    """Posterior per ``host``, ``domain`` and ``suffix``, and of ``all`` pages, from (host, good 0/1, n) outcomes."""
+    """Posterior per ``host``, ``domain`` and ``suffix`` from (host, good, n) outcomes."""
     hosts = outcomes.groupBy("host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
     hosts = hosts.select(
         "*", domain_of(F.col("host"), long_suffixes).alias("domain"), suffix_of(F.col("host"), long_suffixes).alias("suffix")
@@ -102,13 +102,13 @@ def reputations(outcomes: DataFrame, long_suffixes: Sequence[str] = LONG_SUFFIXE
     hosts = written(hosts, "url-hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
     suffixes = domains.groupBy("suffix").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
-    overall = _strength(suffixes).select(F.col("mean").alias("prior"))
-    suffixes = _posterior(suffixes.join(F.broadcast(overall)), "prior")
+    suffixes = written(suffixes, "url-suffixes")
+    suffixes = _posterior(suffixes.withColumn("prior", F.lit(_strength(suffixes).first().mean)), "prior")
     domains = domains.join(suffixes.select("suffix", F.col("mean").alias("prior")), "suffix")
-    domains = _posterior(domains, "prior")
+    domains = _posterior(written(domains, "url-domains"), "prior")
     hosts = hosts.join(domains.select("domain", "suffix", F.col("mean").alias("prior")), ["domain", "suffix"])
-    return {"host": written(_posterior(hosts, "prior"), "url-reputation"), "domain": domains, "suffix": suffixes,
-            "all": _strength(suffixes)}
+    hosts = _posterior(written(hosts, "url-host-priors"), "prior")
+    return {"host": hosts, "domain": domains, "suffix": suffixes}
 
 
 def upper_bound(mean: Column, weight: Column, z: float = BOUND_Z) -> Column:
