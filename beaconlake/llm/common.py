@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from beaconlake.session import run_path
 
@@ -50,12 +51,21 @@ def literal_rows(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def _bytes(field: T.StructField) -> Column:
+    """Bytes of a value: of a string or binary as it is, of arrays, maps and structs as JSON, else at most 16."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        column = F.to_json(F.struct(column))
+    elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.lit(16)
+    return F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint")
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """``df``, marked for broadcast if its rows and the bytes of its strings are within the limits.
+    """``df``, marked for broadcast if its rows and the bytes of its values are within the limits.
 
     ``df`` should be cheap to read (a written table): it is measured first. Beyond the limits Spark joins by shuffle.
     """
-    strings = [name for name, kind in df.dtypes if kind == "string"]
-    size = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in strings), F.lit(0)).cast("bigint")
+    size = sum((_bytes(field) for field in df.schema.fields), F.lit(0)).cast("bigint")
     rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
     return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
