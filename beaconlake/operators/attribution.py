@@ -40,13 +40,16 @@ def attribute_events(
     value: Column | None = None,
     touch_events: Sequence[str] = TOUCH_EVENTS,
     max_group_rows: int = MAX_GROUP_ROWS,
+    currency: Column | None = None,
 ) -> DataFrame:
     """Attribute conversions to touches.
 
     ``excluded`` lists referrers that are no source. ``last_touch`` and ``first_touch`` give one row per conversion with
-    the touch's id, time and source. ``linear`` and ``position`` give one row per touch that earned something, with the
-    conversions and the value credited to it, and one row per unattributed conversion. Unattributed rows have a null
-    ``source``; a conversion without a key is always unattributed.
+    the touch's id, time and source. ``linear`` and ``position`` give one row per touch that earned something and
+    conversion event, with the conversions and the value credited to it, and one row per unattributed conversion.
+    Unattributed rows have a null ``source``; a conversion without a key is always unattributed. ``event_name`` is the
+    conversion's. ``date`` is the conversion's too, but for credit of the shared models it is the touch's. With
+    ``currency`` (of the conversion) given, the models of one touch return it.
     """
     if model not in MODELS:
         raise ValueError(f"model must be one of {MODELS}")
@@ -58,7 +61,7 @@ def attribute_events(
     may_touch = F.coalesce(F.col("event_name").isin(list(touch_events)), F.lit(False))
     used = identified.where(F.col("event_name").isin([*names, *touch_events])).select(
         F.col(key).alias("key"), "date", "event_name", "timestamp", "event_id", amount.alias("value"),
-        "event_params",
+        "event_params", *([] if currency is None else [currency.alias("currency")]),
     )
     # Counted before the URLs are read: an upper bound that needs the key and the event name only.
     heavy = heavy_keys(used.where("key is not null").select("key"), ["key"], max_group_rows)
@@ -75,7 +78,7 @@ def attribute_events(
         return _last_touch(keyed, lookback_ms, heavy, max_group_rows).unionByName(_untouched(keyless))
     if model == "first_touch":
         return _first_touch(keyed, lookback_ms, heavy, max_group_rows).unionByName(_untouched(keyless))
-    return _shared(keyed, keyless, model, lookback_ms, heavy, max_group_rows)
+    return _shared(keyed, keyless, names, model, lookback_ms, heavy, max_group_rows)
 
 
 def _touch_record() -> Column:
@@ -95,13 +98,17 @@ def _kinds(rows: DataFrame, *kinds: tuple[Column, int, Column, int]) -> DataFram
     return rows.select("*", F.inline(wanted))
 
 
+def _given(rows: DataFrame) -> list[str]:
+    return ["currency"] if "currency" in rows.columns else []
+
+
 def _attributed(rows: DataFrame, touch: Column, valid: Column) -> DataFrame:
     winner = F.when(valid, touch)
     return rows.select(
         "key", "date", "event_name", "timestamp", "event_id", F.col("value").cast("double").alias("value"),
         winner["event_id"].alias("touch_event_id"),
         winner["timestamp"].alias("touch_timestamp"),
-        *[winner[name].alias(name) for name in SOURCE_COLUMNS],
+        *[winner[name].alias(name) for name in SOURCE_COLUMNS], *_given(rows),
     )
 
 
@@ -110,7 +117,7 @@ def _untouched(conversions: DataFrame) -> DataFrame:
         "key", "date", "event_name", "timestamp", "event_id", F.col("value").cast("double").alias("value"),
         F.lit(None).cast("string").alias("touch_event_id"),
         F.lit(None).cast("bigint").alias("touch_timestamp"),
-        *[F.lit(None).cast("string").alias(name) for name in SOURCE_COLUMNS],
+        *[F.lit(None).cast("string").alias(name) for name in SOURCE_COLUMNS], *_given(conversions),
     )
 
 
@@ -147,6 +154,7 @@ def _first_touch(rows: DataFrame, lookback_ms: int, heavy: DataFrame | None, max
 def _shared(
     rows: DataFrame,
     keyless: DataFrame,
+    names: Sequence[str],
     model: str,
     lookback_ms: int,
     heavy: DataFrame | None,
@@ -156,8 +164,8 @@ def _shared(
 
     Touches of a key are numbered in order. The touches in reach of a conversion are then a range of numbers, found
     from two counts: touches before the conversion and touches before its look-back period. A conversion changes the
-    credit only at the ends of that range, so a running total of those changes is each touch's credit. Shares are
-    decimals, so the totals are exact in any order.
+    credit only at the ends of that range, so a running total of those changes is each touch's credit, with a total for
+    each of the conversion events that are asked for. Shares are decimals, so the totals are exact in any order.
     """
     at = F.col("timestamp")
     looked_back = 2
@@ -182,32 +190,42 @@ def _shared(
         .withColumn("touches", F.col("last") - F.col("first") + 1)
     )
     changes = reach.where("touches > 0").select(
-        "key", F.inline(_changes(model)), F.lit(None).cast("string").alias("event_id"),
-        F.lit(None).cast("bigint").alias("timestamp"),
+        "key", "event_name", F.inline(_changes(model)), F.lit(None).cast("string").alias("event_id"),
+        F.lit(None).cast("date").alias("date"), F.lit(None).cast("bigint").alias("timestamp"),
         *[F.lit(None).cast("string").alias(name) for name in SOURCE_COLUMNS],
     )
     touches = numbered.where(F.col("kind") == TOUCH).select(
-        "key", "number", "event_id", "timestamp", *SOURCE_COLUMNS,
+        "key", F.lit(None).cast("string").alias("event_name"), "number", "event_id", "date", "timestamp", *SOURCE_COLUMNS,
         F.lit(None).cast(SHARE).alias("conversions"), F.lit(None).cast(SHARE).alias("value"),
     )
     steps = touches.unionByName(changes)
     order = [F.col("number"), F.col("event_id").asc_nulls_first()]
-    credit = running(
-        steps, ["key"], order,
-        {"credited": ("sum", F.col("conversions")), "credited_value": ("sum", F.col("value"))},
-        heavy, max_group_rows,
+    totals: dict[str, tuple[str, Column]] = {}
+    for i, name in enumerate(names):
+        own = F.col("event_name") == name
+        totals[f"credited_{i}"] = ("sum", F.when(own, F.col("conversions")))
+        totals[f"credited_value_{i}"] = ("sum", F.when(own, F.col("value")))
+    credit = running(steps, ["key"], order, totals, heavy, max_group_rows)
+    per_name = F.array(*[
+        F.struct(
+            F.lit(name).alias("event_name"), F.col(f"credited_{i}").alias("credited"),
+            F.col(f"credited_value_{i}").alias("credited_value"),
+        )
+        for i, name in enumerate(names)
+    ])
+    earned = credit.where("event_id is not null").select(
+        "key", "date", "event_id", "timestamp", *SOURCE_COLUMNS, F.inline(F.filter(per_name, lambda c: c["credited"] != 0))
     )
-    earned = credit.where("event_id is not null and credited <> 0").select(
-        "key", "event_id", "timestamp", *SOURCE_COLUMNS,
+    columns = ["key", "date", "event_name", "event_id", "timestamp"]
+    earned = earned.select(
+        *columns, *SOURCE_COLUMNS,
         F.col("credited").cast("double").alias("conversions"),
         F.coalesce(F.col("credited_value").cast("double"), F.lit(0.0)).alias("value"),
     )
-    unattributed = reach.where("touches <= 0").select("key", "event_id", "timestamp", "value").unionByName(
-        keyless.select("key", "event_id", "timestamp", "value")
-    )
+    unattributed = reach.where("touches <= 0").select(*columns, "value").unionByName(keyless.select(*columns, "value"))
     return earned.unionByName(
         unattributed.select(
-            "key", "event_id", "timestamp", *[F.lit(None).cast("string").alias(name) for name in SOURCE_COLUMNS],
+            *columns, *[F.lit(None).cast("string").alias(name) for name in SOURCE_COLUMNS],
             F.lit(1.0).alias("conversions"), F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value"),
         )
     )

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconlake.contracts import UNATTRIBUTED_THRESHOLD_PERCENT
+from beaconlake.operators.attribution import TOUCH_EVENTS
+from beaconlake.operators.referrers import with_source
 from beaconlake.operators.rollups import UTM
 from beaconlake.operators.skew import MAX_GROUP_ROWS, lookup_join
 
@@ -50,21 +52,40 @@ def drop_ignored(events: DataFrame, filters: Sequence[tuple[str, str | None, str
 
 
 def check_unattributed_share(
-    attributed: DataFrame, threshold_pct: float = UNATTRIBUTED_THRESHOLD_PERCENT
+    attributed: DataFrame, threshold_pct: float | Column = UNATTRIBUTED_THRESHOLD_PERCENT
 ) -> DataFrame:
-    """Unattributed share of conversions per date and event name, and whether it is above the threshold in percent."""
-    shares = attributed.groupBy("date", "event_name").agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(F.col("source").isNull()).alias("unattributed")
-    )
+    """Unattributed share of conversions per date and event name, and whether it is above the threshold in percent.
+
+    Rows of the models that share a conversion count with their credit, which is dated by the touch.
+    """
+    missing = F.col("source").isNull()
+    if "conversions" in attributed.columns:
+        part = F.col("conversions").cast("decimal(38,9)")
+        total, unattributed = F.sum(part), F.coalesce(F.sum(F.when(missing, part)), F.lit(0).cast("decimal(38,9)"))
+        total, unattributed = total.cast("double"), unattributed.cast("double")
+    else:
+        total, unattributed = F.count(F.lit(1)), F.count_if(missing)
+    shares = attributed.groupBy("date", "event_name").agg(total.alias("total"), unattributed.alias("unattributed"))
+    threshold = threshold_pct if isinstance(threshold_pct, Column) else F.lit(threshold_pct)
     share = F.col("unattributed") / F.col("total")
-    return shares.select("*", share.alias("share"), (100 * share > threshold_pct).alias("breach"))
+    return shares.select("*", share.alias("share"), (100 * share > threshold).alias("breach"))
+
+
+def visits(
+    events: DataFrame, excluded: DataFrame | None = None, touch_events: Sequence[str] = TOUCH_EVENTS
+) -> DataFrame:
+    """Visits of the site: the date and UTM values of each event that can be a touch; a direct visit has a null source."""
+    return with_source(events.where(F.col("event_name").isin(list(touch_events))), excluded).select("date", *UTM)
 
 
 def check_costs_without_visits(
-    costs: DataFrame, visits: DataFrame, max_group_rows: int = MAX_GROUP_ROWS
+    costs: DataFrame, visits: DataFrame, max_group_rows: int = MAX_GROUP_ROWS, by: Sequence[str] = UTM
 ) -> DataFrame:
-    """Cost rows with a positive cost and no visit on the same date under the same UTM values; nulls compare equal."""
-    keys = ["date", *UTM]
+    """Cost rows with a positive cost and no visit on the same date under the same UTM values; nulls compare equal.
+
+    ``by`` narrows the comparison to some of the UTM columns, for networks whose campaign names are not those of the URLs.
+    """
+    keys = ["date", *by]
     seen = visits.select(*keys).distinct()
     return lookup_join(
         costs.where("cost > 0"), seen, keys, "left_anti", null_safe=True, max_group_rows=max_group_rows

@@ -422,6 +422,15 @@ def check_costs_without_visits(spark, sf_dir):
     )
 
 
+@query
+def costs_without_visits_by_source(spark, sf_dir):
+    """Cost rows of all four sources on days without any visit from their source, with visits read from the events."""
+    seen = checks.visits(raw_events(spark, sf_dir), fx.excluded_referrers(spark))
+    return checks.check_costs_without_visits(_unified(spark, sf_dir), seen, by=("source",)).select(
+        _day(), "data_source", "source", "campaign", "term", "ad_id", "cost"
+    )
+
+
 # ---- identity ----
 
 @query
@@ -524,6 +533,26 @@ def attribution_by_profile_split(spark, sf_dir):
     return _by_profile(spark, sf_dir, max_group_rows=1000)
 
 
+@query
+def attribution_linear_by_event(spark, sf_dir):
+    """Touches with their equal shares of later purchases and of later signups."""
+    shared = _attributed(spark, sf_dir, ("purchase", "signup"), "linear", value=F.lit(1.0))
+    return shared.select(
+        "event_id", "event_name", _day(), F.col("key").alias("profile"), "source", "conversions", "value"
+    )
+
+
+@query
+def attribution_from_topic(spark, sf_dir):
+    """From the topic's messages, copies among them, to purchases with the latest touch of their resolved profile."""
+    target, _ = _ingest(spark, sf_dir)
+    once = quality.dedupe_events(ingest.read_batches(spark, target, schema("raw_events")))
+    identified = identity.identify_events(once, inserted_at=F.lit(1))
+    return _per_conversion(
+        attribution.attribute_events(identified, "purchase", excluded=fx.excluded_referrers(spark))
+    )
+
+
 @query
 def check_unattributed_share(spark, sf_dir):
     """Unattributed share of purchases and signups per day, without ignored events."""
@@ -546,6 +575,20 @@ def campaign_performance(spark, sf_dir):
     return rollups.campaign_performance(_unified(spark, sf_dir), attributed, by=("source",))
 
 
+@query
+def campaign_performance_linear(spark, sf_dir):
+    """Costs and shared revenue per UTM values, where conversions are the credit of touches."""
+    attributed = _attributed(spark, sf_dir, "purchase", "linear")
+    return rollups.campaign_performance(_unified(spark, sf_dir), attributed, by=rollups.UTM).drop("cpc", "ctr", "roas")
+
+
+@query
+def campaign_performance_by_currency(spark, sf_dir):
+    """Costs and revenue per source and currency."""
+    attributed = _attributed(spark, sf_dir, "purchase", currency=F.col("`order`.currency"))
+    return rollups.campaign_performance(_unified(spark, sf_dir), attributed, by=("source", "currency"))
+
+
 # ---- events ----
 
 @query

@@ -632,6 +632,54 @@ from devices group by cube (category, operating_system, browser)
 """,
 }
 
+# Messages that do not fit are not in the table; copies of the others are one event.
+_FROM_TOPIC = "fx as (select * from everything where eid % 100 not in (7, 9, 13, 17)),"
+ORACLES["attribution_from_topic"] = ORACLES["attribution_by_profile"].replace("\nfx as (", "\neverything as (", 1).replace(
+    "links as (", _FROM_TOPIC + "\nlinks as (", 1
+)
+
+# Figures of the campaign report with credit in place of conversions, and per currency.
+ORACLES["campaign_performance_linear"] = FIGURES.replace(STAGED, PAIRS) + f""",
+costs as ({UNIFIED}),
+units as (select *, cast(round(value * 1000000) as hugeint) * 1000 as v from pairs),
+shares as (select touch, source, medium, {EVEN_COUNT} as c, {EVEN_VALUE} as w from units),
+credit as (
+  select source, medium, cast(sum(c) as double) / 1e9 as c, cast(sum(w) as double) / 1e9 as w
+  from shares group by touch, source, medium
+  union all
+  select null, null, 1.0, value from conv where event_id not in (select conversion from pairs)
+),
+parts as (
+  select source, 'cpc' as medium, campaign, term, cast(cost as decimal(38, 6)) as cost, impressions, clicks, reach,
+         cast(null as decimal(38, 6)) as revenue, cast(0 as decimal(38, 12)) as conversions from costs
+  union all
+  select source, medium, null, null, null, null, null, null, cast(w as decimal(38, 6)), cast(c as decimal(38, 12)) from credit
+)
+select source, medium, campaign, cast(null as varchar) as content, term, cast(sum(cost) as double) as cost,
+       cast(sum(impressions) as bigint) as impressions, cast(sum(clicks) as bigint) as clicks, max(reach) as max_reach,
+       cast(sum(revenue) as double) as revenue, cast(sum(conversions) as double) as conversions
+from parts group by source, medium, campaign, term
+"""
+ORACLES["campaign_performance_by_currency"] = ORACLES["campaign_performance"].replace(
+    "select *, cost / nullif(clicks", "select *, 'USD' as currency, cost / nullif(clicks"
+)
+ORACLES["costs_without_visits_by_source"] = FIGURES.replace(STAGED, SOURCED) + f""",
+costs as ({UNIFIED})
+select c.date, c.data_source, c.source, c.campaign, c.term, c.ad_id, c.cost from costs c
+where c.cost > 0 and not exists (select 1 from src v where v.event_name in ('click', 'view') and v.date = c.date
+                                 and v.source is not distinct from c.source)
+"""
+ORACLES["attribution_linear_by_event"] = PAIRS.replace(
+    "event_name = 'purchase'", "event_name in ('purchase', 'signup')"
+).replace("select c.event_id as conversion,", "select c.event_id as conversion, c.event_name, t.date,") + f""",
+shares as (select uid, touch, event_name, date, source, {EVEN_COUNT} as c from pairs)
+select touch as event_id, event_name, date, uid as profile, source, cast(sum(c) as double) / 1e9 as conversions,
+       cast(sum(c) as double) / 1e9 as value
+from shares group by touch, event_name, date, uid, source
+union all
+select event_id, event_name, date, uid, null, 1.0, 1.0 from conv where event_id not in (select conversion from pairs)
+"""
+
 # The split variants must give the same rows.
 for _name in ("identity_components", "attribution_linear", "attribution_by_profile"):
     ORACLES[f"{_name}_split"] = ORACLES[_name]
