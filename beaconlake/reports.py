@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconlake import fixtures as fx
-from beaconlake.contracts import MESSAGE_RETENTION_SECONDS, SINK_SUBSCRIPTION_PREFIX, schema
+from beaconlake.contracts import JOBS, MESSAGE_RETENTION_SECONDS, SINK_SUBSCRIPTION_PREFIX, schema
 from beaconlake.functions.params import ad_value, param, string_value
 from beaconlake.operators import (
     attribution, checks, commerce, costs, flatten, identity, quality, referrers, rollups,
 )
-from beaconlake.plans import configs, jobs, materialize, retention, warehouse
+from beaconlake.plans import configs, jobs, materialize, project, retention, warehouse
 from beaconlake.session import configure, run_path
 from beaconlake.sources.topic import envelopes, read_topic_files
 from beaconlake.streaming import ingest, process
@@ -202,14 +202,17 @@ def process_events_stream(spark, sf_dir):
     )
 
 
+def _later_copies(raw: DataFrame) -> DataFrame:
+    return raw.where(F.col("event_id").cast("bigint") % 40 == 5).withColumns(
+        {"timestamp": F.col("timestamp") + 1000, "event_name": F.lit("copy")}
+    )
+
+
 @query
 def dedupe_events(spark, sf_dir):
     """First row per event id of events with later copies."""
     raw = raw_events(spark, sf_dir)
-    copies = raw.where(F.col("event_id").cast("bigint") % 40 == 5).withColumns(
-        {"timestamp": F.col("timestamp") + 1000, "event_name": F.lit("copy")}
-    )
-    return quality.dedupe_events(raw.unionByName(copies)).select("event_id", "timestamp", "event_name")
+    return quality.dedupe_events(raw.unionByName(_later_copies(raw))).select("event_id", "timestamp", "event_name")
 
 
 # ---- tables ----
@@ -246,6 +249,36 @@ def bootstrap_twice(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def jobs_end_to_end(spark, sf_dir):
+    """Rows per table after all jobs of a project have run twice over raw events with copies."""
+    number, location = _project(spark)
+    resources = project.register_project(spark, number, location, excluded_referrers_query=fx.EXCLUDED_QUERY)
+    raw = raw_events(spark, sf_dir)
+    warehouse.save_rows(spark, raw.unionByName(_later_copies(raw)), resources["raw_events"])
+    for name in fx.NETWORKS:
+        warehouse.save_rows(spark, network_costs(spark, sf_dir, name), resources[f"{name}_ad_costs"])
+    upload = run_path(spark, "upload")
+    fx.manual_costs(spark, sf_dir).write.parquet(upload)
+    options = {
+        "update_manual_ad_costs": {"upload": upload, "file_format": "parquet"},
+        "check_ad_costs_without_visits": {"by": ("source",)},
+    }
+    order = sorted(JOBS, key=lambda name: (name.startswith("check"), name.startswith("calculate")))
+    for name in order + order:
+        project.run_job(spark, number, name, **options.get(name, {}))
+    counts = []
+    for name in ("identified_events", "ad_costs", *project.RESULTS):
+        rows = spark.table(resources[name])
+        if project.CHECKED in rows.columns:
+            last = rows.agg(F.max(project.CHECKED)).first()[0]
+            rows = rows.where(F.col(project.CHECKED).eqNullSafe(F.lit(last).cast("bigint")))
+        counts.append(rows.agg(F.count(F.lit(1)).alias("rows_stored")).select(F.lit(name).alias("table_name"), "rows_stored"))
+    states = project.job_states(spark, number).where("last_status = 'success' and runs = 2")
+    counts.append(states.agg(F.count(F.lit(1)).alias("rows_stored")).select(F.lit("job_states").alias("table_name"), "rows_stored"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def partition_by_unit(spark, sf_dir):
     """Events per partition for hourly, daily, monthly and yearly partitions."""

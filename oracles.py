@@ -679,6 +679,18 @@ from shares group by touch, event_name, date, uid, source
 union all
 select event_id, event_name, date, uid, null, 1.0, 1.0 from conv where event_id not in (select conversion from pairs)
 """
+ORACLES["jobs_end_to_end"] = FIGURES.replace(STAGED, SOURCED) + f""",
+costs as ({UNIFIED})
+select 'identified_events' as table_name, count(*) as rows_stored from fx
+union all select 'ad_costs', count(*) from costs
+union all select 'attributed_events', count(*) from fx where event_name = 'purchase'
+union all select 'unattributed_shares', count(distinct date) from fx where event_name = 'purchase'
+union all select 'costs_without_visits', count(*) from costs c
+  where c.cost > 0 and not exists (select 1 from src v where v.event_name in ('click', 'view') and v.date = c.date
+                                   and v.source is not distinct from c.source)
+union all select 'manual_costs_rejected', count(*) from manual where page_id % 10 = 3
+union all select 'job_states', 7
+"""
 
 # The split variants must give the same rows.
 for _name in ("identity_components", "attribution_linear", "attribution_by_profile"):
