@@ -61,11 +61,16 @@ def _bytes(field: T.StructField) -> Column:
     return F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint")
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """``df``, marked for broadcast if its rows and the bytes of its values are within the limits.
+def is_small(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` and the bytes of its values are within the limits of a broadcast.
 
-    ``df`` should be cheap to read (a written table): it is measured first. Beyond the limits Spark joins by shuffle.
+    ``df`` should be cheap to read (a written table): it is measured.
     """
     size = sum((_bytes(field) for field in df.schema.fields), F.lit(0)).cast("bigint")
     rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if it is small; beyond that Spark joins by shuffle."""
+    return F.broadcast(df) if is_small(df) else df

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import NOT_WORD, broadcast_if_small, lower_ascii, table, words, written
+from beaconlake.llm.common import NOT_WORD, broadcast_if_small, is_small, lower_ascii, table, words, written
 
 WINDOW_WORDS = 13
 MIN_SHARE = 0.05
@@ -43,7 +43,10 @@ def word_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(key, uses): how often the words of ``vocabulary`` (key) stand in all documents."""
     # Outer, so that Spark does not split each text a second time to look for empty ones; their null words match nothing.
     used = docs.select(F.explode_outer(_words(F.col("text"))).alias("word")).select(word_key(F.col("word")).alias("key"))
-    return used.join(broadcast_if_small(vocabulary), "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("uses"))
+    uses = F.count(F.lit(1)).alias("uses")
+    if is_small(vocabulary):
+        return used.join(F.broadcast(vocabulary), "key", "left_semi").groupBy("key").agg(uses)
+    return used.groupBy("key").agg(uses).join(vocabulary, "key", "left_semi")
 
 
 def word_key(word: Column) -> Column:
@@ -63,21 +66,40 @@ def prefixes(windows: DataFrame, counts: DataFrame) -> DataFrame:
 
 def find_windows(docs: DataFrame, windows: DataFrame, prefix: DataFrame) -> DataFrame:
     """(text_key, start, length, window): every occurrence of a window in a text, equal texts once."""
-    # The word array of a document is exploded, looked up and sliced within one stage; only candidates leave it.
     texts = docs.select(text_key(F.col("text")).alias("text_key"), _words(F.col("text")).alias("words"))
-    used = texts.select("text_key", "words", F.posexplode_outer("words").alias("position", "word"))
-    used = used.select("text_key", "words", "position", word_key(F.col("word")).alias("key"))
-    met = used.join(broadcast_if_small(prefix), "key").select("text_key", "words", "position", F.explode("places").alias("place"))
-    start = F.col("position") - F.col("place.offset")
-    fits = (start >= 0) & (start + F.col("place.length") <= F.size("words"))
-    found = met.where(fits).select(
-        "text_key", start.alias("start"), F.col("place.length").alias("length"),
-        F.array_join(F.slice("words", start + 1, F.col("place.length")), " ").alias("window"),
+    candidates = _candidates_in_stage(texts, prefix) if is_small(prefix) else _candidates_by_shuffle(texts, prefix)
+    found = candidates.select(
+        "text_key", "start", "length", F.array_join(F.slice("words", F.col("start") + 1, F.col("length")), " ").alias("window")
     )
     known = windows.select("window").distinct()
     return found.join(broadcast_if_small(known), "window", "left_semi").distinct()
 
 
+def _places(met: DataFrame, *columns: str) -> DataFrame:
+    """Where the windows of the prefixes met would start and how long they are, if they fit into the text."""
+    start = F.col("position") - F.col("place.offset")
+    fits = (start >= 0) & (start + F.col("place.length") <= F.col("n_words"))
+    placed = met.select(*columns, "n_words", "position", F.explode("places").alias("place")).where(fits)
+    return placed.select(*columns, start.alias("start"), F.col("place.length").alias("length"))
+
+
+def _candidates_in_stage(texts: DataFrame, prefix: DataFrame) -> DataFrame:
+    """(text_key, words, start, length). The word array of a document is exploded, looked up and sliced within one stage."""
+    used = texts.select("text_key", "words", F.size("words").alias("n_words"), F.posexplode_outer("words").alias("position", "word"))
+    used = used.select("text_key", "words", "n_words", "position", word_key(F.col("word")).alias("key"))
+    return _places(used.join(F.broadcast(prefix), "key"), "text_key", "words")
+
+
+def _candidates_by_shuffle(texts: DataFrame, prefix: DataFrame) -> DataFrame:
+    """The same for prefixes too many to broadcast: positions alone are shuffled, and the texts once, to their candidates."""
+    used = texts.select("text_key", F.size("words").alias("n_words"), F.posexplode_outer("words").alias("position", "word"))
+    used = used.select("text_key", "n_words", "position", word_key(F.col("word")).alias("key")).distinct()
+    placed = _places(used.join(prefix, "key"), "text_key")
+    per_text = placed.groupBy("text_key").agg(F.collect_set(F.struct("start", "length")).alias("candidates"))
+    per_text = broadcast_if_small(written(per_text, "benchmark-candidates"))
+    return texts.join(per_text, "text_key").select("text_key", "words", F.inline("candidates"))
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, min_share: float = MIN_SHARE,
 ) -> DataFrame:

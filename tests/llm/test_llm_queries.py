@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from beaconlake.llm import common
 from beaconlake.llm.sql import ORACLES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -27,6 +28,14 @@ def test_against_sql(spark, con, name):
     assert found == wanted
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_against_sql_without_broadcasts(spark, con, name, monkeypatch):
+    """Lookups beyond the limits of a broadcast take another plan and give the same rows."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
+    _, found = compare.spark_rows(entry.queries()[name](spark, SF_DIR))
+    assert found == compare.sql_rows(con, entry.oracle_sql()[name])[1]
+
+
 def run(spark, name):
     return entry.queries()[name](spark, SF_DIR).collect()
 
