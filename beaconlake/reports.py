@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,8 +95,8 @@ def profiled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- topic and ingestion ----
 
-def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_topic_files(spark, topic_path(spark, sf_dir))
+def _messages(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
+    rows = read_topic_files(spark, topic_path(spark, sf_dir), files_per_trigger)
     return envelopes(rows, f"{SINK_SUBSCRIPTION_PREFIX}_{fx.PROJECT_ID}")
 
 
@@ -172,6 +172,26 @@ def replay_window(spark, sf_dir):
     return ingest.replay_window(landed, schema("raw_events"), first, last).select("event_id", _day(), "event_name")
 
 
+@query
+def replay_into_table(spark, sf_dir):
+    """The project's raw table after a load of all batches, the loss of two days, and a replay of the first of them."""
+    number, location = _project(spark)
+    contract = schema("raw_events")
+    table = warehouse.bootstrap(spark, number, location)["raw_events"]
+    target, _ = _ingest(spark, sf_dir)
+    for _ in range(2):
+        ingest.add_to_table(ingest.read_batches(spark, target, contract), table)
+    first, last = spark.table(table).agg(F.min("date"), F.max("date")).first()
+    if first is not None:
+        for day in {first, last}:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`date` = '{day}')")
+        start = datetime(first.year, first.month, first.day)
+        # Messages are published two seconds after the event.
+        for _ in range(2):
+            ingest.replay_into_table(_landed(spark, sf_dir), contract, start, start + timedelta(days=1, seconds=2), table)
+    return spark.table(table).select("event_id", _day(), "event_name")
+
+
 @query
 def ingest_fanout(spark, sf_dir):
     """Two independent subscriptions of one topic: the raw sink and the event processor."""
@@ -202,6 +222,28 @@ def process_events_stream(spark, sf_dir):
     )
 
 
+@query
+def process_events_late(spark, sf_dir):
+    """The stream's events with a delay far shorter than the data and several micro-batches, and the late ones beside."""
+    run = run_path(spark, "process-late")
+    contract = schema("raw_events")
+    process.process_events(
+        _messages(spark, sf_dir, 2), contract, f"{run}/events", f"{run}/checkpoint", delay="1 minute"
+    ).awaitTermination()
+    landed = _landed(spark, sf_dir)
+    first, last = landed.agg(F.min("publish_time"), F.max("publish_time")).first()
+    processed = spark.read.parquet(f"{run}/events")
+    if first is not None:
+        process.late_events(landed, contract, first, last, processed).write.parquet(f"{run}/late")
+        late = spark.read.schema(processed.schema).parquet(f"{run}/late")
+        both = processed.unionByName(late)
+        # Nothing is left for a second look.
+        processed = both.unionByName(process.late_events(landed, contract, first, last, both))
+    return processed.select(
+        "event_id", _day(), "landing_hostname", "landing_page_path", F.size("url_params").cast("bigint").alias("params")
+    )
+
+
 def _later_copies(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("event_id").cast("bigint") % 40 == 5).withColumns(
         {"timestamp": F.col("timestamp") + 1000, "event_name": F.lit("copy")}

@@ -18,7 +18,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from beaconlake.contracts import MESSAGE_RETENTION_SECONDS
 from beaconlake.operators.skew import small_lookup_join
-from beaconlake.plans.warehouse import gathered
+from beaconlake.plans.warehouse import gathered, save_rows
 from beaconlake.session import run_path
 from beaconlake.sources.messages import good_rows, parse_messages, quarantined
 
@@ -152,20 +152,58 @@ def replay_into(
     """
     spark = landed.sparkSession
     parsed = parse_messages(in_window(landed, start, end), schema, drop_unknown_fields, message_filter)
-    rows = good_rows(parsed, schema).dropDuplicates(["date", "event_id"])
     try:
         stored = read_batches(spark, target, schema)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        stored = rows.limit(0)
-    dates = rows.select("date").distinct()
-    known = small_lookup_join(stored.select("date", "event_id"), dates, ["date"], "left_semi")
+        stored = None
     # Negative numbers are never a micro-batch's.
     number = -1 - int(zlib.crc32(f"{start.isoformat()} {end.isoformat()}".encode()))
-    own = f"{run_path(spark, 'replay')}/rows"
-    rows.join(known, ["date", "event_id"], "left_anti").select(*[F.col(f"`{n}`") for n in schema.names]).write.parquet(own)
-    missing = spark.read.schema(schema).parquet(own)
+    missing = missing_rows(good_rows(parsed, schema), stored)
     gathered(missing, "date").withColumn(BATCH, F.lit(number).cast("bigint")).write.mode("append").partitionBy(
         "date", BATCH
     ).parquet(target)
+
+
+def missing_rows(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """One row per date and event id of ``rows`` that ``stored`` lacks, complete in the shared folder.
+
+    ``rows`` are computed once, and only the stored ids of their dates are read.
+    """
+    keys, path = ["date", "event_id"], run_path(rows.sparkSession, "missing")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{path}/{name}")
+        return df.sparkSession.read.schema(rows.schema).parquet(f"{path}/{name}")
+
+    once = kept(rows.dropDuplicates(keys), "rows")
+    if stored is None:
+        return once
+    dates = once.select("date").distinct()
+    known = small_lookup_join(stored.select(*keys), dates, ["date"], "left_semi")
+    return kept(once.join(known, keys, "left_anti").select(*[F.col(f"`{n}`") for n in rows.columns]), "missing")
+
+
+def add_to_table(rows: DataFrame, table: str) -> None:
+    """Append the events that a project's table lacks, each once; repeating it after a failure adds only the rest.
+
+    It reads the stored ids of the dates that ``rows`` fall into, so it is meant for a scheduled load of what
+    ``ingest_events`` has written since the last one, and not for every micro-batch.
+    """
+    spark = rows.sparkSession
+    save_rows(spark, missing_rows(rows, spark.table(table)), table)
+
+
+def replay_into_table(
+    landed: DataFrame,
+    schema: StructType,
+    start: datetime,
+    end: datetime,
+    table: str,
+    drop_unknown_fields: bool = True,
+    message_filter: str | None = None,
+) -> None:
+    """As ``replay_into`` for a project's table, such as ``raw_events`` of ``bootstrap``."""
+    parsed = parse_messages(in_window(landed, start, end), schema, drop_unknown_fields, message_filter)
+    add_to_table(good_rows(parsed, schema), table)

@@ -48,6 +48,12 @@ fate as (
 )
 """
 
+PROCESSED = """
+select distinct event_id, date, landing_host as landing_hostname, landing_path as landing_page_path,
+       case when landing_query = '' then 0::bigint else len(string_split(landing_query, '&')) end as params
+from fate where reason is null and eid % 50 <> 0
+"""
+
 SOURCED = STAGED + f""",
 src as (
   select *,
@@ -388,17 +394,18 @@ from fate
     "replay_window": SENT + """
 select event_id, date, event_name from fate
 where reason is null and publish_ms >= (select max(publish_ms) - 2678400000 from fate)
+""",
+    "replay_into_table": SENT + """
+select distinct event_id, date, event_name from fate
+where reason is null and day <> (select max(day) from fate where reason is null)
 """,
     "ingest_fanout": SENT + """
 select 'sink' as consumer, event_name, count(*) as events from fate where reason is null group by 1, 2
 union all
 select 'processor', event_name, count(distinct event_id) from fate where reason is null and eid % 50 <> 0 group by 1, 2
 """,
-    "process_events_stream": SENT + """
-select distinct event_id, date, landing_host as landing_hostname, landing_path as landing_page_path,
-       case when landing_query = '' then 0::bigint else len(string_split(landing_query, '&')) end as params
-from fate where reason is null and eid % 50 <> 0
-""",
+    "process_events_stream": SENT + PROCESSED,
+    "process_events_late": SENT + PROCESSED,
     "dedupe_events": STAGED + "select event_id, timestamp, event_name from fx",
     "table_contracts": _contracts(),
     "bootstrap_twice": FIGURES + """

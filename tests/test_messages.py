@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from beaconlake.contracts import schema
 from beaconlake.sources import messages, topic
+from beaconlake.plans import warehouse
 from beaconlake.streaming import ingest, process
 from conftest import as_tuples
 
@@ -227,3 +228,35 @@ def test_processing_removes_copies_across_batches_and_restarts(spark, tmp_path,
     _topic(spark, path, [(30, _event(3), "a"), (31, _event(8), "a")])
     assert as_tuples(run(), "event_id") == [(f"e{i}",) for i in (0, 1, 2, 3, 4, 5, 6, 8)]
     assert as_tuples(run(), "event_id") == [(f"e{i}",) for i in (0, 1, 2, 3, 4, 5, 6, 8)]
+
+
+def test_late_events_are_found_beside_the_stream(spark, tmp_path, stream):
+    path = str(tmp_path / "topic")
+
+    def run():
+        process.process_events(
+            stream(), schema("raw_events"), str(tmp_path / "out"), str(tmp_path / "checkpoint"), delay="1 second"
+        ).awaitTermination()
+        return spark.read.parquet(str(tmp_path / "out"))
+
+    _topic(spark, path, [(100 + i, _event(i), "a") for i in range(3)])
+    run()
+    _topic(spark, path, [(1, _event(8), "a"), (2, _event(8), "a"), (3, _event(0), "a"), (200, _event(9), "a")])
+    processed = run()
+    assert as_tuples(processed, "event_id") == [("e0",), ("e1",), ("e2",), ("e9",)]
+    ingest.land_messages(stream(), str(tmp_path / "landed"), str(tmp_path / "landing")).awaitTermination()
+    landed = spark.read.parquet(str(tmp_path / "landed"))
+    window = landed, schema("raw_events"), datetime(2024, 1, 1), datetime(2024, 1, 2)
+    late = process.late_events(*window, processed)
+    assert as_tuples(late, "event_id") == [("e8",)] and set(late.columns) == set(processed.columns)
+    assert process.late_events(*window, processed.unionByName(late)).isEmpty()
+
+
+def test_a_table_takes_each_event_once(spark, tmp_path, make_events):
+    table = warehouse.bootstrap(spark, 77_001, str(tmp_path / "project"))["raw_events"]
+    rows = make_events([{"event_id": f"e{i % 3}", "date": "2024-01-01", "event_name": "view"} for i in range(5)])
+    for _ in range(2):
+        ingest.add_to_table(rows, table)
+    ingest.add_to_table(make_events([{"event_id": "e0", "date": "2024-01-02"}, {"event_id": "e2", "date": "2024-01-01"}]), table)
+    ingest.add_to_table(rows.limit(0), table)
+    assert as_tuples(spark.table(table), "event_id") == [("e0",), ("e0",), ("e1",), ("e2",)]
