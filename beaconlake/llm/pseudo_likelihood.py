@@ -1,8 +1,12 @@
 """Masked pseudo-likelihood: a bidirectional window network scores each token from the tokens on both its sides.
 
-The vocabulary holds the most frequent words of the whole corpus; every other word falls into one of a fixed number of
-buckets by its hash. The network joins the embeddings of two tokens to the left and two to the right, passes them through
-a hidden layer, and predicts the masked token in two steps: its cluster, then the token within the cluster.
+The network's vocabulary holds the most frequent words of the whole corpus; every other word falls into one of a fixed
+number of buckets by its hash. A word in a bucket is scored as P(bucket | context) * P(word | bucket): the second factor
+comes from the counts of all words of the corpus, with the Witten-Bell share left for words that were never counted. The
+most used of these words are looked up where the document is scored; the others are joined by shuffle and summed per
+document, so the table of words may grow with the corpus. The network joins the embeddings of two tokens to the left and
+two to the right, passes them through a hidden layer, and predicts the masked token in two steps: its cluster, then the
+token within the cluster.
 
 Training is parameter averaging: each task trains a copy on all the documents of its partition, from the same start, and
 hands over its parameters with the number of tokens seen; Spark averages them parameter by parameter. So every document
@@ -19,11 +23,13 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +38,7 @@ from beaconlake.llm.common import table, written
 CLUSTERS, MEMBERS = 32, 32
 TOKENS = CLUSTERS * MEMBERS
 BUCKETS = 256
+HOT_WORDS = 200_000  # words in buckets that every task holds; all others are joined
 SIDE = 2  # tokens to each side
 WIDTH, HIDDEN = 8, 16
 STEP_TOKENS = 8192
@@ -88,8 +95,9 @@ class Vocabulary:
         return np.array([n if (n := get(w)) is not None else first + zlib.crc32(w) % BUCKETS for w in words], np.int32)
 
 
-def vocabulary(docs: DataFrame) -> Vocabulary:
-    counts = written(word_counts(docs), "lm-words")
+def vocabulary(docs: DataFrame, counts: DataFrame | None = None) -> Vocabulary:
+    """``counts`` are the ``word_counts`` of ``docs``, when they are already written."""
+    counts = written(word_counts(docs), "lm-words") if counts is None else counts
     top = counts.orderBy(F.desc("n"), "word").limit(TOKENS - BUCKETS).collect()
     bucket = F.pmod(F.crc32("word"), F.lit(BUCKETS)).cast("int")
     per_bucket = counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n")).collect()
@@ -102,15 +110,59 @@ def vocabulary(docs: DataFrame) -> Vocabulary:
     return Vocabulary([bytes(r.word) for r in top], numbers)
 
 
-def encode(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """(token numbers of all texts, tokens per text)."""
+@dataclass
+class Within:
+    """P(word | bucket): uses of a word among the ``total`` uses in its bucket and the ``kinds`` of words there."""
+
+    hot: dict[bytes, int]
+    rest: DataFrame  # (word, n) of all words that are not hot
+    total: np.ndarray
+    kinds: np.ndarray
+
+
+def within_buckets(counts: DataFrame, vocabulary: Vocabulary, hot_words: int = HOT_WORDS) -> Within:
+    """From the counts of all words. At most ``hot_words`` are gathered: those from the least level of use that allows it."""
+    level = F.floor(F.log2("n") * 16).cast("int")
+    levels = counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()  # some hundred rows
+    least, held = 1 << 30, 0
+    for row in sorted(levels, reverse=True):
+        held += row.words
+        if held > hot_words:
+            break
+        least = row.level
+    hot = counts.where(level >= least).select("word", "n").toArrow()
+    bucket = F.pmod(F.crc32("word"), F.lit(BUCKETS)).cast("int")
+    kinds = np.zeros(BUCKETS)
+    for row in counts.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("words")).collect():
+        kinds[row.bucket] = row.words
+    for word in vocabulary.number:  # frequent words are not in their bucket
+        kinds[zlib.crc32(word) % BUCKETS] -= 1
+    return Within(
+        dict(zip(hot["word"].to_pylist(), hot["n"].to_pylist())), counts.where(level < least).select("word", "n"),
+        vocabulary.counts[TOKENS - BUCKETS:], np.maximum(kinds, 1),
+    )
+
+
+def unseen_log(word: Column, kinds: np.ndarray) -> Column:
+    """For a word that was never counted: the logarithm of its bucket's kinds, and as many times 1/257 as it has bytes, and an end."""
+    per_bucket = F.array(*[F.lit(float(x)) for x in np.log(kinds)])
+    bucket = F.pmod(F.crc32(word), F.lit(BUCKETS)).cast("int")
+    return F.get(per_bucket, bucket) - (F.octet_length(word) + 1) * F.lit(float(np.log(257)))
+
+
+def _distinct(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of each word of all texts among the distinct ones, distinct words, words per text)."""
     words = [split(t) for t in texts]
     counts = np.array([len(w) for w in words], np.int64)
     flat = np.empty(int(counts.sum()), dtype=object)
     flat[:] = [w for ws in words for w in ws]
-    if not len(flat):
-        return np.empty(0, np.int32), counts
     codes, distinct = pd.factorize(flat)
+    return codes, distinct, counts
+
+
+def encode(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """(token numbers of all texts, tokens per text)."""
+    codes, distinct, counts = _distinct(texts)
     return vocabulary.of_words(distinct)[codes], counts
 
 
@@ -255,27 +307,63 @@ def train(docs: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     return unflatten(rows["value"].to_numpy()) if len(rows) else begin
 
 
-def score(docs: DataFrame, vocabulary: Vocabulary, parameters: dict[str, np.ndarray]) -> DataFrame:
-    """``docs`` without the text, and n_tokens, log_likelihood (sum) and mean_log_likelihood."""
-    own = [f for f in docs.schema.fields if f.name not in ("text", "n_tokens", "log_likelihood", "mean_log_likelihood")]
-    schema = T.StructType([*own, *T.StructType.fromDDL("n_tokens long, log_likelihood double, mean_log_likelihood double").fields])
+def score(docs: DataFrame, vocabulary: Vocabulary, parameters: dict[str, np.ndarray], within: Within | None = None) -> DataFrame:
+    """``docs`` without the text, and n_tokens, log_likelihood (sum) and mean_log_likelihood.
+
+    With ``within`` they are of the words themselves, otherwise of the network's tokens, where a bucket is one token.
+    """
+    ours = ("text", "n_tokens", "log_likelihood", "mean_log_likelihood", "_lm_row", "_lm_rare")
+    own = [f for f in docs.schema.fields if f.name not in ours]
+    added = "n_tokens long, log_likelihood double, _lm_row long, _lm_rare array<binary>"
+    schema = T.StructType([*own, *T.StructType.fromDDL(added).fields])
+    first_bucket = TOKENS - BUCKETS
+    hot, share = (within.hot, -np.log(within.total + within.kinds)) if within else ({}, np.zeros(BUCKETS))
+    whole = within is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = batch.column("text")
             for first, end in ranges(texts):
-                tokens, counts = encode(texts.slice(first, end - first).to_pylist(), vocabulary)
+                codes, distinct, counts = _distinct(texts.slice(first, end - first).to_pylist())
+                number = vocabulary.of_words(distinct)
+                tokens = number[codes]
                 values = log_probabilities(parameters, tokens, contexts(tokens, counts))
-                sums = np.bincount(np.repeat(np.arange(len(counts)), counts), values, len(counts))
-                mean = pa.array(np.divide(sums, counts, out=np.zeros(len(sums)), where=counts > 0), mask=counts == 0)
+                of_doc = np.repeat(np.arange(len(counts)), counts)
+                rare = np.zeros(len(distinct), bool)
+                if whole:
+                    inside = np.flatnonzero(number >= first_bucket)
+                    uses = np.array([hot.get(w, 0) for w in distinct[inside]], np.float64)
+                    logs = np.zeros(len(distinct))
+                    logs[inside] = share[number[inside] - first_bucket] + np.log(np.maximum(uses, 1))
+                    rare[inside] = uses == 0
+                    values += logs[codes]
+                at = np.flatnonzero(rare[codes])
+                ends = np.cumsum(np.bincount(of_doc[at], minlength=len(counts)))
+                words = pa.array(distinct, pa.binary()).take(pa.array(codes[at], pa.int64()))
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), words)
+                sums = np.bincount(of_doc, values, len(counts))
                 kept = [batch.column(f.name).slice(first, end - first) for f in own]
-                yield pa.RecordBatch.from_arrays(kept + [pa.array(counts), pa.array(sums), mean], [f.name for f in schema.fields])
-
-    return docs.mapInArrow(run, schema)
+                rows = pa.array(np.arange(row, row + len(counts)))
+                row += len(counts)
+                results = [pa.array(counts), pa.array(sums, pa.float64()), rows, lists]
+                yield pa.RecordBatch.from_arrays(kept + results, [f.name for f in schema.fields])
+
+    scored = docs.mapInArrow(run, schema)
+    total = F.col("log_likelihood")
+    if whole:
+        scored = written(scored, "lm-scored")  # row numbers must not change between the uses
+        rare = scored.select("_lm_row", F.explode("_lm_rare").alias("word")).join(within.rest, "word", "left")
+        log = F.coalesce(F.log("n"), unseen_log(F.col("word"), within.kinds))
+        scored = scored.join(rare.groupBy("_lm_row").agg(F.sum(log).alias("_lm_log")), "_lm_row", "left")
+        total = total + F.coalesce("_lm_log", F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, total / F.col("n_tokens"))
+    return scored.select(*[F.col(f"`{f.name}`") for f in own], "n_tokens", total.alias("log_likelihood"), mean.alias("mean_log_likelihood"))
 
 
 def op1_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-log-likelihood of every document under a network trained on all of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    known = vocabulary(docs)
-    return score(docs, known, train(docs, known))
+    counts = written(word_counts(docs), "lm-words")
+    known = vocabulary(docs, counts)
+    return score(docs, known, train(docs, known), within_buckets(counts, known))
