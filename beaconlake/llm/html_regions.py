@@ -8,7 +8,10 @@ document is known, so that each block of the page is found in the document's tex
 
 What counts as a part beside the text: elements that by their name, role, or class or id words are menus, headers and
 footers of the page, sidebars, notices, adverts, forms, comments and the like; where a page has an ``article`` or
-``main``, also everything outside it. Inside the region such parts are left out.
+``main``, also everything outside it. Inside the region such parts are left out. A name with ``has-``, ``no-``, ``-open``
+and the like tells a state and names no part. What an outer element's class or id says is only a first guess: a ``main``
+ends it, an ``article`` too where most of the page's words stand in such articles, and each class or id word has a weight
+of its own, so that a word whose blocks are found in the documents counts as running text.
 
 Defined results: null, empty and wordless pages give an empty text; broken markup is read as far as it goes, unclosed
 elements end with their parent; equal sums take the first region; repeated rows give equal rows; empty tables none. White
@@ -33,6 +36,7 @@ from beaconlake.llm.url_filters import path_of
 SAMPLE_PAGES = 1_000
 WORD_RANGE, TAG_RANGE = (0.1, 2.0), (-0.5, -0.01)
 BESIDE_SCORE = -0.001
+LEAST_WORDS = 5  # a shorter block stands in many documents by chance
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frame "
@@ -58,41 +62,68 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 PIECES = re.compile(r"[a-z]+")
+# First or last piece of a name that tells a state, such as has-sidebar or menu-open.
+STATE_FIRST = frozenset("has with without no not".split())
+STATE_LAST = frozenset("open opened closed active inactive enabled disabled visible expanded collapsed on off".split())
 
 
-def _beside(name: str, attributes: str, in_main: bool) -> bool:
+def _named(value: str) -> str:
+    """The first word of ``BESIDE_WORDS`` in a class or id that names the element itself."""
+    for name in value.split():
+        pieces = PIECES.findall(name)
+        if pieces and pieces[0] not in STATE_FIRST and (len(pieces) == 1 or pieces[-1] not in STATE_LAST):
+            for piece in pieces:
+                if piece in BESIDE_WORDS:
+                    return piece
+    return ""
+
+
+def _beside(name: str, attributes: str, in_main: bool) -> bool | str:
+    """True for a part beside the text, or the class or id word that says so; False or '' for none."""
     if name in BESIDE_TAGS or (name == "header" and not in_main):
         return True
     if not attributes or name in ("html", "body", "article", "main"):
         # The page itself and its main part are never beside the text; an article may be a comment.
         if name != "article" or not attributes:
             return False
+    word = ""
     for key, *values in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values).lower()
-        if key in ("class", "id") and not BESIDE_WORDS.isdisjoint(PIECES.findall(value)):
-            return True
+        if key in ("class", "id"):
+            word = word or _named(value)
         if key == "role" and value.strip() in BESIDE_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
             return True
         if key == "style" and "display:none" in value.replace(" ", ""):
             return True
-    return False
+    return word
 
 
 class Token:
-    """A tag (``tag``) or a block of words (``text``); ``beside`` for those in parts beside the text."""
+    """A tag (``tag``) or a block of words (``text``); ``beside``: True or a class or id word in parts beside the text."""
 
     __slots__ = ("tag", "text", "n_words", "beside", "in_main")
 
-    def __init__(self, tag: str | None, text: str, beside: bool, in_main: bool):
+    def __init__(self, tag: str | None, text: str, beside: bool | str, in_main: bool):
         self.tag, self.text, self.beside, self.in_main = tag, text, beside, in_main
         self.n_words = len(text.split(" ")) if text else 0
 
 
 def tokens(page: str | None) -> list[Token]:
     """The tags and blocks of a page in order; a block never crosses the tag of a block element."""
-    page = page or ""
+    out, inner = _read(page or "", ("main",))
+    if inner:
+        opened, _ = _read(page or "", ("main", "article"))
+        before, after = (sum(t.n_words for t in ts if not t.beside) for ts in (out, opened))
+        # A box of teasers holds articles too, but not most of the words.
+        return opened if after > 2 * before else out
+    return out
+
+
+def _read(page: str, ends: tuple[str, ...]) -> tuple[list[Token], bool]:
+    """(tokens, whether there is an article inside a part beside the text); ``ends`` end what a class or id word began."""
+    inner = False
     out: list[Token] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, beside, in the main part
+    stack: list[tuple[str, bool | str, bool]] = []  # name, beside, in the main part
     pieces: list[str] = []
     state = (False, False)
 
@@ -139,7 +170,10 @@ def tokens(page: str | None) -> list[Token]:
                 state = stack[-1][1:] if stack else (False, False)
                 out_of = state
             if name not in VOID and not match[3].rstrip().endswith("/"):
-                beside = state[0] or _beside(name, match[3], state[1])
+                own = _beside(name, match[3], state[1])
+                inner = inner or name == "article" and isinstance(state[0], str) and state[0] != "" and not own
+                # What names a part, ends a class or id word further out; True is never ended.
+                beside = own if state[0] is False or own is True or state[0] == "" or name in ends and state[0] is not True else state[0]
                 new = (beside, state[1] or name in ("article", "main") and not beside)
                 if new != state:
                     flush()
@@ -152,10 +186,10 @@ def tokens(page: str | None) -> list[Token]:
     if at < len(page):
         pieces.append(page[at:])
     flush()
-    return out
+    return out, inner
 
 
-def _close_paragraph(stack: list[tuple[str, bool, bool]], name: str) -> None:
+def _close_paragraph(stack: list[tuple[str, bool | str, bool]], name: str) -> None:
     """A block ends an open paragraph, a list item an open item of the same list."""
     for depth in range(len(stack) - 1, -1, -1):
         open_name = stack[depth][0]
@@ -167,9 +201,13 @@ def _close_paragraph(stack: list[tuple[str, bool, bool]], name: str) -> None:
 
 
 def kinds(page: list[Token]) -> list[str]:
-    """The kind of each token: ``text``, ``beside`` or the tag's name."""
+    """The kind of each token: ``text``, ``beside``, the tag's name, or ``beside:`` and the class or id word of a block."""
     has_main = any(t.n_words and t.in_main and not t.beside for t in page)
-    return ["beside" if t.beside or (t.n_words and has_main and not t.in_main) else t.tag or "text" for t in page]
+    return [
+        f"beside:{t.beside}" if t.n_words and t.beside and t.beside is not True
+        else "beside" if t.beside or (t.n_words and has_main and not t.in_main) else t.tag or "text"
+        for t in page
+    ]
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -189,26 +227,34 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
     parts = tokens(page)
     of_kind = kinds(parts)
     other = weights.get("", TAG_RANGE[0])
+    # A block whose class or id word has a weight above zero is running text; one below need not split the region.
+    running = {k for k in of_kind if k == "text" or k.startswith("beside:") and weights.get(k, 0) > 0}
     scores = [
-        BESIDE_SCORE if k == "beside" else t.n_words * weights["text"] if t.tag is None else weights.get(k, other)
+        t.n_words * weights[k] if k in running else BESIDE_SCORE if k.startswith("beside") else weights.get(k, other)
         for t, k in zip(parts, of_kind)
     ]
     start, end = best_region(scores)
-    return "\n".join(t.text for t, k in zip(parts[start:end], of_kind[start:end]) if k == "text")
+    return "\n".join(t.text for t, k in zip(parts[start:end], of_kind[start:end]) if k in running)
 
 
 def count_kinds(page: str | None, document: str | None) -> dict[str, tuple[int, int]]:
-    """Per kind, tokens (or words) inside the main text and outside: the region from the first to the last block in the document."""
+    """Per kind, tokens (or words) inside the main text and outside: the region from the first to the last block in the document.
+
+    Blocks with a class or id word are inside if they stand in the document themselves.
+    """
     parts = tokens(page)
     known = " ".join((document or "").split())
     of_kind = kinds(parts)
-    inside = [i for i, t in enumerate(parts) if t.n_words and of_kind[i] == "text" and t.text in known]
+    found = [i for i, t in enumerate(parts) if t.n_words and t.text in known]
+    named = {i for i in found if of_kind[i].startswith("beside:") and parts[i].n_words >= LEAST_WORDS}
+    inside = [i for i in found if of_kind[i] == "text"] or sorted(named)
     out: dict[str, tuple[int, int]] = {}
     if inside:
         for i, (t, k) in enumerate(zip(parts, of_kind)):
             a, b = out.get(k, (0, 0))
             n = t.n_words or 1
-            out[k] = (a + n, b) if inside[0] <= i <= inside[-1] else (a, b + n)
+            is_inside = i in named if k.startswith("beside:") else inside[0] <= i <= inside[-1]
+            out[k] = (a + n, b) if is_inside else (a, b + n)
     return out
 
 
@@ -218,7 +264,9 @@ def learn_weights(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
     weights = {"text": 1.0, "": TAG_RANGE[0]}
     for kind, (a, b) in counts.items():
         value = float(np.log((a + 1) / inside) - np.log((b + 1) / outside))
-        if kind != "beside":
+        if kind.startswith("beside:"):
+            weights[kind] = min(value, WORD_RANGE[1])
+        elif kind != "beside":
             weights[kind] = float(np.clip(value, *(WORD_RANGE if kind == "text" else TAG_RANGE)))
     return weights
 
