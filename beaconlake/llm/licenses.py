@@ -1,12 +1,16 @@
-"""License scans: lines of a text compared with licence notices by the Dice coefficient of their word bigrams.
+"""License scans: windows of a text's words compared with licence wordings by the Dice coefficient of their word bigrams.
 
-Text is normalised (lower case, only letters, digits and characters beyond ASCII make words). A template of b bigrams can
-reach coefficient t only with lines of t/(2-t)*b to (2-t)/t*b bigrams that share some of a few necessary bigrams, so most
-lines meet no template: bigrams are looked up in the broadcast list of necessary ones within the scan's stage, and only
-candidate lines leave it to be compared in full.
+Text is normalised (lower case, only letters, digits and characters beyond ASCII make words) and read across line ends, so
+wrapped and embedded notices are found. A template of b bigrams can reach coefficient t only with windows of t/(2-t)*b to
+(2-t)/t*b distinct bigrams that share some of a few necessary bigrams, so most texts meet no template: bigrams are looked
+up in the broadcast list of necessary ones within the scan's stage, and only candidate texts are compared in full.
 
-Defined results: null, empty and wordless texts match nothing; a line of one word has no bigram and matches nothing;
-among equal coefficients the first template by name counts; repeated documents give equal rows. Whole texts are
+Windows have at most (2-t)/t*b bigrams. The best one begins and ends with a bigram of the template, as dropping another
+bigram at an end never lowers the coefficient, so only such windows are compared. Of windows that overlap the one with the
+largest coefficient counts, then the one with more words, then the first.
+
+Defined results: null, empty and wordless texts match nothing; a text of one word has no bigram and matches nothing;
+among equal windows the first template by name counts; repeated documents give equal rows. Whole texts are
 read, however long. Other columns are kept by ``scan_licenses``.
 """
 
@@ -46,6 +50,7 @@ TEMPLATES: dict[str, Sequence[str]] = {
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     ),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
     "All-rights-reserved": ("All rights reserved.",),
@@ -98,30 +103,57 @@ def wordings(spark: SparkSession, templates: Mapping[str, Sequence[str]], min_di
 
 
 def license_lines(texts: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, min_dice: float = MIN_DICE) -> DataFrame:
-    """(text_key, line, license, dice): the best licence of each line that is a notice; ``texts`` has (text_key, text).
+    """(text_key, line, license, dice): the notices of each text by the line they begin on; ``texts`` has (text_key, text).
 
-    Equal texts with equal keys give one row per line. Lines count from 1.
+    Equal texts with equal keys give one row per notice. Lines count from 1.
     """
     if not 0 < min_dice <= 1:
         raise ValueError("min_dice must be above 0 and at most 1")
     known, necessary = wordings(texts.sparkSession, templates, min_dice)
-    lines = texts.select("text_key", F.posexplode(F.split("text", "\n")).alias("line", "line_text"))
-    split = lines.select("text_key", "line", normalised(F.col("line_text")).alias("words"))
-    # Outer, so that Spark does not split each line a second time to look for empty ones; their null words match nothing.
-    pairs = split.select("text_key", "line", "words", F.posexplode_outer("words").alias("at", "word"))
+    split = texts.select("text_key", normalised(F.col("text")).alias("words"))
+    # Outer, so that Spark does not split each text a second time to look for empty ones; their null words match nothing.
+    pairs = split.select("text_key", "words", F.posexplode_outer("words").alias("at", "word"))
     pairs = pairs.where(F.col("at") < F.size("words") - 1).select(
-        "text_key", "line", "words", bigram_key(F.col("word"), F.element_at("words", F.col("at") + 2)).alias("bigram")
+        "text_key", F.size("words").alias("n"), bigram_key(F.col("word"), F.element_at("words", F.col("at") + 2)).alias("bigram")
     )
     necessary = necessary.select(bigram_key(*[F.split("bigram", " ")[i] for i in (0, 1)]).alias("bigram"), "wording", "low")
     # The templates are a given list of bounded size, so both of their tables are broadcast.
-    met = pairs.join(F.broadcast(necessary), "bigram").where(F.size("words") - 1 >= F.col("low"))
-    candidates = met.select("text_key", "line", "wording", F.array_join("words", " ").alias("line_words")).distinct()
-    sized = candidates.withColumn("found", bigrams(F.split("line_words", " "))).join(F.broadcast(known), "wording")
-    sized = sized.where((F.size("found") >= F.col("low")) & (F.size("found") <= F.col("high")))
+    met = pairs.join(F.broadcast(necessary), "bigram").where(F.col("n") - 1 >= F.col("low"))
+    candidates = written(met.select("text_key", "wording").distinct(), "license-candidates")
+    keys = candidates.select("text_key").distinct()
+    # Copies of a text become one before they leave their task.
+    once = texts.join(broadcast_if_small(keys), "text_key", "left_semi").groupBy("text_key").agg(F.min("text").alias("text"))
+    once = once.select(
+        "text_key", normalised(F.col("text")).alias("words"),
+        F.flatten(F.transform(F.split("text", "\n"), lambda x, i: F.array_repeat(i + 1, F.size(normalised(x))))).alias("lines"),
+    )
+    once = once.withColumn("pairs", F.zip_with("words", F.slice("words", 2, F.size("words")), lambda a, b: F.concat_ws(" ", a, b)))
+    sized = once.join(broadcast_if_small(candidates), "text_key").join(F.broadcast(known), "wording")
+    # Places (from 1) of the template's bigrams; the last word begins none.
+    places = F.filter(
+        F.transform("pairs", lambda x, i: F.when((i < F.size("words") - 1) & F.array_contains("own", x), i + 1)), lambda x: x.isNotNull()
+    )
+    hits = sized.select("text_key", "license", "own", "size", "low", "high", "words", "lines", places.alias("hits"))
+    hits = hits.where(F.size("hits") >= F.col("low")).select("*", F.posexplode("hits").alias("k", "first"))
+    last = F.slice("hits", F.col("k") + F.col("low"), F.col("high") - F.col("low") + 1)
+    hits = hits.select(
+        "text_key", "license", "own", "size", "low", "high", "first", F.get("lines", F.col("first") - 1).alias("line"),
+        F.slice("words", F.col("first"), F.col("high") + 1).alias("near"),
+        F.filter(last, lambda e: e - F.col("first") < F.col("high")).alias("last"),
+    )
+    windows = hits.select("*", F.explode("last").alias("end"))
+    windows = windows.withColumn("found", bigrams(F.slice("near", 1, F.col("end") - F.col("first") + 2)))
     dice = 2 * F.size(F.array_intersect("found", "own")) / (F.size("found") + F.col("size"))
-    matched = sized.select("text_key", "line", "license", dice.alias("dice")).where(F.col("dice") >= min_dice)
-    best = matched.groupBy("text_key", "line").agg(F.min(F.struct((-F.col("dice")).alias("key"), "license")).alias("best"))
-    return best.select("text_key", (F.col("line") + 1).alias("line"), F.col("best.license").alias("license"), (-F.col("best.key")).alias("dice"))
+    matched = windows.select("text_key", "license", "line", "first", (F.col("end") + 1).alias("end"), dice.alias("dice"))
+    matched = matched.where(F.col("dice") >= min_dice)
+    order = F.struct((-F.col("dice")).alias("key"), (F.col("first") - F.col("end")).alias("length"), "first", "license", "end", "line")
+    per_start = matched.groupBy("text_key", "first").agg(F.min(order).alias("window"))
+    ranked = per_start.groupBy("text_key").agg(F.array_sort(F.collect_list("window")).alias("windows"))
+    none = F.slice("windows", 1, 0)
+    chosen = F.aggregate("windows", none, lambda kept, w: F.when(
+        F.exists(kept, lambda k: (k["first"] <= w["end"]) & (w["first"] <= k["end"])), kept).otherwise(F.concat(kept, F.array(w))))
+    found = ranked.select("text_key", F.explode(chosen).alias("w"))
+    return found.select("text_key", F.col("w.line").alias("line"), F.col("w.license").alias("license"), (-F.col("w.key")).alias("dice"))
 
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, min_dice: float = MIN_DICE) -> DataFrame:
