@@ -157,6 +157,130 @@ judged as (
 select page_id, host, path, rule, coalesce(kind, case when bound < 0.5 then 'block' else 'allow' end) as verdict from judged
 """
 
+def _op11(centroids: int = 40, rounds: int = 5) -> str:
+    """Plain rounds: every vector against every centroid."""
+    steps = [f"""
+kept as (
+    select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as p
+    from embeddings
+    where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64
+),
+c0 as (
+    select row_number() over (order by sha256('2:' || vec_id::varchar) nulls last, p) - 1 as c, p
+    from kept qualify c < {centroids}
+)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+d{i} as (
+    select r, c, list_sum(list_transform(list_zip(kept.p, c{i}.p), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as distance
+    from kept, c{i}
+),
+a{i} as (select r, arg_min(c, (distance, c)) as c, min(distance) as distance from d{i} group by r)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} as (
+    select c, d, sum(x) as s, count(*) as n
+    from (select a{i}.c, unnest(p) as x, unnest(range(64)) as d from kept join a{i} using (r)) group by c, d
+),
+f{i} as (select c, list(((s - ((s % n) + n) % n) // n)::bigint order by d) as p from m{i} group by c),
+c{i + 1} as (select c, coalesce(f{i}.p, c{i}.p) as p from c{i} left join f{i} using (c))""")
+    return "with" + ",".join(steps) + f"""
+select vec_id, c::integer as cluster, distance, sum(distance) over (partition by c)::bigint as cluster_inertia,
+    sum(distance) over ()::bigint as inertia, sha256(array_to_string(c{rounds}.p, ',')) as centroid_sha256
+from kept join a{rounds} using (r) join c{rounds} using (c)
+"""
+
+
+#: Kinds of secrets in order: name, pattern, least length of group 2 (0: no test).
+_SECRETS = (
+    ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6),
+    ("access", "AKIA[A-Z0-9]{16,}", 0),
+    ("hex", "[0-9a-f]{24,}", 0),
+    ("private_key", "-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----", 0),
+    ("github", "gh[oprsu]_[A-Za-z0-9]{36,}", 0),
+    ("slack", "xox[abeoprs]-[A-Za-z0-9-]{10,}", 0),
+    ("google", "AIza[A-Za-z0-9_-]{35,}", 0),
+    ("stripe", "[rs]k_live_[A-Za-z0-9]{16,}", 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,512}\.eyJ[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]{8,}", 0),
+    ("url", r"://[^\x00-\x20/:@]{1,256}:[^\x00-\x20/@]{1,256}@", 0),
+)
+
+
+def _op12() -> str:
+    kinds = []
+    for no, (name, pattern, least) in enumerate(_SECRETS):
+        quoted = pattern.replace("'", "''")
+        test = f"length(regexp_extract(match, '{quoted}', 2)) >= {least}" if least else "true"
+        kinds.append(f"""
+    select r, {no} as no, '{name}' as kind, gap, length(match) as size, i, {test} as kept from (
+        select r, unnest(regexp_extract_all(text, '{quoted}')) as match,
+            unnest(list_transform(string_split_regex(text, '{quoted}'), lambda x: length(x))) as gap,
+            unnest(range(1, len(regexp_extract_all(text, '{quoted}')) + 1)) as i
+        from docs
+    ) where match is not null""")
+    return f"""
+with docs as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+matches as ({" union all ".join(kinds)}
+),
+placed as (select *, sum(gap + size) over (partition by r, no order by i) as stop from matches),
+spans as (select r, no, kind, stop - size as start, kind || ':' || (stop - size) || ':' || stop as span from placed where kept),
+per_doc as (
+    select r, count(*) filter (where kind = 'assign') as n_assign, count(*) filter (where kind = 'access') as n_access,
+        count(*) filter (where kind = 'hex') as n_hex,
+        string_agg(span, ',' order by start, no) filter (where no < 3) as base, string_agg(span, ',' order by start, no) as spans
+    from spans group by r
+)
+select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access,
+    coalesce(n_hex, 0)::bigint as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from docs left join per_doc using (r)
+"""
+
+
+OP13 = """
+with turns as (
+    select conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as id,
+        octet_length(encode(coalesce(text, ''))) as size,
+        row_number() over (partition by conv_id order by turn nulls first, id, size) as n
+    from conversations where conv_id is not null
+),
+convs as (
+    select conv_id, conv_id - conv_id % 5 as base,
+        xor(list_reduce(
+            list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+            lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda r, i: xor(r >> 1, 3988292384 * (r & 1)))
+        ), 4294967295::bigint) % 9 as heads
+    from (select distinct conv_id from turns)
+),
+parts as (
+    select c.conv_id, 0 as part, n, id, size from convs c join turns t on t.conv_id = c.base and n <= heads
+    union all
+    select c.conv_id, 1, n, id, size from convs c join turns t on t.conv_id = c.conv_id and n > heads
+),
+paths as (
+    select conv_id, string_agg(id, '') over steps as key, row_number() over steps as depth, size,
+        count(*) over (partition by conv_id) as n_turns
+    from parts window steps as (partition by conv_id order by part, n)
+    union all
+    select conv_id, '', 0, 0, (select count(*) from parts p where p.conv_id = c.conv_id) from convs c
+),
+nodes as (
+    select key, depth, min(conv_id) as conv_id, count(*) as n_convs, max(size) as size,
+        string_agg(conv_id::varchar, ',' order by conv_id) filter (where depth = n_turns) as ends
+    from paths group by key, depth
+),
+children as (select substr(key, 1, length(key) - 32) as key, count(*) as n_children from nodes where depth > 0 group by 1),
+below as (
+    select substr(key, 1, 32 * d) as key, count(*) filter (where n_children is null) as n_leaves,
+        sum((n_convs - 1) * size)::bigint as saved_tokens
+    from (select nodes.*, n_children, unnest(range(depth + 1)) as d from nodes left join children using (key)) group by 1
+)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children, n_leaves,
+    saved_tokens, sha256(coalesce(n.ends, '')) as ends_sha256
+from nodes n left join children using (key) join below using (key)
+left join nodes p on n.depth > 0 and p.key = substr(n.key, 1, length(n.key) - 32)
+"""
+
 ORACLES: dict[str, str] = {
     "op6_decontamination": OP6, "op7_warc_zip": OP7, "op9_mixing": OP9, "op10_url_filters": OP10,
+    "op11_centroids": _op11(), "op12_secret_scan": _op12(), "op13_prefix_trie": OP13,
 }
