@@ -15,6 +15,8 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept
 PAGES = "page_id long, url string, html string, host string, text_key string"
 BENCHMARK = "item_id long, text string, window string"
 LABELS = "doc_id long, quality int, toxic int, score double"
+EMBEDDINGS = "vec_id long, embedding array<float>, label int, cluster string, point int"
+CONVERSATIONS = "conv_id long, turn long, role string, text string, key string, depth int"
 
 
 def prose(seed, n):
@@ -25,9 +27,10 @@ def prose(seed, n):
 LONG = prose(1, 30_000)
 
 
-def write(spark, path, documents, pages, benchmark, labels):
+def write(spark, path, documents, pages, benchmark, labels, embeddings, conversations):
     for name, rows, schema in (
         ("documents", documents, DOCS), ("pages", pages, PAGES), ("benchmark", benchmark, BENCHMARK), ("labels", labels, LABELS),
+        ("embeddings", embeddings, EMBEDDINGS), ("conversations", conversations, CONVERSATIONS),
     ):
         spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{path}/{name}.parquet")
     return str(path)
@@ -52,19 +55,42 @@ def odd(spark, tmp_path_factory):
     ]
     benchmark = [(1, None, "w"), (2, "", "w"), (3, item, "w"), (4, item, "w"), (None, item, "w"), (5, "one", "w")]
     labels = [(None, 1, 0, 0.0), (5, None, 0, 0.0), (5, 1, 0, 0.0), (5, 0, 0, 0.0), (6, 1, 0, 0.0), (4, 1, 0, 0.0), (12, 0, 0, 0.0), (99, 0, None, 0.0)]
-    return write(spark, tmp_path_factory.mktemp("odd"), documents, pages, benchmark, labels)
+    def vector(vec_id, *values, size=64):
+        return vec_id, [*values, *[0.0] * (size - len(values))], 0, "cluster?", 1
+
+    embeddings = [
+        vector(1), vector(1), vector(2, -0.001), vector(3, 1e30, -1e30), vector(None, 2.5), vector(None, 2.5), vector(4, size=63),
+        vector(5, size=65), vector(6, float("nan")), vector(7, float("inf")), vector(8, None), (9, None, 0, "", 0), (10, [], 0, "", 0),
+    ]
+    # The first turns of a conversation are those of the one whose id is a multiple of five below it.
+    conversations = [
+        (5, 1, "user", "a", "key?", 7), (5, None, "user", "first", "key?", 7), (5, 2, None, None, "key?", 7), (5, 2, "", "", "key?", 7),
+        (6, 1, "user", "b", "key?", 7), (-7, 1, "user", LONG, "key?", 7), (None, 1, "user", "lost", "key?", 7), (11, 0, "user", "c", "key?", 7),
+    ]
+    return write(spark, tmp_path_factory.mktemp("odd"), documents, pages, benchmark, labels, embeddings, conversations)
 
 
 @pytest.fixture(scope="module")
 def empty(spark, tmp_path_factory):
-    return write(spark, tmp_path_factory.mktemp("empty"), [], [], [], [])
+    return write(spark, tmp_path_factory.mktemp("empty"), [], [], [], [], [], [])
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_odd_rows(spark, odd, name):
     rows = entry.queries()[name](spark, odd).collect()
-    if name != "pipeline":
-        assert len(rows) == (8 if name in ("op5_html_regions", "op7_warc_zip", "op10_url_filters") else 17)
+    if name not in ("pipeline", "op13_prefix_trie"):
+        assert len(rows) == {"op5_html_regions": 8, "op7_warc_zip": 8, "op10_url_filters": 8, "op11_centroids": 6}.get(name, 17)
+    if name == "op11_centroids":
+        # As many centroids as vectors, so each is its own or an equal one's.
+        assert sorted((r.vec_id, r.distance) for r in rows if r.vec_id) == [(1, 0), (1, 0), (2, 0), (3, 0)]
+        assert len({r.cluster for r in rows if r.vec_id in (1, 2)}) == 2 and {r.inertia for r in rows} == {0}
+    if name == "op12_secret_scan":
+        assert {(r.n_assign, r.n_access, r.n_hex, r.spans) for r in rows} == {(0, 0, 0, "")}
+    if name == "op13_prefix_trie":
+        # Conversation 5 is its own base; 6 keeps its turns after as many as it takes; 11 and -7 have no base.
+        root = [r for r in rows if r.depth == 0]
+        assert len(root) == 1 and (root[0].conv_id, root[0].parent_conv_id, root[0].n_convs) == (-7, None, 4)
+        assert {r.depth for r in rows if r.conv_id == 5} == {1, 2, 3, 4}
     if name == "op2_suffix_rules":
         by_id = {r.doc_id: r for r in rows}
         assert by_id[1].n_words == by_id[2].n_words == by_id[3].n_words == 0 and not by_id[1].kept
