@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -36,7 +37,7 @@ from beaconlake.operators.skew import heavy_keys, lookup_join
 from beaconlake.session import run_path
 
 FOUND = "array<struct<rule:string,version:string,start:int,end:int>>"
-LEDGER = f"blob string, versions array<string>, found {FOUND}"
+LEDGER = f"blob binary, versions array<string>, found {FOUND}"
 
 #: Rows of one blob that may meet in one task.
 MAX_COPIES = 100_000
@@ -86,7 +87,7 @@ RULES = BASE + MORE
 
 
 def _blob(text: Column) -> Column:
-    return F.sha2(F.coalesce(text, F.lit("")), 256)
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
 def entries(history: DataFrame) -> DataFrame:
@@ -104,19 +105,30 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
 
 
 def unseen(named: DataFrame, known: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """(blob, path, version, todo): an owner of every blob with rule versions that ``known`` has not tried on it."""
+    """(blob, path, version, todo): an owner of every blob with rule versions that ``known`` has not tried on it.
+
+    ``todo`` has a bit per rule: the list is what a broadcast carries, so its rows are small.
+    """
     seen = known.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("versions"))).alias("seen"))
     owners = named.groupBy("blob").agg(F.min(F.struct("path", "version")).alias("owner"))
-    versions = F.array(*[F.lit(rule.version) for rule in rules])
-    todo = F.array_except(versions, F.coalesce("seen", F.array().cast("array<string>")))
-    return owners.join(seen, "blob", "left").select("blob", "owner.*", todo.alias("todo")).where(F.size("todo") > 0)
+    seen_before = F.coalesce("seen", F.array().cast("array<string>"))
+    bits = [
+        F.when(F.array_contains(seen_before, rule.version), F.lit(0)).otherwise(F.lit(1 << no)).cast("bigint")
+        for no, rule in enumerate(rules)
+    ]
+    todo = reduce(lambda a, b: a + b, bits)
+    return owners.join(seen, "blob", "left").select("blob", "owner.*", todo.alias("todo")).where("todo > 0")
+
+
+def _to_try(no: int) -> Column:
+    return F.getbit("todo", F.lit(no)) == 1
 
 
 def scan(texts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(blob, rule, version, start, end) of the matches in ``texts`` (blob, text, todo), in code points, end exclusive."""
 
     def found(no: int, rule: Rule) -> Column:
-        tried = F.array_contains("todo", rule.version)
+        tried = _to_try(no)
         if rule.needles:
             tried = tried & F.greatest(*[F.contains("text", F.lit(needle)) for needle in rule.needles], F.lit(False))
         return F.struct(
@@ -165,8 +177,9 @@ def update_ledger(history: DataFrame, named: DataFrame, ledger: str, rules: Sequ
     )
     spans = scan(owned.select("blob", "text", "todo"), rules)
     found = spans.groupBy("blob").agg(F.collect_list(F.struct("rule", "version", "start", "end")).alias("found"))
+    versions = F.array_compact(F.array(*[F.when(_to_try(no), F.lit(rule.version)) for no, rule in enumerate(rules)]))
     part = todo.join(found, "blob", "left").select(
-        "blob", F.col("todo").alias("versions"), F.coalesce("found", F.array().cast(FOUND)).alias("found")
+        "blob", versions.alias("versions"), F.coalesce("found", F.array().cast(FOUND)).alias("found")
     )
     part.write.mode("append").parquet(ledger)
 

@@ -53,7 +53,7 @@ def test_clean_text_has_no_findings(spark):
 
 
 def scanned_pairs(spark, ledger):
-    return sorted((r.blob, v) for r in secrets.read_ledger(spark, ledger).collect() for v in r.versions)
+    return sorted((bytes(r.blob), v) for r in secrets.read_ledger(spark, ledger).collect() for v in r.versions)
 
 
 def test_a_run_scans_only_what_the_ledger_lacks(spark):
@@ -93,7 +93,7 @@ def test_long_texts(spark):
 
 def test_no_python_in_the_plan(spark):
     rows = history(spark, [("p", 0, TEXTS[2], "")])
-    texts = spark.createDataFrame([("b", "t", ["v"])], "blob string, text string, todo array<string>")
+    texts = spark.createDataFrame([(b"b", "t", 1)], "blob binary, text string, todo long")
     for df in (secrets.scan_history(rows, run_path(spark, "ledger")), secrets.scan(texts, secrets.RULES)):
         plan = df._jdf.queryExecution().toString()
         assert not any(word in plan for word in ("InArrow", "EvalPython", "InPandas"))
