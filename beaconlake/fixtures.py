@@ -284,15 +284,18 @@ def manual_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as topic rows. Some messages are sent twice, carry unknown fields or are broken."""
+def topic_rows(spark: SparkSession, sf_dir: str, extra: str = '"extra"') -> DataFrame:
+    """The events as topic rows. Some messages are sent twice, carry unknown fields or are broken.
+
+    ``extra`` is an unknown field's name with its quotes.
+    """
     staged = staged_events(spark, sf_dir)
     events = as_raw_events(staged)
     message = F.to_json(F.struct(*[F.col(f"`{c}`") for c in events.columns]))
     sent = events.select("*", F.explode(F.array(message)).alias("json"), F.col("event_id").cast("bigint").alias("eid"))
     kind = F.col("eid") % 100
     body = (
-        F.when(F.col("eid") % 20 == 3, F.concat(F.lit('{"extra":1,'), F.expr("substr(json, 2)")))
+        F.when(F.col("eid") % 20 == 3, F.concat(F.lit(f"{{{extra}:1,"), F.expr("substr(json, 2)")))
         .when(F.col("eid") % 20 == 4, F.replace("json", F.lit('"device_info":{'), F.lit('"device_info":{"zip":"x",')))
         .when(kind == 7, F.lit("not json"))
         .when(kind == 9, F.lit(""))

@@ -41,6 +41,7 @@ def attribute_events(
     touch_events: Sequence[str] = TOUCH_EVENTS,
     max_group_rows: int = MAX_GROUP_ROWS,
     currency: Column | None = None,
+    earlier_touches: DataFrame | None = None,
 ) -> DataFrame:
     """Attribute conversions to touches.
 
@@ -49,10 +50,14 @@ def attribute_events(
     conversion event, with the conversions and the value credited to it, and one row per unattributed conversion.
     Unattributed rows have a null ``source``; a conversion without a key is always unattributed. ``event_name`` is the
     conversion's. ``date`` is the conversion's too, but for credit of the shared models it is the touch's. With
-    ``currency`` (of the conversion) given, the models of one touch return it.
+    ``currency`` (of the conversion) given, the models of one touch return it. ``earlier_touches`` (key, timestamp,
+    event_id, source columns) stand for touches that ``identified`` leaves out; for the last touch, the last one of a day
+    is enough.
     """
     if model not in MODELS:
         raise ValueError(f"model must be one of {MODELS}")
+    if earlier_touches is not None and model != "last_touch":
+        raise ValueError("earlier touches stand in for events only where the last one counts")
     names = [conversion_event] if isinstance(conversion_event, str) else list(conversion_event)
     value = F.col("`order`")["value"] if value is None else value
     # One touch takes the whole amount as it is; only shares are exact decimals, and an amount beyond them has no share.
@@ -74,6 +79,12 @@ def attribute_events(
         (may_touch & F.col("source").isNotNull()).alias("is_touch"),
     )
     lookback_ms = lookback_days * DAY_MS
+    if earlier_touches is not None:
+        stored = [*earlier_touches.columns]
+        keyed = keyed.unionByName(earlier_touches.where("key is not null").select(
+            *[F.col(f"`{name}`") if name in stored else F.lit(name == "is_touch") if name.startswith("is_")
+              else F.lit(None).cast(keyed.schema[name].dataType).alias(name) for name in keyed.columns]
+        ).toDF(*keyed.columns))
     if model == "last_touch":
         return _last_touch(keyed, lookback_ms, heavy, max_group_rows).unionByName(_untouched(keyless))
     if model == "first_touch":
@@ -81,6 +92,17 @@ def attribute_events(
     return _shared(keyed, keyless, names, model, lookback_ms, heavy, max_group_rows)
 
 
+def touches(
+    identified: DataFrame, excluded: DataFrame | None = None, key: str = "profile_id", touch_events: Sequence[str] = TOUCH_EVENTS,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """(key, the columns ``keep``, touch): the touches among events that have a key."""
+    may_touch = identified.where(F.col("event_name").isin(list(touch_events)) & F.col(key).isNotNull()).select(
+        F.col(key).alias("key"), *keep, "timestamp", "event_id", "event_params"
+    )
+    return with_source(may_touch, excluded).where("source is not null").select("key", *keep, _touch_record().alias("touch"))
+
+
 def _touch_record() -> Column:
     return F.struct("timestamp", "event_id", *SOURCE_COLUMNS)
 

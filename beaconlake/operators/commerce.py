@@ -35,17 +35,23 @@ def latest_state(events: DataFrame, entity: str) -> DataFrame:
     )
 
 
-def balance_by_currency(states: DataFrame) -> DataFrame:
-    """Paid, refunded and net value of order or deal states per currency, summed as decimals so order cannot matter."""
+def balance_by_currency(states: DataFrame, report_left_out: bool = False) -> DataFrame:
+    """Paid, refunded and net value of order or deal states per currency, summed as decimals so order cannot matter.
+
+    An amount beyond ``MONEY`` is left out of the sums; with ``report_left_out`` a column counts those.
+    """
     def total(name: str):
-        return F.coalesce(F.sum(F.col(name).cast(MONEY)), F.lit(0).cast("decimal(37,6)"))
+        return F.coalesce(F.sum(F.col(name).try_cast(MONEY)), F.lit(0).cast("decimal(37,6)"))
 
     paid, refunded = total("paid_value"), total("refund_value")
+    beyond = [(F.col(name).isNotNull() & F.col(name).try_cast(MONEY).isNull()).cast("int") for name in ("paid_value", "refund_value")]
+    left_out = [F.sum(beyond[0] + beyond[1]).alias("left_out")] if report_left_out else []
     return states.groupBy("currency").agg(
         F.count(F.lit(1)).alias("records"),
         paid.cast("double").alias("paid_value"),
         refunded.cast("double").alias("refund_value"),
         (paid - refunded).cast("double").alias("net_value"),
+        *left_out,
     )
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,18 +131,27 @@ def load_manual_costs(
 ) -> tuple[DataFrame, DataFrame]:
     """Read an upload, ``csv`` with a header in each file or ``parquet``, and split it into (good, bad).
 
-    Each CSV file's own header names its fields, so files of one upload may order their columns differently.
+    Each CSV file's own header names its fields, so files of one upload may order their columns differently. Headers are
+    read by Spark, and all files with one header are one source: the driver sees the file names and the few headers. An
+    upload without files gives frames without rows.
     """
     if file_format not in ("csv", "parquet"):
         raise ValueError("file_format must be csv or parquet")
     if file_format == "parquet":
         return check_manual_costs(spark.read.parquet(path), prefix)
-    files = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    uploads = spark.read.option("recursiveFileLookup", "true").option("wholetext", "false")
+    lines = uploads.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
+    # The header is the first line of the block at a file's start; the lines of other blocks are not its first.
+    first = lines.where("start = 0").withColumn("place", F.monotonically_increasing_id())
+    headers = first.groupBy("path").agg(F.min_by("value", "place").alias("header"))
     parts = []
-    for file in sorted(files):
-        header = spark.read.csv(file, header=True, inferSchema=False, escape='"').columns
-        fields = StructType([StructField(name, StringType()) for name in [*header, CORRUPT_LINE]])
-        parts.append(spark.read.schema(fields).csv(file, header=True, escape='"', columnNameOfCorruptRecord=CORRUPT_LINE))
+    for row in headers.groupBy("header").agg(F.collect_list("path").alias("paths")).sort("header").collect():
+        names = next(csv.reader([row.header.lstrip("\ufeff")]), [])
+        fields = StructType([StructField(name, StringType()) for name in [*names, CORRUPT_LINE]])
+        reader = spark.read.schema(fields)
+        parts.append(reader.csv(sorted(unquote(path) for path in row.paths), header=True, escape='"', columnNameOfCorruptRecord=CORRUPT_LINE))
+    if not parts:
+        parts = [spark.createDataFrame([], "`date` STRING, cost STRING")]
     return check_manual_costs(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), prefix)
 
 

@@ -130,8 +130,17 @@ def identify_events(
     All identifiers of an event share a profile, so one of them finds it.
     """
     inserted_at = F.unix_millis(F.current_timestamp()) if inserted_at is None else inserted_at
+    nodes = raw.select("event_id", event_nodes(avid_col, use_contacts).alias("nodes"))
+    profiles = components(event_edges(nodes), max_group_rows)
+    return with_profiles(raw, profiles, avid_col, inserted_at, use_contacts, max_group_rows)
+
+
+def with_profiles(
+    raw: DataFrame, profiles: DataFrame, avid_col: str, inserted_at: Column, use_contacts: bool = False,
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Raw events with the profile that ``profiles`` (node, profile_id) gives one of their identifiers."""
     with_nodes = raw.withColumn("_nodes", event_nodes(avid_col, use_contacts))
-    profiles = components(event_edges(with_nodes.select("event_id", F.col("_nodes").alias("nodes"))), max_group_rows)
     keyed = with_nodes.withColumn("node", F.get("_nodes", F.lit(0)))
     found = lookup_join(keyed, profiles, ["node"], max_group_rows=max_group_rows)
     columns = [F.col(f"`{name}`") for name in raw.columns]
@@ -144,6 +153,44 @@ def identify_events(
     )
 
 
+def merge_profiles(known: DataFrame, new_edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Profiles after new links: (nodes of the links with their profile, renamed profiles).
+
+    ``known`` has the present profile of every stored node among the links' ends, and only of those: history is not
+    needed. The second frame is (old_profile_id, profile_id). The smallest identifier names a profile, so the smallest of
+    the merged profiles' names and the new nodes is the name of all.
+    """
+    def named(links: DataFrame, side: str) -> DataFrame:
+        lookup = known.select(F.col("node").alias(side), F.col("profile_id").alias(f"_{side}"))
+        return lookup_join(links, lookup, [side])
+
+    both = named(named(new_edges, "larger"), "smaller")
+    ends = both.select(
+        F.coalesce("_larger", "larger").alias("a"), F.coalesce("_smaller", "smaller").alias("b"),
+    ).where("a <> b")
+    linked = ends.select(F.greatest("a", "b").alias("larger"), F.least("a", "b").alias("smaller")).distinct()
+    moved = components(linked).checkpoint()
+    old_names = known.select(F.col("profile_id").alias("node")).distinct()
+    renamed = moved.where("node <> profile_id").join(old_names, "node", "left_semi").select(
+        F.col("node").alias("old_profile_id"), "profile_id"
+    )
+    nodes = new_edges.select(F.explode(F.array("larger", "smaller")).alias("node")).distinct()
+    present = lookup_join(nodes, known.withColumnRenamed("profile_id", "_profile"), ["node"])
+    present = present.select(F.col("node").alias("_node"), F.coalesce("_profile", "node").alias("node"))
+    result = lookup_join(present, moved, ["node"]).select(
+        F.col("_node").alias("node"), F.coalesce("profile_id", "node").alias("profile_id")
+    )
+    # Nodes of a renamed profile that no new link names keep their stored name, and find the new one by its alias.
+    return result, renamed
+
+
+def extend_aliases(aliases: DataFrame, renamed: DataFrame) -> DataFrame:
+    """All names that profiles ever had with the present one, after further renaming."""
+    later = renamed.select(F.col("old_profile_id").alias("profile_id"), F.col("profile_id").alias("_now"))
+    moved = lookup_join(aliases, later, ["profile_id"]).select("old_profile_id", F.coalesce("_now", "profile_id").alias("profile_id"))
+    return moved.unionByName(renamed)
+
+
 def extend_profiles(profiles: DataFrame, new_edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Add new links to stored profiles: (all nodes with their profile, alias table of renamed profiles).
 

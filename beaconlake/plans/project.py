@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from beaconlake import contracts
-from beaconlake.operators import attribution, checks, costs, identity, quality
+from beaconlake.operators import attribution, checks, costs
 from beaconlake.operators.rollups import UTM
 from beaconlake.operators.skew import small_lookup_join
-from beaconlake.plans import configs, jobs, warehouse
+from beaconlake.plans import configs, incremental, jobs, loads, warehouse
 
 CONFIGS = "project_configs"
 CONFIG_COLUMNS = (
@@ -40,14 +40,19 @@ RESULTS = {
 }
 
 
-def register_project(spark: SparkSession, project_id: int, location: str | None = None, **options) -> dict[str, str]:
+def register_project(
+    spark: SparkSession, project_id: int, location: str | None = None, buckets: int = incremental.BUCKETS, **options
+) -> dict[str, str]:
     """Everything ``bootstrap`` creates, the tables of the jobs' results, the project's settings with their defaults and
-    an empty run log. What exists stays as it is. ``options`` are those of ``bootstrap``."""
+    an empty run log. What exists stays as it is. ``buckets`` is for the tables of identifiers, of which a large project
+    wants more; ``options`` are those of ``bootstrap``."""
     resources = warehouse.bootstrap(spark, project_id, location, **options)
     database = resources["database"]
     for name, (columns, partition) in RESULTS.items():
         warehouse.create_table(spark, database, name, StructType.fromDDL(columns), (partition,))
         resources[name] = f"{database}.{name}"
+    incremental.create_state(spark, database, buckets)
+    loads.ledger(spark, resources["raw_events"])
     resources[CONFIGS] = f"{database}.{CONFIGS}"
     warehouse.create_table(spark, database, CONFIGS, StructType.fromDDL(CONFIG_COLUMNS), ())
     if spark.table(resources[CONFIGS]).isEmpty():
@@ -130,16 +135,13 @@ def attribute(
     spark: SparkSession, project_id: int, name: str, conversion_events: Sequence[str] = ("purchase",),
     model: str = "last_touch", lookback_days: int = 7, prefix: str = "",
 ) -> None:
-    """Raw events once each, with their profile, to ``identified_events``; their conversions to ``attributed_events``."""
-    if model not in ("last_touch", "first_touch"):
-        raise ValueError("the table of attributed events holds one touch per conversion")
-    once = quality.dedupe_events(spark.table(_table(project_id, "raw_events")))
-    identified = identity.identify_events(once, avid_col=f"{prefix}avid")
-    warehouse.save_rows(spark, identified, _table(project_id, "identified_events"), overwrite=True)
-    warehouse.save_rows(
-        spark, _attributed(spark, project_id, None, conversion_events, model, lookback_days),
-        _table(project_id, "attributed_events"), overwrite=True,
-    )
+    """Raw events once each, with their profile, to ``identified_events``; their conversions to ``attributed_events``.
+
+    Both tables are brought up to date from the dates that changed since the last success (``incremental``).
+    """
+    database = warehouse.database_name(project_id)
+    incremental.identify_dates(spark, database, avid_col=f"{prefix}avid")
+    incremental.attribute_dates(spark, database, conversion_events, model, lookback_days)
 
 
 def _attributed(spark, project_id, filters, conversion_events, model, lookback_days) -> DataFrame:

@@ -7,8 +7,11 @@ from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
 
-from beaconlake.plans.warehouse import EXPIRATION_MS, PARTITION_TIME, table_properties
+from beaconlake.plans import storage
+from beaconlake.plans.warehouse import CREATED_MS, EXPIRATION_MS, PARTITION_TIME, table_properties
 
+# Partition columns that stand for a time, in the order they are looked for.
+TIME_COLUMNS = (PARTITION_TIME, "publish_date", "date")
 # Partition values of the four units, by length.
 FORMATS = {4: "%Y", 7: "%Y-%m", 10: "%Y-%m-%d", 13: "%Y-%m-%d-%H"}
 
@@ -43,7 +46,7 @@ def expire_partitions(
     dropped, specs = [], []
     for (name,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
         values = dict(part.split("=", 1) for part in name.split("/"))
-        end = _end(values.get(PARTITION_TIME, values.get("date", "")))
+        end = _end(next((values[name] for name in TIME_COLUMNS if name in values), ""))
         if end is not None and end <= oldest:
             dropped.append(name)
             specs.append("PARTITION (" + ", ".join(f"`{k}` = '{v}'" for k, v in values.items()) + ")")
@@ -52,16 +55,18 @@ def expire_partitions(
     return dropped
 
 
-def _created(spark: SparkSession, database: str, table: str) -> datetime:
-    """Creation time from the catalog's milliseconds; the printed one is in the zone of the driver's machine."""
-    jvm = spark.sparkContext._jvm
-    name = jvm.org.apache.spark.sql.catalyst.TableIdentifier(table, jvm.scala.Option.apply(database))
-    details = spark._jsparkSession.sessionState().catalog().getTableMetadata(name)
-    return datetime.fromtimestamp(details.createTime() / 1000, timezone.utc)
+def _created(spark: SparkSession, table: str) -> datetime | None:
+    """Creation time as ``create_table`` has noted it; None for a table of another origin."""
+    noted = table_properties(spark, table).get(CREATED_MS)
+    return None if noted is None else datetime.fromtimestamp(int(noted) / 1000, timezone.utc)
 
 
 def expire_tables(spark: SparkSession, database: str, now: datetime | None = None) -> list[str]:
-    """Drop the tables of a database that are older than its default table expiry."""
+    """Drop the tables of a database that are older than its default table expiry.
+
+    The age is counted from the time that ``create_table`` and ``materialize`` note in the table's properties. A table
+    without one was made by other means and stays. The folders of a materialized table's versions go with it.
+    """
     now = now or datetime.now(timezone.utc)
     described = {r[0]: r[1] for r in spark.sql(f"DESCRIBE DATABASE EXTENDED `{database}`").collect()}
     found = re.search(r"default_table_expiration_ms\s*,\s*(\d+)", described.get("Properties", ""))
@@ -72,7 +77,12 @@ def expire_tables(spark: SparkSession, database: str, now: datetime | None = Non
     for table in spark.catalog.listTables(database):
         if table.tableType == "VIEW" or table.isTemporary:
             continue
-        if _created(spark, database, table.name) < limit:
-            spark.sql(f"DROP TABLE `{database}`.`{table.name}`")
+        name = f"`{database}`.`{table.name}`"
+        created = _created(spark, name)
+        if created is not None and created < limit:
+            folders = storage.version_folders(spark, name)
+            spark.sql(f"DROP TABLE {name}")
+            for folder in folders:
+                storage.remove_folder(spark, database, folder)
             dropped.append(table.name)
     return dropped

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,12 @@ PARTITION_FIELD = "partition_field"
 # Partition column of tables that are not partitioned by day.
 PARTITION_TIME = "partition_time"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+# How a null partition value is listed.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# When a table was created; expiry of tables goes by it.
+CREATED_MS = "created_ms"
+# The least and largest date in each partition of a table that is not partitioned by date, in a table beside it.
+RANGES = "`{0}` STRING, low DATE, high DATE".format(PARTITION_TIME)
 
 
 def _text(value: object) -> str:
@@ -76,12 +83,14 @@ def create_table(
     """Create a partitioned Parquet table if it is absent; a table that exists is left as it is.
 
     With a ``unit`` of HOUR, MONTH or YEAR the table is partitioned by that part of an event time in milliseconds, in
-    an added column ``partition_time`` that ``save_rows`` fills.
+    an added column ``partition_time`` that ``save_rows`` fills. A ``date`` need not agree with that time, so the dates
+    of every partition are kept in a table beside it, by which ``read_table`` finds the partitions of a date.
     """
     if unit not in PARTITION_UNITS:
         raise ValueError(f"unit must be one of {PARTITION_UNITS}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     properties: dict[str, object] = dict(labels or {})
+    properties[CREATED_MS] = int(time.time() * 1000)
     if expiration_ms is not None:
         properties[EXPIRATION_MS] = expiration_ms
     if require_partition_filter is not None:
@@ -92,6 +101,11 @@ def create_table(
         columns += f", `{PARTITION_TIME}` STRING"
         partition_by = (PARTITION_TIME,)
         properties[PARTITION_UNIT], properties[PARTITION_FIELD] = unit, unit_field
+        if "date" in schema.names:
+            spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {ranges_table(f'{database}.{table}')} ({RANGES}) USING parquet "
+                f"TBLPROPERTIES ({_properties({CREATED_MS: properties[CREATED_MS]})})"
+            )
     statement = f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({columns}) USING parquet"
     if partition_by:
         statement += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
@@ -140,6 +154,12 @@ def bootstrap(
     return resources
 
 
+def ranges_table(table: str) -> str:
+    """Name of the table with the dates in the partitions of ``table``."""
+    database, name = [part.strip("`") for part in table.split(".")]
+    return f"`{database}`.`{name}_ranges`"
+
+
 def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
@@ -147,13 +167,18 @@ def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
 def save_rows(spark: SparkSession, df: DataFrame, table: str, overwrite: bool = False) -> None:
     """Insert rows into a table by column name; ``overwrite`` replaces the partitions the rows fall into.
 
-    The rows are put in the table's clustering order, if it has one.
+    The rows are put in the table's clustering order, if it has one. For a table with hours, months or years the dates in
+    each partition are noted first: after a failure in between they are wider than the rows, never narrower. ``df`` is
+    then read twice, the first time for its times and dates alone, and should give the same rows both times.
     """
     properties = table_properties(spark, table)
     clustering = tuple(name for name in properties.get(CLUSTERING, "").split(",") if name)
     if PARTITION_UNIT in properties:
         time = F.col(properties[PARTITION_FIELD])
         df = df.withColumn(PARTITION_TIME, partition_unit(properties[PARTITION_UNIT], time))
+        if "date" in df.columns:
+            dates = df.groupBy(PARTITION_TIME).agg(F.min("date").alias("low"), F.max("date").alias("high"))
+            dates.write.insertInto(ranges_table(table))
     target = spark.table(table).schema.names
     ordered = df.select(*[F.col(f"`{name}`") for name in target])
     partition = tuple(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
@@ -212,21 +237,43 @@ def read_table(
     if properties.get(REQUIRE_FILTER) == "true" and date_from is None and date_to is None:
         raise ValueError(f"{table} needs a bound on its partition column")
     rows = spark.table(table)
+    if PARTITION_UNIT in properties and "date" in rows.columns and (date_from or date_to):
+        rows = rows.where(_partitions_with(spark, table, date_from, date_to))
     if date_from is not None:
         rows = rows.where(F.col("date") >= F.lit(date_from))
     if date_to is not None:
         rows = rows.where(F.col("date") <= F.lit(date_to))
-    if PARTITION_TIME in rows.columns:
-        # Hours, days, months and years as text: the bounds hold for each unit, and reach the partition column.
-        unit = F.col(PARTITION_TIME)
-        if date_from is not None:
-            day = date_from.isoformat()[:10]
-            rows = rows.where((unit >= day) | (unit == day[:7]) | (unit == day[:4]))
-        if date_to is not None:
-            rows = rows.where(unit <= f"{date_to.isoformat()[:10]}-99")
     return rows
 
 
+def _partitions_with(spark: SparkSession, table: str, date_from: date | None, date_to: date | None) -> Column:
+    """A condition on the partition column that holds for every partition with a date between the bounds.
+
+    A partition whose dates are not known, because its rows did not come by ``save_rows``, counts as one of them. The
+    partitions, one per hour, month or year, are listed on the driver; neighbours become one range of the condition.
+    """
+    names = [part.split("=", 1)[1] for (part,) in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    known = spark.table(ranges_table(table)).groupBy(PARTITION_TIME).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    dates = {row[PARTITION_TIME] or NULL_PARTITION: (row.low, row.high) for row in known.collect()}
+
+    def may_hold(name: str) -> bool:
+        if name not in dates:
+            return True
+        low, high = dates[name]
+        return low is not None and not (date_from is not None and high < date_from or date_to is not None and low > date_to)
+
+    unit, condition, run = F.col(PARTITION_TIME), F.lit(False), []
+    if NULL_PARTITION in names and may_hold(NULL_PARTITION):
+        condition = unit.isNull()
+    for name in [*sorted(n for n in names if n != NULL_PARTITION), None]:
+        if name is not None and may_hold(name):
+            run.append(name)
+        elif run:
+            condition = condition | unit.between(run[0], run[-1])
+            run = []
+    return condition
+
+
 def replace_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
     """Replace the partitions present in ``df`` under a path; others are left alone."""
     (

@@ -14,12 +14,12 @@ from beaconlake import fixtures as fx
 from beaconlake.contracts import JOBS, MESSAGE_RETENTION_SECONDS, SINK_SUBSCRIPTION_PREFIX, schema
 from beaconlake.functions.params import ad_value, param, string_value
 from beaconlake.operators import (
-    attribution, checks, commerce, costs, flatten, identity, quality, referrers, rollups,
+    attribution, bitmaps, checks, commerce, costs, flatten, identity, quality, referrers, rollups, seen,
 )
-from beaconlake.plans import configs, jobs, materialize, project, retention, warehouse
+from beaconlake.plans import configs, incremental, jobs, loads, materialize, project, retention, warehouse
 from beaconlake.session import configure, run_path
 from beaconlake.sources.topic import envelopes, read_topic_files
-from beaconlake.streaming import ingest, process
+from beaconlake.streaming import ingest, ordering, process
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,6 +148,54 @@ def ingest_quarantine(spark, sf_dir):
     return _quarantined(spark, quarantine)
 
 
+@query
+def ingest_quoted_fields(spark, sf_dir):
+    """As ``ingest_unknown_fields``, where names that the schema does not know are in single quotes."""
+    path = _stored(
+        spark, sf_dir, "topic_quoted",
+        lambda path: fx.topic_rows(spark, sf_dir, extra="'extra'").repartition(8, "offset").write.parquet(path),
+    )
+    run = run_path(spark, "ingest-quoted")
+    messages = envelopes(read_topic_files(spark, path), f"{SINK_SUBSCRIPTION_PREFIX}_{fx.PROJECT_ID}")
+    ingest.ingest_events(
+        messages, schema("raw_events"), f"{run}/raw_events", f"{run}/quarantine", f"{run}/checkpoint", drop_unknown_fields=False
+    ).awaitTermination()
+    return _quarantined(spark, f"{run}/quarantine")
+
+
+@query
+def raw_events_loaded(spark, sf_dir):
+    """The raw table after loads of several micro-batches: two, a load that fails before its ledger, all, and none."""
+    contract = schema("raw_events")
+    table = warehouse.bootstrap(spark, *_project(spark))["raw_events"]
+    run = run_path(spark, "loads")
+    target = f"{run}/raw_events"
+    ingest.ingest_events(_messages(spark, sf_dir, 2), contract, target, f"{run}/bad", f"{run}/checkpoint").awaitTermination()
+    loads.load_batches(spark, target, contract, table, most=2)
+    rows = loads.batch_rows(spark, target, contract, loads.open_batches(spark, target, table)[:1])
+    warehouse.save_rows(spark, ingest.missing_rows(rows.drop(ingest.BATCH), spark.table(table)), table)
+    for _ in range(2):
+        loads.load_batches(spark, target, contract, table)
+    return spark.table(table).select("event_id", _day(), "event_name")
+
+
+@query
+def raw_events_compacted(spark, sf_dir):
+    """Events per date, and whether a date has few files, after many small loads and compaction of all dates but the last."""
+    table = warehouse.bootstrap(spark, *_project(spark))["raw_events"]
+    raw = raw_events(spark, sf_dir)
+    for i in range(4):
+        warehouse.save_rows(spark, raw.where(F.col("event_id").cast("bigint") % 4 == i), table)
+    last = raw.agg(F.max("date")).first()[0]
+    if last is not None:
+        # The second run finds nothing to do and removes the folders that the first one has replaced.
+        for _ in range(2):
+            loads.compact_dates(spark, table, last)
+    sizes = loads.file_sizes(spark, table, date(9999, 1, 1)).select(F.col("date").alias("_date"), "files")
+    events = spark.table(table).groupBy("date").agg(F.count(F.lit(1)).alias("events"))
+    return events.join(sizes, F.col("date") == F.col("_date")).select(_day(), "events", (F.col("files") <= 2).alias("compact"))
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = run_path(spark, "landing")
     ingest.land_messages(_messages(spark, sf_dir), f"{run}/messages", f"{run}/checkpoint").awaitTermination()
@@ -172,6 +220,49 @@ def replay_window(spark, sf_dir):
     return ingest.replay_window(landed, schema("raw_events"), first, last).select("event_id", _day(), "event_name")
 
 
+@query
+def landed_survivors(spark, sf_dir):
+    """Messages of forty days landed in several micro-batches, after expiry of what is older than the topic keeps."""
+    number, location = _project(spark)
+    table = ingest.create_landing(spark, warehouse.create_database(spark, number, location))
+    offset = F.substring_index("message_id", "-", -1).cast("int")
+    messages = _messages(spark, sf_dir, 2).withColumn("publish_time", F.col("publish_time") + F.make_dt_interval(offset % 10))
+    checkpoint = run_path(spark, "landing")
+    ingest.land_into_table(messages, table, checkpoint).awaitTermination()
+    today = spark.table(table).agg(F.max("publish_date")).first()[0]
+    if today is not None:
+        retention.expire_partitions(spark, table, today)
+    # The stream goes on from where it was.
+    ingest.land_into_table(messages, table, checkpoint).awaitTermination()
+    return spark.table(table).select("message_id", _day("publish_date"))
+
+
+@query
+def ordered_by_key(spark, sf_dir):
+    """Events from micro-batches up to three hours out of order, numbered per visitor by time."""
+    narrow = raw_events(spark, sf_dir).select("avid", "timestamp", "event_id", "event_name")
+    delay_ms, slices = 3 * 3_600_000, 5
+    arrival = F.col("timestamp") + F.crc32(F.col("event_id").cast("binary")) % delay_ms
+    first, last = narrow.agg(F.min(arrival), F.max(arrival)).first()
+    path = run_path(spark, "arrivals")
+    if first is None:
+        narrow.write.parquet(path)
+    else:
+        width = (last - first) // slices + 1
+        cut = F.floor((arrival - first) / width)
+        for i in range(slices):
+            narrow.where(cut == i).repartition(1, F.xxhash64("event_id")).write.mode("append").parquet(path)
+        # The stream knows that it is complete once an event comes that is later than all by more than the delay.
+        end = spark.createDataFrame([("end", last + 2 * delay_ms, "end", "end")], narrow.schema)
+        end.coalesce(1).write.mode("append").parquet(path)
+    run = run_path(spark, "ordered")
+    stream = spark.readStream.schema(narrow.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    ordered = ordering.ordered_by_key(stream, "avid", "3 hours")
+    query_ = ordered.writeStream.format("parquet").option("path", f"{run}/events").option("checkpointLocation", f"{run}/checkpoint")
+    query_.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(ordered.schema).parquet(f"{run}/events").select("avid", "event_id", "position")
+
+
 @query
 def replay_into_table(spark, sf_dir):
     """The project's raw table after a load of all batches, the loss of two days, and a replay of the first of them."""
@@ -257,6 +348,25 @@ def dedupe_events(spark, sf_dir):
     return quality.dedupe_events(raw.unionByName(_later_copies(raw))).select("event_id", "timestamp", "event_name")
 
 
+@query
+def dedupe_incremental(spark, sf_dir):
+    """As ``dedupe_events``, from three loads where a copy may come before the event that it is a copy of."""
+    raw = raw_events(spark, sf_dir)
+    number = F.col("event_id").cast("bigint")
+    load = F.when(F.col("event_name") == "copy", (number + 1) % 3).otherwise(number % 3)
+    events = raw.unionByName(_later_copies(raw)).withColumn("load", load)
+    database = warehouse.create_database(spark, *_project(spark))
+    table, path = f"`{database}`.`seen_events`", run_path(spark, "dedupe")
+    seen.create_seen(spark, table, 8)
+    for i in range(3):
+        seen.new_events(events.where(F.col("load") == i).drop("load"), spark.table(table)).write.parquet(f"{path}/load={i}")
+        seen.remember(spark, spark.read.parquet(f"{path}/load={i}"), table, i)
+    kept = spark.read.parquet(path).select("event_id", "timestamp", "event_name", "load", "replaces")
+    replaced = kept.where("replaces is not null").select("event_id", F.col("load").alias("_later"))
+    again = kept.join(replaced.groupBy("event_id").agg(F.max("_later").alias("_later")), "event_id", "left")
+    return again.where("_later is null or load >= _later").select("event_id", "timestamp", "event_name")
+
+
 # ---- tables ----
 
 def _project(spark: SparkSession) -> tuple[int, str]:
@@ -363,6 +473,28 @@ def partition_guard(spark, sf_dir):
     return rows.groupBy(_day()).agg(F.count(F.lit(1)).alias("events"))
 
 
+@query
+def partition_guard_by_unit(spark, sf_dir):
+    """Events of eleven local dates inside the data, from tables by UTC hour, day, month and year of the event's time."""
+    project_, location = _project(spark)
+    database = warehouse.create_database(spark, project_, location)
+    local = quality.local_date(F.col("timestamp"), ((F.col("user_id") % 5 - 2) * 14400).cast("int"))
+    path = run_path(spark, "local-events")
+    fx.staged_events(spark, sf_dir).select("event_id", "event_name", "timestamp", local.alias("date")).write.parquet(path)
+    events = spark.read.parquet(path)
+    first = events.agg(F.min("date")).first()[0] or date(2000, 1, 1)
+    parts = []
+    for unit in warehouse.PARTITION_UNITS:
+        table = f"events_by_{unit.lower()}"
+        warehouse.create_table(spark, database, table, events.schema, unit=unit, require_partition_filter=True)
+        name = f"{database}.{table}"
+        for half in range(2):
+            warehouse.save_rows(spark, events.where(F.col("event_id").cast("bigint") % 2 == half), name)
+        rows = warehouse.read_table(spark, name, first + timedelta(days=9), first + timedelta(days=19))
+        parts.append(rows.groupBy(F.lit(unit).alias("unit"), _day()).agg(F.count(F.lit(1)).alias("events")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def excluded_referrers(spark, sf_dir):
     """Events per excluded referrer, with the excluded list read from the project's view."""
@@ -483,7 +615,9 @@ def ad_costs_unified(spark, sf_dir):
 @query
 def manual_costs_rejected(spark, sf_dir):
     """Rows of the manual upload that do not parse, with the reason."""
-    _, bad = costs.check_manual_costs(fx.manual_costs(spark, sf_dir))
+    upload = run_path(spark, "upload")
+    fx.manual_costs(spark, sf_dir).write.csv(upload, header=True, escape='"')
+    _, bad = costs.load_manual_costs(spark, upload)
     row = F.from_json("row", "`date` string, ad_id string, cost string")
     return bad.select(row["date"].alias("date"), row["ad_id"].alias("ad_id"), row["cost"].alias("cost"), "reason")
 
@@ -533,6 +667,45 @@ def identified_events(spark, sf_dir):
     return identified.select("event_id", _day(), "event_name", "profile_id", "inserted_at")
 
 
+def _thirds(spark: SparkSession, sf_dir: str, seed_project: tuple[int, str]):
+    """A project whose raw table gets the history in three parts by date; yields its tables after each part."""
+    resources = project.register_project(spark, *seed_project, excluded_referrers_query=fx.EXCLUDED_QUERY, buckets=8)
+    raw = raw_events(spark, sf_dir)
+    days = sorted(row[0] for row in raw.select("date").distinct().collect())
+    cut = [days[len(days) * i // 3:len(days) * (i + 1) // 3] for i in range(3)]
+    for part in cut:
+        if part:
+            warehouse.save_rows(spark, raw.where(F.col("date").between(part[0], part[-1])), resources["raw_events"])
+            yield resources
+    if not days:
+        yield resources
+
+
+@query
+def identity_incremental(spark, sf_dir):
+    """As ``identified_events``, from three parts of the history, each resolved against the stored profiles."""
+    for resources in _thirds(spark, sf_dir, _project(spark)):
+        incremental.identify_dates(spark, resources["database"], inserted_at=F.lit(1))
+    return spark.table(resources["identified_events"]).select("event_id", _day(), "event_name", "profile_id", "inserted_at")
+
+
+@query
+def attribution_incremental(spark, sf_dir):
+    """As ``attribution_by_profile``, from three parts of the history; the last date then loses its purchases."""
+    for resources in _thirds(spark, sf_dir, _project(spark)):
+        incremental.identify_dates(spark, resources["database"], inserted_at=F.lit(1))
+        incremental.attribute_dates(spark, resources["database"])
+    table = resources["raw_events"]
+    last = spark.table(table).agg(F.max("date")).first()[0]
+    if last is not None:
+        rest = incremental.kept(spark.table(table).where((F.col("date") == last) & (F.col("event_name") != "purchase")), "rest")
+        warehouse.save_rows(spark, rest, table, overwrite=True)
+        loads.note_dates(spark, table, [last])
+        incremental.identify_dates(spark, resources["database"], inserted_at=F.lit(1))
+        incremental.attribute_dates(spark, resources["database"])
+    return _per_conversion(spark.table(resources["attributed_events"]))
+
+
 # ---- attribution ----
 
 def _attributed(spark: SparkSession, sf_dir: str, *arguments, **options) -> DataFrame:
@@ -792,3 +965,31 @@ def geo_rollup(spark, sf_dir):
 def device_cube(spark, sf_dir):
     """Events and profiles per combination of device properties."""
     return rollups.device_cube(profiled_events(spark, sf_dir))
+
+
+def _days_table(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:
+    """The bitmaps of a range of days inside the data, numbered in two steps; the first and last five days are left out."""
+    events = profiled_events(spark, sf_dir)
+    run = run_path(spark, "bitmaps")
+    half = events.where(F.col("event_id").cast("bigint") % 2 == 0).select("profile_id")
+    bitmaps.number_profiles(half).write.parquet(f"{run}/numbers")
+    numbers = spark.read.schema(bitmaps.NUMBERS).parquet(f"{run}/numbers")
+    bitmaps.number_profiles(events.select("profile_id"), numbers).write.parquet(f"{run}/later")
+    numbers = numbers.unionByName(spark.read.schema(bitmaps.NUMBERS).parquet(f"{run}/later"))
+    warehouse.replace_partitions(bitmaps.daily_profiles(events, numbers, columns), f"{run}/days", "date")
+    first, last = events.agg(F.min("date"), F.max("date")).first()
+    days = spark.read.parquet(f"{run}/days")
+    inner = F.col("date").between(F.date_add(F.lit(first), 5), F.date_sub(F.lit(last), 5))
+    return days.where(inner) if first is not None else days
+
+
+@query
+def geo_rollup_from_days(spark, sf_dir):
+    """As ``geo_rollup`` for a range of days, from the days' bitmaps of profiles and no events."""
+    return bitmaps.rollup_days(_days_table(spark, sf_dir, bitmaps.GEO), tuple(bitmaps.GEO))
+
+
+@query
+def device_cube_from_days(spark, sf_dir):
+    """As ``device_cube`` for a range of days, from the days' bitmaps of profiles and no events."""
+    return bitmaps.cube_days(_days_table(spark, sf_dir, bitmaps.DEVICE), tuple(bitmaps.DEVICE))

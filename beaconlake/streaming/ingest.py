@@ -6,6 +6,7 @@ are written to partitions named after the batch: a batch that is repeated after
 
 from __future__ import annotations
 
+import time
 import zlib
 from collections.abc import Callable
 from datetime import datetime
@@ -16,9 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from beaconlake import contracts
 from beaconlake.contracts import MESSAGE_RETENTION_SECONDS
 from beaconlake.operators.skew import small_lookup_join
-from beaconlake.plans.warehouse import gathered, save_rows
+from beaconlake.plans.warehouse import EXPIRATION_MS, gathered, save_rows
 from beaconlake.session import run_path
 from beaconlake.sources.messages import good_rows, parse_messages, quarantined
 
@@ -45,6 +47,25 @@ def write_batch(rows: DataFrame, batch_id: int, path: str, partition_by: tuple[s
     )
 
 
+def _finished_path(target: str) -> str:
+    return f"{target.rstrip('/')}_finished"
+
+
+def finish_batch(spark: SparkSession, batch_id: int, target: str) -> None:
+    """Note that all rows of a micro-batch are in ``target``; a repeated batch notes it again."""
+    write_batch(spark.createDataFrame([(int(time.time() * 1000),)], "finished_ms BIGINT"), batch_id, _finished_path(target))
+
+
+def finished_batches(spark: SparkSession, target: str) -> DataFrame:
+    """Numbers of the micro-batches whose rows are all in ``target``."""
+    try:
+        return spark.read.schema(f"finished_ms BIGINT, {BATCH} BIGINT").parquet(_finished_path(target)).select(BATCH).distinct()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{BATCH} BIGINT")
+
+
 def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Everything that micro-batches have written to ``path``, in the given schema."""
     stored = StructType([*schema.fields, StructField(BATCH, LongType())])
@@ -71,6 +92,7 @@ def ingest_events(
         parsed = parse_messages(batch, schema, drop_unknown_fields, message_filter)
         write_batch(good_rows(parsed, schema), batch_id, target, ("date",))
         write_batch(quarantined(parsed), batch_id, quarantine)
+        finish_batch(batch.sparkSession, batch_id, target)
 
     return consume(messages, checkpoint, write, trigger)
 
@@ -84,7 +106,8 @@ def land_messages(
 ) -> StreamingQuery:
     """Keep the envelopes as they came, by day of publication, for replays within the retention period.
 
-    Files of batches older than that leave the sink's log, so readers no longer see them.
+    Files of batches older than that leave the sink's log, so readers no longer see them. The files themselves stay;
+    where they should go too, land into a table (``land_into_table``).
     """
     return (
         messages.withColumn("publish_date", F.to_date("publish_time"))
@@ -98,6 +121,31 @@ def land_messages(
     )
 
 
+def create_landing(spark: SparkSession, database: str, table: str = "landed_messages") -> str:
+    """The table of messages as they came, by day of publication and micro-batch, if it is absent; returns its name."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in contracts.schema("event_messages").fields)
+    name = f"{database}.{table}"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, publish_date DATE, {BATCH} BIGINT) USING parquet "
+        f"PARTITIONED BY (publish_date, {BATCH}) TBLPROPERTIES ('{EXPIRATION_MS}' = '{MESSAGE_RETENTION_SECONDS * 1000}')"
+    )
+    return name
+
+
+def land_into_table(messages: DataFrame, table: str, checkpoint: str, trigger: dict = ALL_AVAILABLE) -> StreamingQuery:
+    """As ``land_messages`` into a table of ``create_landing``, whose old days ``expire_partitions`` deletes.
+
+    The table's partitions say what it holds, and no log of the sink lists files: a day can be dropped with its files
+    while the stream runs. A repeated micro-batch replaces its own partitions. Reads with a bound on ``publish_date`` do
+    not touch the days that go.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("publish_date", F.to_date("publish_time")).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        save_rows(batch.sparkSession, rows, table, overwrite=True)
+
+    return consume(messages, checkpoint, write, trigger)
+
+
 def fan_out(
     messages: DataFrame,
     checkpoint: str,

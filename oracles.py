@@ -699,6 +699,31 @@ union all select 'manual_costs_rejected', count(*) from manual where page_id % 1
 union all select 'job_states', 7
 """
 
+ORACLES["ingest_quoted_fields"] = ORACLES["ingest_unknown_fields"].replace("'unknown fields: extra'", "'does not fit the schema'")
+ORACLES["raw_events_loaded"] = SENT + "select distinct event_id, date, event_name from fate where reason is null"
+ORACLES["raw_events_compacted"] = STAGED + """
+select date, count(*) as events, day < (select max(day) from fx) or count(distinct eid % 4) <= 2 as compact from fx group by date, day
+"""
+ORACLES["landed_survivors"] = SENT + """,
+days as (select message_id, cast(make_timestamp((publish_ms + (eid * 2 + copy) % 10 * 86400000) * 1000) as date) as day from fate)
+select message_id, cast(day as varchar) as publish_date from days where day >= (select max(day) - interval 31 day from days)
+"""
+ORACLES["ordered_by_key"] = STAGED + """
+select avid, event_id, row_number() over (partition by avid order by timestamp, event_id) as position from fx
+"""
+ORACLES["dedupe_incremental"] = ORACLES["dedupe_events"]
+ORACLES["partition_guard_by_unit"] = STAGED + """,
+local as (select cast(make_timestamp((timestamp + (user_id % 5 - 2) * 14400000) * 1000) as date) as day from fx),
+inner_days as (select * from local where day between (select min(day) + interval 9 day from local) and (select min(day) + interval 19 day from local))
+select unit, cast(day as varchar) as date, count(*) as events from inner_days, (values ('HOUR'), ('DAY'), ('MONTH'), ('YEAR')) u(unit)
+group by unit, day
+"""
+ORACLES["identity_incremental"] = ORACLES["identified_events"]
+ORACLES["attribution_incremental"] = ORACLES["attribution_by_profile"] + " and day < (select max(day) from fx)"
+_INNER = "where day between (select min(day) + interval 5 day from fx) and (select max(day) - interval 5 day from fx)"
+ORACLES["geo_rollup_from_days"] = ORACLES["geo_rollup"].replace("as city, uid\n  from fx", f"as city, uid\n  from fx {_INNER}")
+ORACLES["device_cube_from_days"] = ORACLES["device_cube"].replace("as browser, uid\n  from fx", f"as browser, uid\n  from fx {_INNER}")
+
 # The split variants must give the same rows.
 for _name in ("identity_components", "attribution_linear", "attribution_by_profile"):
     ORACLES[f"{_name}_split"] = ORACLES[_name]
