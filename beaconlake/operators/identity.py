@@ -137,12 +137,15 @@ def identify_events(
 
 def with_profiles(
     raw: DataFrame, profiles: DataFrame, avid_col: str, inserted_at: Column, use_contacts: bool = False,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int = MAX_GROUP_ROWS, look_for_heavy: bool = True,
 ) -> DataFrame:
-    """Raw events with the profile that ``profiles`` (node, profile_id) gives one of their identifiers."""
+    """Raw events with the profile that ``profiles`` (node, profile_id) gives one of their identifiers.
+
+    Without ``look_for_heavy`` the caller knows that no identifier has more than ``max_group_rows`` events.
+    """
     with_nodes = raw.withColumn("_nodes", event_nodes(avid_col, use_contacts))
     keyed = with_nodes.withColumn("node", F.get("_nodes", F.lit(0)))
-    found = lookup_join(keyed, profiles, ["node"], max_group_rows=max_group_rows)
+    found = lookup_join(keyed, profiles, ["node"], max_group_rows=max_group_rows, look_for_heavy=look_for_heavy)
     columns = [F.col(f"`{name}`") for name in raw.columns]
     position = raw.columns.index(avid_col)
     return found.select(
@@ -153,16 +156,16 @@ def with_profiles(
     )
 
 
-def merge_profiles(known: DataFrame, new_edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+def merge_profiles(known: DataFrame, new_edges: DataFrame, look_for_heavy: bool = True) -> tuple[DataFrame, DataFrame]:
     """Profiles after new links: (nodes of the links with their profile, renamed profiles).
 
     ``known`` has the present profile of every stored node among the links' ends, and only of those: history is not
     needed. The second frame is (old_profile_id, profile_id). The smallest identifier names a profile, so the smallest of
-    the merged profiles' names and the new nodes is the name of all.
+    the merged profiles' names and the new nodes is the name of all. ``look_for_heavy`` as above.
     """
     def named(links: DataFrame, side: str) -> DataFrame:
         lookup = known.select(F.col("node").alias(side), F.col("profile_id").alias(f"_{side}"))
-        return lookup_join(links, lookup, [side])
+        return lookup_join(links, lookup, [side], look_for_heavy=look_for_heavy)
 
     both = named(named(new_edges, "larger"), "smaller")
     ends = both.select(
@@ -175,19 +178,19 @@ def merge_profiles(known: DataFrame, new_edges: DataFrame) -> tuple[DataFrame, D
         F.col("node").alias("old_profile_id"), "profile_id"
     )
     nodes = new_edges.select(F.explode(F.array("larger", "smaller")).alias("node")).distinct()
-    present = lookup_join(nodes, known.withColumnRenamed("profile_id", "_profile"), ["node"])
+    present = nodes.join(known.withColumnRenamed("profile_id", "_profile"), "node", "left")
     present = present.select(F.col("node").alias("_node"), F.coalesce("_profile", "node").alias("node"))
-    result = lookup_join(present, moved, ["node"]).select(
+    result = lookup_join(present, moved, ["node"], look_for_heavy=look_for_heavy).select(
         F.col("_node").alias("node"), F.coalesce("profile_id", "node").alias("profile_id")
     )
     # Nodes of a renamed profile that no new link names keep their stored name, and find the new one by its alias.
     return result, renamed
 
 
-def extend_aliases(aliases: DataFrame, renamed: DataFrame) -> DataFrame:
+def extend_aliases(aliases: DataFrame, renamed: DataFrame, look_for_heavy: bool = True) -> DataFrame:
     """All names that profiles ever had with the present one, after further renaming."""
     later = renamed.select(F.col("old_profile_id").alias("profile_id"), F.col("profile_id").alias("_now"))
-    moved = lookup_join(aliases, later, ["profile_id"]).select("old_profile_id", F.coalesce("_now", "profile_id").alias("profile_id"))
+    moved = lookup_join(aliases, later, ["profile_id"], look_for_heavy=look_for_heavy).select("old_profile_id", F.coalesce("_now", "profile_id").alias("profile_id"))
     return moved.unionByName(renamed)
 
 

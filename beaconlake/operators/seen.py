@@ -32,8 +32,22 @@ def first_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def new_events(events: DataFrame, seen: DataFrame) -> DataFrame:
-    """The rows of ``events`` that are first of their id, also against the stored ids ``seen``.
+def bucket_count(spark: SparkSession, table: str) -> int:
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return int(next(row.data_type for row in details if row.col_name == "Num Buckets"))
+
+
+def meet_buckets(rows: DataFrame, column: str, buckets: int) -> DataFrame:
+    """``rows``, aggregated by ``column``, in as many partitions as a table has buckets, for a join with it.
+
+    Left to itself, Spark shuffles the table where its buckets are fewer than the session's shuffle partitions.
+    """
+    same = rows.sparkSession.conf.get("spark.sql.shuffle.partitions") == str(buckets)
+    return rows if same else rows.repartition(buckets, column)
+
+
+def new_events(events: DataFrame, seen: DataFrame, buckets: int) -> DataFrame:
+    """The rows of ``events`` that are first of their id, also against the stored ids ``seen`` in ``buckets`` buckets.
 
     Two columns are added: ``row_hash``, and ``replaces``, the date of a stored row that a kept one comes before. A row
     that is stored itself (a date is read again) is kept. ``events`` is read once; rows without an id all stay and are
@@ -42,7 +56,7 @@ def new_events(events: DataFrame, seen: DataFrame) -> DataFrame:
     stored = seen.groupBy("event_id").agg(F.min(F.struct("timestamp", "row_hash", "date")).alias("stored"))
     stored_age = F.struct("stored.timestamp", "stored.row_hash")
     # A table of all ids is no side to broadcast, and a merge join uses its buckets.
-    met = first_rows(events).join(stored.hint("merge"), "event_id", "left")
+    met = meet_buckets(first_rows(events), "event_id", buckets).join(stored.hint("merge"), "event_id", "left")
     kept = met.where(F.col("stored").isNull() | (F.col("age") <= stored_age)).select(
         "row.*", F.col("age.row_hash").alias("row_hash"), F.when(F.col("age") < stored_age, F.col("stored.date")).alias("replaces")
     )
@@ -60,8 +74,7 @@ def remember(spark: SparkSession, kept: DataFrame, table: str, version: int) ->
 
 def save_bucketed(spark: SparkSession, rows: DataFrame, table: str, column: str) -> None:
     """Write the partitions that ``rows`` fall into, with one file per bucket."""
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    buckets = int(next(row.data_type for row in details if row.col_name == "Num Buckets"))
+    buckets = bucket_count(spark, table)
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconlake.operators import attribution, identity, seen
-from beaconlake.operators.skew import lookup_join, small_lookup_join
+from beaconlake.operators.skew import MAX_GROUP_ROWS, lookup_join, small_lookup_join
 from beaconlake.plans import loads, warehouse
 from beaconlake.session import run_path
 
@@ -98,7 +98,7 @@ def _committed(spark: SparkSession, database: str, name: str) -> int:
 
 
 def _dates(df: DataFrame, name: str = "date") -> list[date]:
-    """The distinct dates of a column, which are few."""
+    """The distinct dates of a column; they are few, so they come to the driver."""
     return sorted(row[0] for row in df.select(name).where(F.col(name).isNotNull()).distinct().collect())
 
 
@@ -114,9 +114,14 @@ def drop_dates(spark: SparkSession, table: str, dates: Iterable[date], name: str
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs} PURGE")
 
 
-def replace_dates(spark: SparkSession, rows: DataFrame, table: str, dates: Sequence[date], name: str = "date") -> None:
-    """Make ``rows`` all that ``table`` has of ``dates``: dates without rows lose their partition."""
-    rows = kept(rows, "dates")
+def replace_dates(
+    spark: SparkSession, rows: DataFrame, table: str, dates: Sequence[date], name: str = "date", complete: bool = False
+) -> None:
+    """Make ``rows`` all that ``table`` has of ``dates``: dates without rows lose their partition.
+
+    The rows are complete in the shared folder first, unless the caller says that they are.
+    """
+    rows = rows if complete else kept(rows, "dates")
     warehouse.save_rows(spark, rows, table, overwrite=True)
     drop_dates(spark, table, set(dates) - set(_dates(rows, name)), name)
 
@@ -148,10 +153,10 @@ def changed_dates(spark: SparkSession, database: str) -> tuple[list[date], list[
     return sorted(unknown | set(_dates(fresh))), new_loads
 
 
-def profiles_now(nodes: DataFrame, aliases: DataFrame) -> DataFrame:
+def profiles_now(nodes: DataFrame, aliases: DataFrame, look_for_heavy: bool = True) -> DataFrame:
     """(node, profile_id) with the profiles' present names."""
     renamed = aliases.select(F.col("old_profile_id").alias("profile_id"), F.col("profile_id").alias("_now"))
-    joined = lookup_join(nodes.select("node", "profile_id"), renamed, ["profile_id"])
+    joined = lookup_join(nodes.select("node", "profile_id"), renamed, ["profile_id"], look_for_heavy=look_for_heavy)
     return joined.select("node", F.coalesce("_now", "profile_id").alias("profile_id"))
 
 
@@ -184,18 +189,21 @@ def identify_dates(
         if name in FOLDED and len(_versions(spark, table(name))) > VERSIONS_TO_FOLD:
             fold_versions(spark, table(name), before, FOLDED[name])
 
+    buckets = seen.bucket_count(spark, table("seen_events"))
     raw = on_dates(spark.table(table("raw_events")), dates)
-    new = kept(seen.new_events(raw, stored("seen_events")), "identify-new")
+    new = kept(seen.new_events(raw, stored("seen_events"), buckets), "identify-new")
     nodes = new.select("event_id", identity.event_nodes(avid_col).alias("nodes"))
     edges = kept(identity.event_edges(nodes), "identify-edges")
+    # No key has more rows than there are: with few rows nothing needs to look for busy identifiers.
+    many = new.count() > MAX_GROUP_ROWS or edges.count() > MAX_GROUP_ROWS
 
     # Profiles of the nodes that the new events name. Only their side is brought to the buckets of the stored nodes.
     named = nodes.select(F.explode("nodes").alias("node")).distinct()
     aliases = spark.table(table("identity_aliases")).where(F.col("version") == before).drop("version")
     given = stored("identity_nodes").groupBy("node").agg(F.min("profile_id").alias("profile_id"))
-    known = named.join(given.hint("merge"), "node")
-    known = kept(profiles_now(known, aliases), "identify-known")
-    merged, renamed = identity.merge_profiles(known, edges)
+    known = seen.meet_buckets(named, "node", buckets).join(given.hint("merge"), "node")
+    known = kept(profiles_now(known, aliases, many), "identify-known")
+    merged, renamed = identity.merge_profiles(known, edges, many)
     merged, renamed = kept(merged, "identify-nodes"), kept(renamed, "identify-renamed")
 
     seen.remember(spark, new, table("seen_events"), version)
@@ -203,33 +211,34 @@ def identify_dates(
         "node", F.coalesce("profile_id", "node").alias("profile_id")
     )
     seen.save_bucketed(spark, fresh.withColumn("version", F.lit(version)), table("identity_nodes"), "node")
-    _save_version(spark, identity.extend_aliases(aliases, renamed), table("identity_aliases"), version)
+    _save_version(spark, identity.extend_aliases(aliases, renamed, aliases.count() > MAX_GROUP_ROWS), table("identity_aliases"), version)
 
     # Names of the new events' profiles: all their nodes share one.
     names = renamed.select(F.col("old_profile_id").alias("profile_id"), F.col("profile_id").alias("_now"))
-    now = lookup_join(known, names, ["profile_id"]).select(
+    now = lookup_join(known, names, ["profile_id"], look_for_heavy=many).select(
         "node", F.coalesce("_now", "profile_id").alias("profile_id")
     ).unionByName(fresh)
     inserted_at = F.unix_millis(F.current_timestamp()) if inserted_at is None else inserted_at
-    identified = identity.with_profiles(new.drop("row_hash", "replaces"), kept(now, "identify-names"), avid_col, inserted_at)
+    identified = identity.with_profiles(new.drop("row_hash", "replaces"), kept(now, "identify-names"), avid_col, inserted_at, look_for_heavy=many)
 
     # Dates written before that have a renamed profile or lose a row.
-    moved = renamed.select(F.col("old_profile_id").alias("profile_id"))
-    touched = small_lookup_join(stored("profile_dates"), moved, ["profile_id"], "left_semi")
+    written, others = identified.withColumn("_now", F.col("profile_id")), []
     replaced = new.where("replaces is not null").select("event_id", F.col("replaces").alias("date"))
-    others = sorted((set(_dates(touched)) | set(_dates(replaced))) - set(dates))
-    old = on_dates(spark.table(table("identified_events")), others)
-    lost = replaced.select("event_id").distinct()
-    old = small_lookup_join(old, lost, ["event_id"], "left_anti")
-    again = small_lookup_join(old, names, ["profile_id"])
-    again = again.withColumn("profile_id", F.coalesce("_now", "profile_id")).select(*[F.col(f"`{c}`") for c in identified.columns], "_now")
-    written = identified.withColumn("_now", F.col("profile_id"))
-    written = kept(written.unionByName(again) if others else written, "identified")
+    if before:
+        moved = renamed.select(F.col("old_profile_id").alias("profile_id"))
+        touched = small_lookup_join(stored("profile_dates"), moved, ["profile_id"], "left_semi")
+        others = sorted((set(_dates(touched)) | set(_dates(replaced))) - set(dates))
+    if others:
+        old = on_dates(spark.table(table("identified_events")), others)
+        old = small_lookup_join(old, replaced.select("event_id").distinct(), ["event_id"], "left_anti")
+        again = small_lookup_join(old, names, ["profile_id"])
+        again = again.withColumn("profile_id", F.coalesce("_now", "profile_id")).select(*[F.col(f"`{c}`") for c in identified.columns], "_now")
+        written = written.unionByName(again)
+    written = kept(written, "identified")
     # Only names that these dates did not have before.
     pairs = written.where("_now is not null").select("profile_id", "date").distinct()
     _save_version(spark, pairs, table("profile_dates"), version)
-    written = written.drop("_now")
-    replace_dates(spark, written, table("identified_events"), [*dates, *others])
+    replace_dates(spark, written.drop("_now"), table("identified_events"), [*dates, *others], complete=True)
 
     changed = sorted({*dates, *others})
     commit = [(version, list(dates), changed, new_loads, int(time.time() * 1000))]

@@ -131,9 +131,9 @@ def compact_dates(spark: SparkSession, table: str, before: date, file_bytes: int
     log = f"`{database}`.`{name}_compactions`"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {log} ({COMPACTED}) USING parquet")
     outdated = [row[0] for row in spark.table(log).select("old_folder").distinct().collect()]
-    crowded = [
+    crowded = sorted(
         row["date"] for row in file_sizes(spark, table, before).collect() if row.files > most_files(row.bytes, file_bytes)
-    ]
+    )
     moved = _rewrite(spark, table, crowded) if crowded else []
     # The folders of the last run go; those of this one are for the next.
     in_use = {storage.location(spark, table, {"date": str(day)}) for day in [row[0] for row in moved]}

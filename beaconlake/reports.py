@@ -359,7 +359,7 @@ def dedupe_incremental(spark, sf_dir):
     table, path = f"`{database}`.`seen_events`", run_path(spark, "dedupe")
     seen.create_seen(spark, table, 8)
     for i in range(3):
-        seen.new_events(events.where(F.col("load") == i).drop("load"), spark.table(table)).write.parquet(f"{path}/load={i}")
+        seen.new_events(events.where(F.col("load") == i).drop("load"), spark.table(table), 8).write.parquet(f"{path}/load={i}")
         seen.remember(spark, spark.read.parquet(f"{path}/load={i}"), table, i)
     kept = spark.read.parquet(path).select("event_id", "timestamp", "event_name", "load", "replaces")
     replaced = kept.where("replaces is not null").select("event_id", F.col("load").alias("_later"))
@@ -405,7 +405,7 @@ def bootstrap_twice(spark, sf_dir):
 def jobs_end_to_end(spark, sf_dir):
     """Rows per table after all jobs of a project have run twice over raw events with copies."""
     number, location = _project(spark)
-    resources = project.register_project(spark, number, location, excluded_referrers_query=fx.EXCLUDED_QUERY)
+    resources = project.register_project(spark, number, location, excluded_referrers_query=fx.EXCLUDED_QUERY, buckets=8)
     raw = raw_events(spark, sf_dir)
     warehouse.save_rows(spark, raw.unionByName(_later_copies(raw)), resources["raw_events"])
     for name in fx.NETWORKS:

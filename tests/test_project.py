@@ -17,7 +17,7 @@ DAY_MS = 1_704_067_200_000  # 2024-01-01
 @pytest.fixture
 def number(spark):
     made = uuid.uuid4().int % 10**12
-    project.register_project(spark, made, run_path(spark, "project"))
+    project.register_project(spark, made, run_path(spark, "project"), buckets=4)
     yield made
     spark.sql(f"drop database `{warehouse.database_name(made)}` cascade")
 
