@@ -10,8 +10,8 @@ What counts as a part beside the text: elements that by their name, role, or cla
 footers of the page, sidebars, notices, adverts, forms, comments and the like; where a page has an ``article`` or
 ``main``, also everything outside it. Inside the region such parts are left out. A name with ``has-``, ``no-``, ``-open``
 and the like tells a state and names no part. What an outer element's class or id says is only a first guess: a ``main``
-ends it, an ``article`` too where most of the page's words stand in such articles, and each class or id word has a weight
-of its own, so that a word whose blocks are found in the documents counts as running text.
+ends it, an ``article`` too where such articles hold more running text (words outside links) than the rest of the page, and
+each class or id word has a weight of its own, so that a word whose blocks are found in the documents counts as running text.
 
 Defined results: null, empty and wordless pages give an empty text; broken markup is read as far as it goes, unclosed
 elements end with their parent; equal sums take the first region; repeated rows give equal rows; empty tables none. White
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import html as html_module
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import table
+from beaconlake.llm.common import broadcast_if_small, table, written
 from beaconlake.llm.url_filters import path_of
 
 SAMPLE_PAGES = 1_000
@@ -57,10 +58,25 @@ BESIDE_WORDS = frozenset(
 )
 BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 
+# A quote begins a value only after an equals sign; elsewhere, and inside a value without quotes, it is a character like
+# others. A value whose quote never ends, ends with its tag.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*+(?:>|$)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|$)", re.S
+    r"<!--.*?(?:-->|$)|<[!?][^>]*+(?:>|$)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|$)", re.S
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+# Words that a class or id adds to the name of a part, as in share-buttons; with any other word it names something else,
+# as share-price does.
+PART_WORDS = frozenset(
+    "area banner bar block body bottom box button buttons center column container content desktop entry first float global group "
+    "header holder icon icons inner item items js layout left link links list main mini mobile module outer page panel post posts "
+    "primary right row secondary section site slot small social sticky story the third top unit wrap wrapper".split()
+)
+# Elements that are counted by their name; others are one kind, so that the kinds are a fixed list.
+KNOWN_TAGS = BLOCKS | VOID | RAW | BESIDE_TAGS | frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label map mark math meter nobr output picture progress q rp rt "
+    "ruby s samp slot small span strike strong sub sup time tt u var".split()
+)
+UNKNOWN_TAG = "other"
 PIECES = re.compile(r"[a-z]+")
 # First or last piece of a name that tells a state, such as has-sidebar or menu-open.
 STATE_FIRST = frozenset("has with without no not".split())
@@ -68,13 +84,17 @@ STATE_LAST = frozenset("open opened closed active inactive enabled disabled visi
 
 
 def _named(value: str) -> str:
-    """The first word of ``BESIDE_WORDS`` in a class or id that names the element itself."""
+    """The first word of ``BESIDE_WORDS`` in a class or id that names the element itself.
+
+    All of the name must be such words or ``PART_WORDS``.
+    """
     for name in value.split():
         pieces = PIECES.findall(name)
         if pieces and pieces[0] not in STATE_FIRST and (len(pieces) == 1 or pieces[-1] not in STATE_LAST):
-            for piece in pieces:
-                if piece in BESIDE_WORDS:
-                    return piece
+            if all(piece in BESIDE_WORDS or piece in PART_WORDS for piece in pieces):
+                for piece in pieces:
+                    if piece in BESIDE_WORDS:
+                        return piece
     return ""
 
 
@@ -101,10 +121,10 @@ def _beside(name: str, attributes: str, in_main: bool) -> bool | str:
 class Token:
     """A tag (``tag``) or a block of words (``text``); ``beside``: True or a class or id word in parts beside the text."""
 
-    __slots__ = ("tag", "text", "n_words", "beside", "in_main")
+    __slots__ = ("tag", "text", "n_words", "n_linked", "beside", "in_main")
 
-    def __init__(self, tag: str | None, text: str, beside: bool | str, in_main: bool):
-        self.tag, self.text, self.beside, self.in_main = tag, text, beside, in_main
+    def __init__(self, tag: str | None, text: str, beside: bool | str, in_main: bool, n_linked: int = 0):
+        self.tag, self.text, self.beside, self.in_main, self.n_linked = tag, text, beside, in_main, n_linked
         self.n_words = len(text.split(" ")) if text else 0
 
 
@@ -113,9 +133,10 @@ def tokens(page: str | None) -> list[Token]:
     out, inner = _read(page or "", ("main",))
     if inner:
         opened, _ = _read(page or "", ("main", "article"))
-        before, after = (sum(t.n_words for t in ts if not t.beside) for ts in (out, opened))
-        # A box of teasers holds articles too, but not most of the words.
-        return opened if after > 2 * before else out
+        # A box of teasers holds articles too, but less running text than the page has outside it; a list of links is none.
+        outside = sum(t.n_words - t.n_linked for t in out if not t.beside)
+        inside = sum(t.n_words - t.n_linked for t, closed in zip(opened, out) if not t.beside and closed.beside)
+        return opened if inside > outside else out
     return out
 
 
@@ -124,15 +145,29 @@ def _read(page: str, ends: tuple[str, ...]) -> tuple[list[Token], bool]:
     inner = False
     out: list[Token] = []
     stack: list[tuple[str, bool | str, bool]] = []  # name, beside, in the main part
+    opened: Counter = Counter()  # names on the stack: one that is not there is not looked for
     pieces: list[str] = []
+    linked = 0  # words of the block that stand in links
     state = (False, False)
 
     def flush() -> None:
+        nonlocal linked
         if pieces:
             text = " ".join(html_module.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                out.append(Token(None, text, *state))
+                out.append(Token(None, text, *state, linked))
+        linked = 0
+
+    def add(text: str) -> None:
+        nonlocal linked
+        pieces.append(text)
+        if opened["a"]:
+            linked += len(text.split())
+
+    def cut(depth: int) -> None:
+        opened.subtract(entry[0] for entry in stack[depth:])
+        del stack[depth:]
 
     at = 0
     while at < len(page):
@@ -141,11 +176,11 @@ def _read(page: str, ends: tuple[str, ...]) -> tuple[list[Token], bool]:
             break
         match = TOKEN.match(page, start)
         if match is None:
-            pieces.append(page[at:start + 1])
+            add(page[at:start + 1])
             at = start + 1
             continue
         if start > at:
-            pieces.append(page[at:start])
+            add(page[at:start])
         at = match.end()
         if match[2] is None:
             continue
@@ -156,17 +191,19 @@ def _read(page: str, ends: tuple[str, ...]) -> tuple[list[Token], bool]:
             pieces.append(" ")
         out_of = state
         if closing:
-            for depth in range(len(stack) - 1, -1, -1):
+            for depth in range(len(stack) - 1, -1, -1) if opened[name] > 0 else ():
                 if stack[depth][0] == name:
                     # What stands in a part that ends here, ends with it.
                     if any(s[1:] != (stack[depth - 1][1:] if depth else (False, False)) for s in stack[depth:]):
                         flush()
-                    del stack[depth:]
+                    cut(depth)
                     break
             state = stack[-1][1:] if stack else (False, False)
         else:
             if name in BLOCKS:
-                _close_paragraph(stack, name)
+                depth = _open_paragraph(stack, opened, name)
+                if depth is not None:
+                    cut(depth)
                 state = stack[-1][1:] if stack else (False, False)
                 out_of = state
             if name not in VOID and not match[3].rstrip().endswith("/"):
@@ -178,26 +215,28 @@ def _read(page: str, ends: tuple[str, ...]) -> tuple[list[Token], bool]:
                 if new != state:
                     flush()
                 stack.append((name, *new))
+                opened[name] += 1
                 state = new
             if name in RAW:
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = end.start() if end else len(page)
-        out.append(Token(name, "", out_of[0] or state[0], out_of[1] and state[1]))
+        out.append(Token(name if name in KNOWN_TAGS else UNKNOWN_TAG, "", out_of[0] or state[0], out_of[1] and state[1]))
     if at < len(page):
-        pieces.append(page[at:])
+        add(page[at:])
     flush()
     return out, inner
 
 
-def _close_paragraph(stack: list[tuple[str, bool | str, bool]], name: str) -> None:
-    """A block ends an open paragraph, a list item an open item of the same list."""
-    for depth in range(len(stack) - 1, -1, -1):
-        open_name = stack[depth][0]
-        if open_name == "p" or open_name == name == "li":
-            del stack[depth:]
-            return
-        if open_name in BLOCKS:
-            return
+def _open_paragraph(stack: list[tuple[str, bool | str, bool]], opened: Counter, name: str) -> int | None:
+    """Where the paragraph lies on the stack that a block ends, or the item of the same list that a list item ends."""
+    if opened["p"] > 0 or name == "li" and opened["li"] > 0:
+        for depth in range(len(stack) - 1, -1, -1):
+            open_name = stack[depth][0]
+            if open_name == "p" or open_name == name == "li":
+                return depth
+            if open_name in BLOCKS:
+                return None
+    return None
 
 
 def kinds(page: list[Token]) -> list[str]:
@@ -280,8 +319,8 @@ def labelled_sample(pages: DataFrame, docs: DataFrame, rows: int = SAMPLE_PAGES)
     numbered = numbered.select("page_id", number.alias("doc_id")).where("doc_id is not null and page_id is not null")
     chosen = numbered.orderBy(F.xxhash64("page_id"), "page_id", "doc_id").limit(rows)
     texts = docs.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-    known = chosen.join(texts, "doc_id").select("page_id", "text")
-    return pages.select("page_id", "html").join(F.broadcast(known), "page_id").select("html", "text")
+    known = written(chosen.join(texts, "doc_id").select("page_id", "text"), "html-sample")
+    return pages.select("page_id", "html").join(broadcast_if_small(known), "page_id").select("html", "text")
 
 
 def train(pages: DataFrame, docs: DataFrame, rows: int = SAMPLE_PAGES) -> dict[str, float]:
@@ -295,9 +334,8 @@ def train(pages: DataFrame, docs: DataFrame, rows: int = SAMPLE_PAGES) -> dict[s
 
     counted = labelled_sample(pages, docs, rows).mapInArrow(run, "kind string, a long, b long")
     sums = counted.groupBy("kind").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    # Tag names are the author's choice, so the list of kinds is cut to the most frequent ones; others weigh as unknown.
-    top = sums.orderBy((F.col("a") + F.col("b")).desc(), "kind").limit(500).collect()
-    return learn_weights({r.kind: (r.a, r.b) for r in top})
+    # One row per known tag and class or id word.
+    return learn_weights({r.kind: (r.a, r.b) for r in sums.collect()})
 
 
 def extract_pages(pages: DataFrame, weights: dict[str, float]) -> DataFrame:
