@@ -21,6 +21,9 @@ CONFIG_COLUMNS = (
     "timezone STRING, currency STRING"
 )
 CHECKED = "checked_ms"
+# How far a job has read a table that others write.
+MARKS = "job_marks"
+MARK_COLUMNS = "job STRING, mark BIGINT, noted_ms BIGINT"
 
 # What the jobs write besides the warehouse tables: columns and partitioning. A check keeps the rows of each run.
 _UTM = ", ".join(f"{name} STRING" for name in UTM)
@@ -52,6 +55,8 @@ def register_project(
         warehouse.create_table(spark, database, name, StructType.fromDDL(columns), (partition,))
         resources[name] = f"{database}.{name}"
     incremental.create_state(spark, database, buckets)
+    resources[MARKS] = f"{database}.{MARKS}"
+    warehouse.create_table(spark, database, MARKS, StructType.fromDDL(MARK_COLUMNS), ())
     loads.ledger(spark, resources["raw_events"])
     resources[CONFIGS] = f"{database}.{CONFIGS}"
     warehouse.create_table(spark, database, CONFIGS, StructType.fromDDL(CONFIG_COLUMNS), ())
@@ -110,16 +115,37 @@ def _save_check(spark: SparkSession, rows: DataFrame, table: str) -> None:
     warehouse.save_rows(spark, rows.withColumn(CHECKED, F.lit(int(time.time() * 1000)).cast("bigint")), table)
 
 
+def _mark(spark: SparkSession, project_id: int, job: str) -> int:
+    """The largest ``inserted_at`` that a job's successful runs have read."""
+    return spark.table(_table(project_id, MARKS)).where(F.col("job") == job).agg(F.coalesce(F.max("mark"), F.lit(0))).first()[0]
+
+
 def update_network(spark: SparkSession, project_id: int, name: str, prefix: str = "") -> None:
-    """Dates for which the network's table got rows since the last successful run are brought to ``ad_costs`` anew."""
+    """Dates for which the network's table got rows are brought to ``ad_costs`` anew; dates it no longer has are dropped.
+
+    New rows are those beyond the largest ``inserted_at`` that was read before, not those since the last start: a row that
+    was stamped before a run and written during it is not passed over.
+    """
     network = name.removeprefix("update_").removesuffix("_ad_costs") + "_ads"
-    rows = spark.table(_table(project_id, f"{network}_ad_costs"))
-    state = job_states(spark, project_id).where(F.col("job") == name).first()
-    dates = jobs.newer_than(rows, state.last_run).select("date").distinct()
-    touched = small_lookup_join(rows, dates, ["date"], "left_semi", null_safe=True)
-    warehouse.save_rows(
-        spark, costs.update_network_costs(touched, network, prefix), _table(project_id, "ad_costs"), overwrite=True
+    source, costs_table = _table(project_id, f"{network}_ad_costs"), _table(project_id, "ad_costs")
+    rows = spark.table(source)
+    fresh = incremental.kept(
+        jobs.newer_than(rows, _mark(spark, project_id, name)).groupBy("date").agg(F.max("inserted_at").alias("mark")), "network-dates"
     )
+    touched = small_lookup_join(rows, fresh.select("date"), ["date"], "left_semi", null_safe=True)
+    warehouse.save_rows(spark, costs.update_network_costs(touched, network, prefix), costs_table, overwrite=True)
+    mark = fresh.agg(F.max("mark")).first()[0]
+    if mark is not None:
+        noted = spark.createDataFrame([(name, mark, int(time.time() * 1000))], MARK_COLUMNS)
+        noted.write.insertInto(_table(project_id, MARKS))
+    present = {str(day) for day in incremental.partition_dates(spark, source)}
+    withdrawn = []
+    for (part,) in spark.sql(f"SHOW PARTITIONS {costs_table}").collect():
+        values = dict(pair.split("=", 1) for pair in part.split("/"))
+        if values["data_source"] == network and values["date"][:1].isdigit() and values["date"] not in present:
+            withdrawn.append(f"PARTITION (`date` = '{values['date']}', data_source = '{network}')")
+    if withdrawn:
+        spark.sql(f"ALTER TABLE {costs_table} DROP IF EXISTS {', '.join(withdrawn)} PURGE")
 
 
 def update_manual(

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from beaconlake import fixtures as fx
 from beaconlake.contracts import JOBS, MESSAGE_RETENTION_SECONDS, SINK_SUBSCRIPTION_PREFIX, schema
@@ -263,6 +264,14 @@ def ordered_by_key(spark, sf_dir):
     return spark.read.schema(ordered.schema).parquet(f"{run}/events").select("avid", "event_id", "position")
 
 
+@query
+def replay_ten_days(spark, sf_dir):
+    """What was published in the last ten days before the latest message, read again from the landed days in between."""
+    landed = _landed(spark, sf_dir)
+    last = landed.agg(F.max("publish_time")).first()[0] or datetime(2000, 1, 1)
+    return ingest.replay_window(landed, schema("raw_events"), last - timedelta(days=10), last).select("event_id", _day(), "event_name")
+
+
 @query
 def replay_into_table(spark, sf_dir):
     """The project's raw table after a load of all batches, the loss of two days, and a replay of the first of them."""
@@ -465,6 +474,20 @@ def retention_survivors(spark, sf_dir):
     return spark.table(name).groupBy(_day()).agg(F.count(F.lit(1)).alias("events"))
 
 
+@query
+def clustered_files(spark, sf_dir):
+    """Per day, events and rows that come before a smaller one in their file, of a table clustered by event name."""
+    name = _dated_table(spark, sf_dir)
+    rows = spark.table(name).select(
+        "date", "event_name", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")
+    )
+    # Rows of a file are few next to a table's; the window reads each file's own.
+    before = F.lag("event_name").over(Window.partitionBy("date", "file").orderBy("place"))
+    return rows.withColumn("unordered", before > F.col("event_name")).groupBy(_day()).agg(
+        F.count(F.lit(1)).alias("events"), F.count_if("unordered").alias("unordered")
+    )
+
+
 @query
 def partition_guard(spark, sf_dir):
     """Events per day of a table that only answers reads with a bound on its partition column."""

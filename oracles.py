@@ -700,6 +700,10 @@ union all select 'job_states', 7
 """
 
 ORACLES["ingest_quoted_fields"] = ORACLES["ingest_unknown_fields"].replace("'unknown fields: extra'", "'does not fit the schema'")
+ORACLES["replay_ten_days"] = SENT + """
+select event_id, date, event_name from fate where reason is null and publish_ms >= (select max(publish_ms) - 864000000 from fate)
+"""
+ORACLES["clustered_files"] = STAGED + "select date, count(*) as events, cast(0 as bigint) as unordered from fx group by 1"
 ORACLES["raw_events_loaded"] = SENT + "select distinct event_id, date, event_name from fate where reason is null"
 ORACLES["raw_events_compacted"] = STAGED + """
 select date, count(*) as events, day < (select max(day) from fx) or count(distinct eid % 4) <= 2 as compact from fx group by date, day

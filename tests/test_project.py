@@ -97,6 +97,30 @@ def test_costs_come_by_their_dates(spark, number, tmp_path):
     assert spark.table(f"{database}.costs_without_visits").count() == 3
 
 
+def test_network_rows_are_read_once_whatever_the_clock(spark, number):
+    database = warehouse.database_name(number)
+    network, costs = f"{database}.google_ads_ad_costs", f"{database}.ad_costs"
+    fields = spark.table(network).schema.fields
+
+    def bring(day: str, inserted_at: int, cost: float) -> None:
+        given = {"inserted_at": inserted_at, "date": day, "ad_account_id": "a", "cost": cost}
+        columns = ", ".join(f"cast({given[f.name]!r} as {f.dataType.simpleString()}) as `{f.name}`" if f.name in given
+                            else f"cast(null as {f.dataType.simpleString()}) as `{f.name}`" for f in fields)
+        warehouse.save_rows(spark, spark.sql(f"select {columns}"), network)
+        project.run_job(spark, number, "update_google_ad_costs")
+
+    # Stamped long before the runs' start.
+    bring("2024-01-01", 5, 1.0)
+    bring("2024-01-02", 7, 2.0)
+    assert as_tuples(spark.table(costs), "date", "cost") == [(date(2024, 1, 1), 1.0), (date(2024, 1, 2), 2.0)]
+    assert spark.table(f"{database}.{project.MARKS}").count() == 2
+    # A date that the network withdraws goes, also when nothing is new.
+    spark.sql(f"ALTER TABLE {network} DROP PARTITION (`date` = '2024-01-01')")
+    project.run_job(spark, number, "update_google_ad_costs")
+    assert as_tuples(spark.table(costs), "date", "cost") == [(date(2024, 1, 2), 2.0)]
+    assert spark.table(f"{database}.{project.MARKS}").count() == 2
+
+
 def test_unknown_job(spark, number):
     with pytest.raises(ValueError):
         project.run_job(spark, number, "none")
