@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from beaconlake.operators import attribution, identity, seen
 from beaconlake.operators.skew import MAX_GROUP_ROWS, lookup_join, small_lookup_join
-from beaconlake.plans import loads, warehouse
+from beaconlake.plans import loads, storage, warehouse
 from beaconlake.session import run_path
 
 BUCKETS = 200
@@ -65,6 +65,26 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate rows of one run: complete in the shared folder, and removed at the run's end."""
+
+    def __init__(self, spark: SparkSession, database: str):
+        self.spark, self.database, self.folder, self.names = spark, database, run_path(spark, "state"), 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.names += 1
+        path = f"{self.folder}/{self.names}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        if self.names:
+            storage.remove_folder(self.spark, self.database, self.folder)
+
+
 def _save_version(spark: SparkSession, rows: DataFrame, table: str, version: int) -> None:
     warehouse.save_rows(spark, rows.withColumn("version", F.lit(version)), table)
 
@@ -115,13 +135,13 @@ def drop_dates(spark: SparkSession, table: str, dates: Iterable[date], name: str
 
 
 def replace_dates(
-    spark: SparkSession, rows: DataFrame, table: str, dates: Sequence[date], name: str = "date", complete: bool = False
+    spark: SparkSession, rows: DataFrame, table: str, dates: Sequence[date], scratch: Scratch, name: str = "date", complete: bool = False
 ) -> None:
     """Make ``rows`` all that ``table`` has of ``dates``: dates without rows lose their partition.
 
     The rows are complete in the shared folder first, unless the caller says that they are.
     """
-    rows = rows if complete else kept(rows, "dates")
+    rows = rows if complete else scratch.keep(rows)
     warehouse.save_rows(spark, rows, table, overwrite=True)
     drop_dates(spark, table, set(dates) - set(_dates(rows, name)), name)
 
@@ -173,6 +193,15 @@ def identify_dates(
     dates = found if dates is None else sorted(dates)
     if not dates:
         return []
+    with Scratch(spark, database) as scratch:
+        return _identify(spark, database, dates, new_loads, inserted_at, avid_col, scratch)
+
+
+def _identify(
+    spark: SparkSession, database: str, dates: Sequence[date], new_loads: Sequence[str], inserted_at: Column | None, avid_col: str,
+    scratch: Scratch,
+) -> list[date]:
+    kept = scratch.keep
 
     def table(name: str) -> str:
         return f"{database}.{name}"
@@ -191,9 +220,9 @@ def identify_dates(
 
     buckets = seen.bucket_count(spark, table("seen_events"))
     raw = on_dates(spark.table(table("raw_events")), dates)
-    new = kept(seen.new_events(raw, stored("seen_events"), buckets), "identify-new")
+    new = kept(seen.new_events(raw, stored("seen_events"), buckets))
     nodes = new.select("event_id", identity.event_nodes(avid_col).alias("nodes"))
-    edges = kept(identity.event_edges(nodes), "identify-edges")
+    edges = kept(identity.event_edges(nodes))
     # No key has more rows than there are: with few rows nothing needs to look for busy identifiers.
     many = new.count() > MAX_GROUP_ROWS or edges.count() > MAX_GROUP_ROWS
 
@@ -202,9 +231,9 @@ def identify_dates(
     aliases = spark.table(table("identity_aliases")).where(F.col("version") == before).drop("version")
     given = stored("identity_nodes").groupBy("node").agg(F.min("profile_id").alias("profile_id"))
     known = seen.meet_buckets(named, "node", buckets).join(given.hint("merge"), "node")
-    known = kept(profiles_now(known, aliases, many), "identify-known")
+    known = kept(profiles_now(known, aliases, many))
     merged, renamed = identity.merge_profiles(known, edges, many)
-    merged, renamed = kept(merged, "identify-nodes"), kept(renamed, "identify-renamed")
+    merged, renamed = kept(merged), kept(renamed)
 
     seen.remember(spark, new, table("seen_events"), version)
     fresh = named.join(known, "node", "left_anti").join(merged, "node", "left").select(
@@ -219,7 +248,7 @@ def identify_dates(
         "node", F.coalesce("_now", "profile_id").alias("profile_id")
     ).unionByName(fresh)
     inserted_at = F.unix_millis(F.current_timestamp()) if inserted_at is None else inserted_at
-    identified = identity.with_profiles(new.drop("row_hash", "replaces"), kept(now, "identify-names"), avid_col, inserted_at, look_for_heavy=many)
+    identified = identity.with_profiles(new.drop("row_hash", "replaces"), kept(now), avid_col, inserted_at, look_for_heavy=many)
 
     # Dates written before that have a renamed profile or lose a row.
     written, others = identified.withColumn("_now", F.col("profile_id")), []
@@ -234,11 +263,11 @@ def identify_dates(
         again = small_lookup_join(old, names, ["profile_id"])
         again = again.withColumn("profile_id", F.coalesce("_now", "profile_id")).select(*[F.col(f"`{c}`") for c in identified.columns], "_now")
         written = written.unionByName(again)
-    written = kept(written, "identified")
+    written = kept(written)
     # Only names that these dates did not have before.
     pairs = written.where("_now is not null").select("profile_id", "date").distinct()
     _save_version(spark, pairs, table("profile_dates"), version)
-    replace_dates(spark, written.drop("_now"), table("identified_events"), [*dates, *others], complete=True)
+    replace_dates(spark, written.drop("_now"), table("identified_events"), [*dates, *others], scratch, complete=True)
 
     changed = sorted({*dates, *others})
     commit = [(version, list(dates), changed, new_loads, int(time.time() * 1000))]
@@ -267,7 +296,13 @@ def attribute_dates(
     if model not in ("last_touch", "first_touch"):
         raise ValueError("the table of attributed events holds one touch per conversion")
     create_state(spark, database)
+    with Scratch(spark, database) as scratch:
+        return _attribute(spark, database, conversion_events, model, lookback_days, scratch)
 
+
+def _attribute(
+    spark: SparkSession, database: str, conversion_events: Sequence[str], model: str, lookback_days: int, scratch: Scratch
+) -> list[date]:
     def table(name: str) -> str:
         return f"{database}.{name}"
 
@@ -285,13 +320,13 @@ def attribute_dates(
     day = utc_day(F.col("timestamp"))
     fresh_pairs = on_dates(events, changed).where("timestamp is not null").select(day.alias("day"), "date")
     old_pairs = spark.table(table("event_days"))
-    fresh_pairs = kept(fresh_pairs.unionByName(on_dates(old_pairs, changed)).distinct(), "event-days")
+    fresh_pairs = scratch.keep(fresh_pairs.unionByName(on_dates(old_pairs, changed)).distinct())
     warehouse.save_rows(spark, fresh_pairs, table("event_days"), overwrite=True)
     pairs = spark.table(table("event_days"))
 
     excluded = spark.table(table("excluded_referrers"))
     changed_days = _dates(fresh_pairs, "day")
-    _update_touches(spark, database, events, pairs, changed_days, excluded)
+    _update_touches(spark, database, events, pairs, changed_days, excluded, scratch)
 
     if everything:
         out = sorted({*partition_dates(spark, table("identified_events")), *partition_dates(spark, attributed)})
@@ -313,14 +348,15 @@ def attribute_dates(
     rows = attribution.attribute_events(
         read.drop("_day"), list(conversion_events), model, lookback_days, excluded=excluded, earlier_touches=earlier
     )
-    replace_dates(spark, on_dates(rows, out), attributed, out)
+    replace_dates(spark, on_dates(rows, out), attributed, out, scratch)
     commit = [(version, options, int(time.time() * 1000))]
     spark.createDataFrame(commit, "version INT, options STRING, ended_ms BIGINT").write.insertInto(table("attribution_versions"))
     return out
 
 
 def _update_touches(
-    spark: SparkSession, database: str, events: DataFrame, pairs: DataFrame, days: Sequence[date], excluded: DataFrame
+    spark: SparkSession, database: str, events: DataFrame, pairs: DataFrame, days: Sequence[date], excluded: DataFrame,
+    scratch: Scratch,
 ) -> None:
     """Last touch per profile of some days, from the dates that have events on them."""
     dates = _dates(on_dates(pairs, days, "day"))
@@ -329,4 +365,4 @@ def _update_touches(
         F.max_by("touch", F.struct("touch.timestamp", "touch.event_id")).alias("touch")
     )
     columns = [F.col(f"touch.`{name}`") for name in ("timestamp", "event_id", *attribution.SOURCE_COLUMNS)]
-    replace_dates(spark, last.select("key", *columns, "day"), f"{database}.daily_touches", days, "day")
+    replace_dates(spark, last.select("key", *columns, "day"), f"{database}.daily_touches", days, scratch, "day")
