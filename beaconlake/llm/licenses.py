@@ -21,6 +21,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from beaconlake.llm.common import NOT_WORD, broadcast_if_small, literal_rows, lower_ascii, table, words, written
 
@@ -147,8 +148,12 @@ def license_lines(texts: DataFrame, templates: Mapping[str, Sequence[str]] = TEM
     matched = windows.select("text_key", "license", "line", "first", (F.col("end") + 1).alias("end"), dice.alias("dice"))
     matched = matched.where(F.col("dice") >= min_dice)
     order = F.struct((-F.col("dice")).alias("key"), (F.col("first") - F.col("end")).alias("length"), "first", "license", "end", "line")
-    per_start = matched.groupBy("text_key", "first").agg(F.min(order).alias("window"))
-    ranked = per_start.groupBy("text_key").agg(F.array_sort(F.collect_list("window")).alias("windows"))
+    # Of the windows with one start, those that a shorter one beats can never count: whatever rules out the shorter one
+    # rules them out too. The others can, if a longer one overlaps with a better match.
+    per_end = matched.groupBy("text_key", "first", "end").agg(F.min(order).alias("window"), F.max("dice").alias("dice"))
+    shorter = Window.partitionBy("text_key", "first").orderBy("end").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = per_end.withColumn("best", F.max("dice").over(shorter)).where("best is null or dice >= best")
+    ranked = ahead.groupBy("text_key").agg(F.array_sort(F.collect_list("window")).alias("windows"))
     none = F.slice("windows", 1, 0)
     chosen = F.aggregate("windows", none, lambda kept, w: F.when(
         F.exists(kept, lambda k: (k["first"] <= w["end"]) & (w["first"] <= k["end"])), kept).otherwise(F.concat(kept, F.array(w))))
