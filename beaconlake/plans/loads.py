@@ -19,6 +19,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from beaconlake.plans import storage
 from beaconlake.plans.warehouse import gathered, save_rows
+from beaconlake.session import run_path
 from beaconlake.streaming.ingest import BATCH, finished_batches, missing_rows
 
 LEDGER = f"{BATCH} BIGINT, `date` DATE, load STRING, loaded_ms BIGINT"
@@ -91,7 +92,7 @@ def load_batches(spark: SparkSession, target: str, schema: StructType, table: st
     if not batches:
         return []
     rows = batch_rows(spark, target, schema, batches)
-    save_rows(spark, missing_rows(rows.drop(BATCH), spark.table(table)), table)
+    _add_missing(spark, rows.drop(BATCH), table)
     # Partition columns only: no rows are read. A micro-batch without good rows has no folder, and is loaded too.
     dates = rows.select(BATCH, "date").distinct()
     numbers = spark.createDataFrame([(number,) for number in batches], f"{BATCH} BIGINT")
@@ -99,11 +100,20 @@ def load_batches(spark: SparkSession, target: str, schema: StructType, table: st
     return batches
 
 
+def _add_missing(spark: SparkSession, rows: DataFrame, table: str) -> list[date]:
+    """Add the events that the table lacks; returns their dates, which are few. What was written on the way is removed."""
+    path = run_path(spark, "load")
+    missing = missing_rows(rows, spark.table(table), path)
+    try:
+        save_rows(spark, missing, table)
+        return [row[0] for row in missing.select("date").distinct().collect()]
+    finally:
+        storage.remove_folder(spark, storage.split_name(spark, table)[0], path)
+
+
 def replay_dates(spark: SparkSession, rows: DataFrame, table: str) -> None:
     """As ``add_to_table``, with the dates entered into the ledger."""
-    missing = missing_rows(rows, spark.table(table))
-    save_rows(spark, missing, table)
-    note_dates(spark, table, [row[0] for row in missing.select("date").distinct().collect()])
+    note_dates(spark, table, _add_missing(spark, rows, table))
 
 
 def file_sizes(spark: SparkSession, table: str, before: date) -> DataFrame:

@@ -214,12 +214,13 @@ def replay_into(
     ).parquet(target)
 
 
-def missing_rows(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
+def missing_rows(rows: DataFrame, stored: DataFrame | None, path: str | None = None) -> DataFrame:
     """One row per date and event id of ``rows`` that ``stored`` lacks, complete in the shared folder.
 
-    ``rows`` are computed once, and only the stored ids of their dates are read.
+    ``rows`` are computed once, and only the stored ids of their dates are read. ``path`` names a folder for the rows that
+    the caller removes.
     """
-    keys, path = ["date", "event_id"], run_path(rows.sparkSession, "missing")
+    keys, path = ["date", "event_id"], path or run_path(rows.sparkSession, "missing")
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{path}/{name}")
