@@ -21,13 +21,12 @@ positions outside hold a boundary token. Whole texts are read; columns other tha
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,12 +42,24 @@ SIDE = 2  # tokens to each side
 WIDTH, HIDDEN = 8, 16
 STEP_TOKENS = 8192
 RATE = 0.05
+SAFE_LOGIT = 60.0
 BATCH_WORDS = 200_000
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def split(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+def split(texts: list[str | None] | pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(place of each word of all texts among the distinct ones, distinct words, words per text).
+
+    Words lie between ASCII white space, with A-Z in lower case.
+    """
+    if not isinstance(texts, pa.Array):
+        texts = pa.array(texts, pa.string())
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words, of_text = parts.flatten(), pc.list_parent_indices(parts)
+    # White space at a text's ends leaves an empty part there.
+    filled = pc.greater(pc.binary_length(words), 0)
+    coded = words.filter(filled).dictionary_encode()
+    counts = np.bincount(of_text.filter(filled).to_numpy(), minlength=len(texts))
+    return coded.indices.to_numpy(), coded.dictionary.cast(pa.binary()), counts
 
 
 def ranges(texts: pa.Array, words: int = BATCH_WORDS) -> Iterator[tuple[int, int]]:
@@ -73,11 +84,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts = batch.column("text")
             for start, end in ranges(texts, 20 * BATCH_WORDS):
-                counts: Counter = Counter()
-                for text in texts.slice(start, end - start):
-                    counts.update(split(text.as_py()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+                codes, distinct, _ = split(texts.slice(start, end - start))
+                yield pa.RecordBatch.from_arrays([distinct, pa.array(np.bincount(codes, minlength=len(distinct)))], ["word", "n"])
 
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -87,12 +95,16 @@ class Vocabulary:
 
     def __init__(self, frequent: list[bytes], counts: np.ndarray):
         self.number = {w: i for i, w in enumerate(frequent)}
+        self.frequent = frequent
         self.counts = counts
 
-    def of_words(self, words: np.ndarray) -> np.ndarray:
-        first = TOKENS - BUCKETS
-        get = self.number.get
-        return np.array([n if (n := get(w)) is not None else first + zlib.crc32(w) % BUCKETS for w in words], np.int32)
+    def of_words(self, words: pa.Array) -> np.ndarray:
+        found = pc.index_in(words, value_set=pa.array(self.frequent, pa.binary()))
+        numbers = found.fill_null(TOKENS - BUCKETS).to_numpy().copy()
+        bucketed = pc.is_null(found)
+        buckets = [zlib.crc32(word) % BUCKETS for word in words.filter(bucketed).to_numpy(zero_copy_only=False)]
+        numbers[bucketed.to_numpy(zero_copy_only=False)] += np.array(buckets, np.int32)
+        return numbers
 
 
 def vocabulary(docs: DataFrame, counts: DataFrame | None = None) -> Vocabulary:
@@ -150,19 +162,9 @@ def unseen_log(word: Column, kinds: np.ndarray) -> Column:
     return F.get(per_bucket, bucket) - (F.octet_length(word) + 1) * F.lit(float(np.log(257)))
 
 
-def _distinct(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place of each word of all texts among the distinct ones, distinct words, words per text)."""
-    words = [split(t) for t in texts]
-    counts = np.array([len(w) for w in words], np.int64)
-    flat = np.empty(int(counts.sum()), dtype=object)
-    flat[:] = [w for ws in words for w in ws]
-    codes, distinct = pd.factorize(flat)
-    return codes, distinct, counts
-
-
-def encode(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+def encode(texts: list[str | None] | pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """(token numbers of all texts, tokens per text)."""
-    codes, distinct, counts = _distinct(texts)
+    codes, distinct, counts = split(texts)
     return vocabulary.of_words(distinct)[codes], counts
 
 
@@ -207,70 +209,86 @@ def unflatten(values: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    logits -= logits.max(1, keepdims=True)
-    power = np.exp(logits)
-    total = power.sum(1, keepdims=True)
-    power /= total
-    return power, np.log(total[:, 0])
+def _softmax(logits: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """(probabilities, logarithm of the sum of powers) per row; ``logits`` is overwritten.
 
-
-def _forward(p: dict[str, np.ndarray], tokens: np.ndarray, around: np.ndarray):
-    x = p["embedding"][around].reshape(len(tokens), -1)
-    h = np.tanh(x @ p["hidden"] + p["hidden_bias"])
-    cluster, member = tokens % CLUSTERS, tokens // CLUSTERS
-    rows = np.arange(len(tokens))
-    c_logits = h @ p["cluster"] + p["cluster_bias"]
-    c_logits -= c_logits.max(1, keepdims=True)
-    c_own = c_logits[rows, cluster]
-    c_prob, c_log = _softmax(c_logits)
-    return x, h, cluster, member, rows, c_prob, c_own - c_log
-
-
-def _by_cluster(cluster: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(cluster, kind="stable")
-    ends = np.cumsum(np.bincount(cluster, minlength=CLUSTERS))
-    for c in range(CLUSTERS):
-        at = order[ends[c - 1] if c else 0:ends[c]]
-        if len(at):
-            yield c, at
+    No logit is further from zero than ``bound``. While that is small, powers neither overflow nor vanish as they are;
+    beyond, each row's largest logit is taken off first.
+    """
+    shift = 0
+    if bound > SAFE_LOGIT:
+        shift = logits.max(1, keepdims=True)
+        logits -= shift
+        shift = shift[:, 0]
+    power = np.exp(logits, out=logits)
+    total = power @ np.ones(power.shape[1], power.dtype)
+    power *= (1 / total)[:, None]
+    return power, np.log(total) + shift
+
+
+def _bound(weights: np.ndarray, bias: np.ndarray) -> float:
+    """How far from zero a logit can be, as hidden units lie between -1 and 1."""
+    return float((np.abs(weights).sum(-2) + np.abs(bias)).max())
+
+
+class Forward:
+    """One batch through the network: hidden units, the clusters' probabilities and, for tokens in the order of their
+    cluster, the probabilities of the members of each one's own cluster."""
+
+    def __init__(self, p: dict[str, np.ndarray], tokens: np.ndarray, around: np.ndarray):
+        n = len(tokens)
+        self.x = p["embedding"].take(around.ravel(), axis=0).reshape(n, -1)
+        self.h = np.tanh(self.x @ p["hidden"] + p["hidden_bias"])
+        self.cluster, self.member, self.rows = tokens % CLUSTERS, tokens // CLUSTERS, np.arange(n)
+        logits = self.h @ p["cluster"] + p["cluster_bias"]
+        own = logits[self.rows, self.cluster]
+        self.c_prob, log_total = _softmax(logits, _bound(p["cluster"], p["cluster_bias"]))
+        self.log_p = own - log_total
+
+        self.order = np.argsort(self.cluster.astype(np.int16), kind="stable")
+        ends = np.cumsum(np.bincount(self.cluster, minlength=CLUSTERS))
+        self.parts = [(c, slice(ends[c - 1] if c else 0, ends[c])) for c in range(CLUSTERS) if ends[c] > (ends[c - 1] if c else 0)]
+        self.h_sorted, self.member_sorted = self.h.take(self.order, axis=0), self.member[self.order]
+        logits = np.empty((n, MEMBERS), self.h.dtype)
+        for c, at in self.parts:
+            np.matmul(self.h_sorted[at], p["member"][c], out=logits[at])
+            logits[at] += p["member_bias"][c]
+        own = logits[self.rows, self.member_sorted]
+        self.m_prob, log_total = _softmax(logits, _bound(p["member"], p["member_bias"]))
+        self.log_p[self.order] += own - log_total
 
 
 def log_probabilities(p: dict[str, np.ndarray], tokens: np.ndarray, around: np.ndarray) -> np.ndarray:
     """The conditional log-probability of each token, given the tokens around it."""
     out = np.empty(len(tokens))
     for at in range(0, len(tokens), STEP_TOKENS):
-        t = tokens[at:at + STEP_TOKENS]
-        _, h, cluster, member, _, _, log_p = _forward(p, t, around[at:at + STEP_TOKENS])
-        for c, rows in _by_cluster(cluster):
-            logits = h[rows] @ p["member"][c] + p["member_bias"][c]
-            logits -= logits.max(1, keepdims=True)
-            log_p[rows] += logits[np.arange(len(rows)), member[rows]] - np.log(np.exp(logits).sum(1))
-        out[at:at + STEP_TOKENS] = log_p
+        out[at:at + STEP_TOKENS] = Forward(p, tokens[at:at + STEP_TOKENS], around[at:at + STEP_TOKENS]).log_p
     return out
 
 
 def train_step(p: dict[str, np.ndarray], squares: dict[str, np.ndarray], tokens: np.ndarray, around: np.ndarray) -> None:
     """One step of AdaGrad on a batch of tokens."""
     n = np.float32(len(tokens))
-    x, h, cluster, member, rows, c_prob, _ = _forward(p, tokens, around)
-    c_prob[rows, cluster] -= 1
-    gradient = {"cluster": h.T @ c_prob / n, "cluster_bias": c_prob.sum(0) / n}
-    d_h = c_prob @ p["cluster"].T
+    f = Forward(p, tokens, around)
+    c_error, m_error = f.c_prob, f.m_prob
+    c_error[f.rows, f.cluster] -= 1
+    m_error[f.rows, f.member_sorted] -= 1
+    gradient = {"cluster": f.h.T @ c_error / n, "cluster_bias": c_error.sum(0) / n}
     g_member, g_bias = np.zeros_like(p["member"]), np.zeros_like(p["member_bias"])
-    for c, at in _by_cluster(cluster):
-        own = h[at]
-        prob, _ = _softmax(own @ p["member"][c] + p["member_bias"][c])
-        prob[np.arange(len(at)), member[at]] -= 1
-        g_member[c] = own.T @ prob / n
-        g_bias[c] = prob.sum(0) / n
-        d_h[at] += prob @ p["member"][c].T
+    d_sorted = np.empty_like(f.h_sorted)
+    for c, at in f.parts:
+        error = m_error[at]
+        g_member[c] = f.h_sorted[at].T @ error / n
+        g_bias[c] = error.sum(0) / n
+        np.matmul(error, p["member"][c].T, out=d_sorted[at])
     gradient |= {"member": g_member, "member_bias": g_bias}
-    d_h *= 1 - h * h
-    gradient |= {"hidden": x.T @ d_h / n, "hidden_bias": d_h.sum(0) / n}
-    d_x = (d_h @ p["hidden"].T).reshape(-1, WIDTH)
+    d_h = c_error @ p["cluster"].T
+    d_h[f.order] += d_sorted
+    d_h *= 1 - f.h * f.h
+    gradient |= {"hidden": f.x.T @ d_h / n, "hidden_bias": d_h.sum(0) / n}
+    d_x = np.ascontiguousarray((d_h @ p["hidden"].T).reshape(-1, WIDTH).T)
     flat = around.ravel()
-    gradient["embedding"] = np.stack([np.bincount(flat, d_x[:, k], TOKENS + 1) for k in range(WIDTH)], axis=1).astype(np.float32) / n
+    gradient["embedding"] = np.stack([np.bincount(flat, d, TOKENS + 1) for d in d_x], axis=1).astype(np.float32) / n
     for name, g in gradient.items():
         squares[name] += g * g
         p[name] -= np.float32(RATE) * g / (np.sqrt(squares[name]) + np.float32(1e-6))
@@ -289,7 +307,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
         for batch in batches:
             texts = batch.column("text")
             for first, end in ranges(texts):
-                tokens, counts = encode(texts.slice(first, end - first).to_pylist(), vocabulary)
+                tokens, counts = encode(texts.slice(first, end - first), vocabulary)
                 around = contexts(tokens, counts)
                 for at in range(0, len(tokens), STEP_TOKENS):
                     train_step(p, squares, tokens[at:at + STEP_TOKENS], around[at:at + STEP_TOKENS])
@@ -325,7 +343,7 @@ def score(docs: DataFrame, vocabulary: Vocabulary, parameters: dict[str, np.ndar
         for batch in batches:
             texts = batch.column("text")
             for first, end in ranges(texts):
-                codes, distinct, counts = _distinct(texts.slice(first, end - first).to_pylist())
+                codes, distinct, counts = split(texts.slice(first, end - first))
                 number = vocabulary.of_words(distinct)
                 tokens = number[codes]
                 values = log_probabilities(parameters, tokens, contexts(tokens, counts))
@@ -333,14 +351,14 @@ def score(docs: DataFrame, vocabulary: Vocabulary, parameters: dict[str, np.ndar
                 rare = np.zeros(len(distinct), bool)
                 if whole:
                     inside = np.flatnonzero(number >= first_bucket)
-                    uses = np.array([hot.get(w, 0) for w in distinct[inside]], np.float64)
+                    uses = np.array([hot.get(w, 0) for w in distinct.take(pa.array(inside)).to_numpy(zero_copy_only=False)], np.float64)
                     logs = np.zeros(len(distinct))
                     logs[inside] = share[number[inside] - first_bucket] + np.log(np.maximum(uses, 1))
                     rare[inside] = uses == 0
                     values += logs[codes]
                 at = np.flatnonzero(rare[codes])
                 ends = np.cumsum(np.bincount(of_doc[at], minlength=len(counts)))
-                words = pa.array(distinct, pa.binary()).take(pa.array(codes[at], pa.int64()))
+                words = distinct.take(pa.array(codes[at]))
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), words)
                 sums = np.bincount(of_doc, values, len(counts))
                 kept = [batch.column(f.name).slice(first, end - first) for f in own]

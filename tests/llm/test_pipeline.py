@@ -28,8 +28,8 @@ def passes_rules(text):
     n = len(words)
     if n < 10 or 100 * in_repeats(words, 5) > 20 * n:
         return False
-    # Repeats of ten words or more are made of windows of ten; one of over 200 words holds a window of 201.
-    return in_repeats(words, 10) <= 0.3 * n and in_repeats(words, 201) == 0
+    # Repeats of ten words or more are made of windows of ten; one of over 40 words holds a window of 41.
+    return in_repeats(words, 10) <= 0.1 * n and in_repeats(words, 41) == 0
 
 
 def is_contaminated(text, windows):
