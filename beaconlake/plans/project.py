@@ -21,6 +21,8 @@ CONFIG_COLUMNS = (
     "timezone STRING, currency STRING"
 )
 CHECKED = "checked_ms"
+# The name of a load in the run log, beside those of the seven jobs.
+LOAD = "load_raw_events"
 # How far a job has read a table that others write.
 MARKS = "job_marks"
 MARK_COLUMNS = "job STRING, mark BIGINT, noted_ms BIGINT"
@@ -99,6 +101,18 @@ def run_job(spark: SparkSession, project_id: int, name: str, **options) -> None:
     jobs.log_run(spark, run_log_path(spark, project_id), name, project_id, lambda: step(spark, project_id, name, **options))
 
 
+def load_raw_events(spark: SparkSession, project_id: int, target: str, prefix: str = "", most: int | None = None) -> list[int]:
+    """Load what ``ingest_events`` has finished under ``target`` since the last load into ``raw_events``, and log the run.
+
+    Returns the numbers of the micro-batches; with ``most`` only that many of the oldest are taken.
+    """
+    table = _table(project_id, "raw_events")
+    return jobs.log_run(
+        spark, run_log_path(spark, project_id), LOAD, project_id,
+        lambda: loads.load_batches(spark, target, contracts.schema("raw_events", prefix), table, most),
+    )
+
+
 def _table(project_id: int, name: str) -> str:
     return f"{warehouse.database_name(project_id)}.{name}"
 

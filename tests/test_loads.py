@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from beaconlake.contracts import schema
 from beaconlake.operators import seen
-from beaconlake.plans import loads, materialize, retention, storage, warehouse
+from beaconlake.plans import loads, materialize, project, retention, storage, warehouse
 from beaconlake.session import run_path
 from beaconlake.sources.messages import parse_messages
 from beaconlake.streaming import ingest
@@ -88,6 +88,20 @@ def test_a_load_that_fails_before_its_ledger_is_repeated(spark, ingested, monkey
     assert spark.table(table).count() == 2
 
 
+def test_a_project_logs_its_loads(spark, tmp_path):
+    number = uuid.uuid4().int % 10**12
+    names = project.register_project(spark, number, str(tmp_path / "w"), buckets=2)
+    target = str(tmp_path / "ingested")
+    send(spark, str(tmp_path / "topic"), [event(1)])
+    stream = spark.readStream.schema(ENVELOPE).parquet(str(tmp_path / "topic"))
+    ingest.ingest_events(stream, schema("raw_events"), target, str(tmp_path / "bad"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert project.load_raw_events(spark, number, target) == [0]
+    assert project.load_raw_events(spark, number, target) == []
+    runs = project.run_log(spark, number).where("job = 'load_raw_events' and status = 'success'")
+    assert runs.count() == 2 and spark.table(names["raw_events"]).count() == 1
+    spark.sql(f"DROP DATABASE `{names['database']}` CASCADE")
+
+
 def test_an_unfinished_batch_is_not_loaded(spark, ingested, tmp_path):
     table, target, add = ingested
     add(event(1))
