@@ -21,7 +21,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from beaconlake.llm.common import NOT_WORD, broadcast_if_small, literal_rows, lower_ascii, table, words, written
 
@@ -142,18 +141,23 @@ def license_lines(texts: DataFrame, templates: Mapping[str, Sequence[str]] = TEM
         F.slice("words", F.col("first"), F.col("high") + 1).alias("near"),
         F.filter(last, lambda e: e - F.col("first") < F.col("high")).alias("last"),
     )
-    windows = hits.select("*", F.explode("last").alias("end"))
-    windows = windows.withColumn("found", bigrams(F.slice("near", 1, F.col("end") - F.col("first") + 2)))
-    dice = 2 * F.size(F.array_intersect("found", "own")) / (F.size("found") + F.col("size"))
-    matched = windows.select("text_key", "license", "line", "first", (F.col("end") + 1).alias("end"), dice.alias("dice"))
-    matched = matched.where(F.col("dice") >= min_dice)
-    order = F.struct((-F.col("dice")).alias("key"), (F.col("first") - F.col("end")).alias("length"), "first", "license", "end", "line")
+    def scored(end: Column) -> Column:
+        found = bigrams(F.slice("near", 1, end - F.col("first") + 2))
+        # The pairs are made once: a one-element list binds them to a name.
+        dice = F.get(F.transform(F.array(found), lambda pairs: 2 * F.size(F.array_intersect(pairs, F.col("own"))) / (F.size(pairs) + F.col("size"))), F.lit(0))
+        return F.struct((end + 1).alias("end"), dice.alias("dice"))
+
     # Of the windows with one start, those that a shorter one beats can never count: whatever rules out the shorter one
-    # rules them out too. The others can, if a longer one overlaps with a better match.
-    per_end = matched.groupBy("text_key", "first", "end").agg(F.min(order).alias("window"), F.max("dice").alias("dice"))
-    shorter = Window.partitionBy("text_key", "first").orderBy("end").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = per_end.withColumn("best", F.max("dice").over(shorter)).where("best is null or dice >= best")
-    ranked = ahead.groupBy("text_key").agg(F.array_sort(F.collect_list("window")).alias("windows"))
+    # rules them out too. The others can, if a longer one overlaps a better match.
+    nothing = F.struct(F.lit(min_dice).alias("best"), F.array().cast("array<struct<end:int,dice:double>>").alias("kept"))
+    ahead = F.aggregate(
+        F.transform("last", scored), nothing,
+        lambda front, w: F.when(w["dice"] >= front["best"], F.struct(w["dice"].alias("best"), F.concat(front["kept"], F.array(w)).alias("kept"))).otherwise(front),
+        lambda front: front["kept"],
+    )
+    matched = hits.select("text_key", "license", "line", "first", F.inline(ahead))
+    order = F.struct((-F.col("dice")).alias("key"), (F.col("first") - F.col("end")).alias("length"), "first", "license", "end", "line")
+    ranked = matched.groupBy("text_key").agg(F.array_sort(F.collect_list(order)).alias("windows"))
     none = F.slice("windows", 1, 0)
     chosen = F.aggregate("windows", none, lambda kept, w: F.when(
         F.exists(kept, lambda k: (k["first"] <= w["end"]) & (w["first"] <= k["end"])), kept).otherwise(F.concat(kept, F.array(w))))
