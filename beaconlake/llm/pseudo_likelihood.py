@@ -83,7 +83,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
-            for start, end in ranges(texts, 20 * BATCH_WORDS):
+            for start, end in ranges(texts, 5 * BATCH_WORDS):
                 codes, distinct, _ = split(texts.slice(start, end - start))
                 yield pa.RecordBatch.from_arrays([distinct, pa.array(np.bincount(codes, minlength=len(distinct)))], ["word", "n"])
 
