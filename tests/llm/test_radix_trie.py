@@ -85,9 +85,13 @@ def test_one_conversation_and_none(spark):
     assert [n[:4] for n in nodes(spark, rows)] == [(3, 0, None, 1)]
 
 
-def test_a_very_long_conversation(spark):
-    rows = [(5, turn, "user", str(turn % 10)) for turn in range(3000)] + [(10, turn, "user", str(turn % 10)) for turn in range(2990)]
+def test_long_conversations(spark):
+    rows = [(5, turn, "user", str(turn % 10)) for turn in range(120)] + [(10, turn, "user", str(turn % 10)) for turn in range(110)]
     assert nodes(spark, rows) == plain(rows)
+    # One of very many turns: a node per turn and the root, each with one conversation.
+    rows = [(5, turn, "user", str(turn % 10)) for turn in range(20_000)]
+    found = nodes(spark, rows)
+    assert sorted(n[1] for n in found) == list(range(20_001)) and {n[3] for n in found} == {1} and {n[5] for n in found} == {1}
 
 
 def test_tree_layouts_grow():
