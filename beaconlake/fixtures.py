@@ -5,6 +5,9 @@ Everything is computed row by row or by ordinary joins and aggregations, so it g
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
@@ -23,13 +26,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flat row per event with its landing page and referrer."""
+#: Pages whose addresses may be broadcast to the events.
+MAX_BROADCAST_PAGES = 500_000
+#: Events of a task that makes nested rows or messages of them.
+EVENTS_PER_TASK = 100_000
+#: The least number of the topic's files.
+TOPIC_FILES = 8
+
+Deal = Callable[[DataFrame], DataFrame]
+
+
+def staged_events(spark: SparkSession, sf_dir: str, deal: Deal | None = None) -> DataFrame:
+    """One flat row per event with its landing page and referrer.
+
+    ``deal`` spreads the events over tasks while their rows are narrow: before they get the pages' addresses where those
+    are few enough to broadcast, and after that where they are joined by shuffle.
+    """
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     count = pages.count()
-    events = table(spark, sf_dir, "events")
-    return spark.sql(
-        f"""
+    events = spark.sql(
+        """
         select e.event_id as eid,
                cast(e.ts as date) as `date`,
                unix_millis(cast(e.ts as timestamp)) as `timestamp`,
@@ -39,17 +55,37 @@ def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                e.value,
                cast(get_json_object(e.props, '$.k') as bigint) as k,
                concat('v', cast(case when e.user_id % 30 = 29 then e.user_id div 3
-                                     else (e.user_id + e.event_id % 2) div 3 end as string)) as avid,
-               l.page_id,
-               l.url as landing_url,
-               r.url as referrer_url
+                                     else (e.user_id + e.event_id % 2) div 3 end as string)) as avid
+        from {events} e
+        """,
+        events=table(spark, sf_dir, "events"),
+    )
+    few = count <= MAX_BROADCAST_PAGES
+    if deal and few:
+        events = deal(events)
+    staged = spark.sql(
+        f"""
+        select {"/*+ BROADCAST(l, r) */" if few else ""} e.*, l.page_id, l.url as landing_url, r.url as referrer_url
         from {{events}} e
-        left join {{pages}} l on l.page_id = e.event_id % {count}
-        left join {{pages}} r on e.event_id % 4 <> 0 and r.page_id = (e.event_id * 7 + 3) % {count}
+        left join {{pages}} l on l.page_id = e.eid % {count}
+        left join {{pages}} r on e.eid % 4 <> 0 and r.page_id = (e.eid * 7 + 3) % {count}
         """,
         events=events,
         pages=pages,
     )
+    return deal(staged) if deal and not few else staged
+
+
+def _tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks for the work on all events: as many as the events need, and for few events not more than there are cores."""
+    events = table(spark, sf_dir, "events").count()
+    least = min(spark.sparkContext.defaultParallelism, events // 10_000)
+    return max(1, least, math.ceil(events / EVENTS_PER_TASK))
+
+
+def topic_files(spark: SparkSession, sf_dir: str) -> int:
+    """How many files the topic's rows go to."""
+    return max(TOPIC_FILES, math.ceil(table(spark, sf_dir, "events").count() / EVENTS_PER_TASK))
 
 
 def _record(data_type: DataType, values: dict[str, object]) -> Column:
@@ -72,11 +108,13 @@ def _record(data_type: DataType, values: dict[str, object]) -> Column:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staged events in the ``raw_events`` contract."""
-    return as_raw_events(staged_events(spark, sf_dir))
+    """The staged events in the ``raw_events`` contract, dealt by date: the flat rows are, before they are nested."""
+    tasks = _tasks(spark, sf_dir)
+    return as_raw_events(staged_events(spark, sf_dir, lambda rows: rows.repartitionByRange(tasks, "date", "eid")))
 
 
-def as_raw_events(staged: DataFrame) -> DataFrame:
+def as_raw_events(staged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Staged events in the contract; ``keep`` names further columns of theirs."""
     contract = schema("raw_events")
     types = {f.name: f.dataType for f in contract.fields}
     typed_value: StructType = types["event_params"].elementType["value"].dataType
@@ -187,7 +225,7 @@ def as_raw_events(staged: DataFrame) -> DataFrame:
         "is_test_event": F.expr("case when eid % 50 = 0 then true when eid % 50 = 1 then null else false end"),
     }
     return staged.select(
-        *[columns.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in contract.fields]
+        *[columns.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in contract.fields], *keep
     )
 
 
@@ -287,11 +325,17 @@ def manual_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_rows(spark: SparkSession, sf_dir: str, extra: str = '"extra"') -> DataFrame:
     """The events as topic rows. Some messages are sent twice, carry unknown fields or are broken.
 
-    ``extra`` is an unknown field's name with its quotes.
+    ``extra`` is an unknown field's name with its quotes. The rows are dealt to ``topic_files`` tasks by offset: the flat
+    events are, before they become messages.
     """
-    staged = staged_events(spark, sf_dir)
-    events = as_raw_events(staged)
-    message = F.to_json(F.struct(*[F.col(f"`{c}`") for c in events.columns]))
+    copies = F.when(F.col("eid") % 40 == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+
+    def deal(rows: DataFrame) -> DataFrame:
+        numbered = rows.withColumn("copy", F.explode(copies)).withColumn("offset", F.col("eid") * 2 + F.col("copy"))
+        return numbered.repartition(topic_files(spark, sf_dir), "offset")
+
+    events = as_raw_events(staged_events(spark, sf_dir, deal), keep=("offset",))
+    message = F.to_json(F.struct(*[F.col(f"`{c}`") for c in events.columns if c != "offset"]))
     sent = events.select("*", F.explode(F.array(message)).alias("json"), F.col("event_id").cast("bigint").alias("eid"))
     kind = F.col("eid") % 100
     body = (
@@ -303,13 +347,12 @@ def topic_rows(spark: SparkSession, sf_dir: str, extra: str = '"extra"') -> Data
         .when(kind == 17, F.regexp_replace("json", '"event_id":"[0-9]+",', ""))
         .otherwise(F.col("json"))
     )
-    copies = F.when(F.col("eid") % 40 == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return sent.withColumn("copy", F.explode(copies)).select(
+    return sent.select(
         F.col("avid").cast("binary").alias("key"),
         body.cast("binary").alias("value"),
         F.lit(topic_name(PROJECT_ID)).alias("topic"),
         (F.expr("cast(substr(avid, 2) as bigint)") % 4).cast("int").alias("partition"),
-        (F.col("eid") * 2 + F.col("copy")).alias("offset"),
+        "offset",
         F.timestamp_millis(F.col("timestamp") + 2000).alias("timestamp"),
         F.array(F.struct(F.lit("event_name").alias("key"), F.col("event_name").cast("binary").alias("value"))).alias(
             "headers"

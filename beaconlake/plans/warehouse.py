@@ -274,10 +274,13 @@ def _partitions_with(spark: SparkSession, table: str, date_from: date | None, da
     return condition
 
 
-def replace_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
-    """Replace the partitions present in ``df`` under a path; others are left alone."""
+def replace_partitions(df: DataFrame, path: str, *partition_by: str, gather: bool = True) -> None:
+    """Replace the partitions present in ``df`` under a path; others are left alone.
+
+    Without ``gather`` the rows are written where they are, for rows that were dealt out by partition before.
+    """
     (
-        gathered(df, *partition_by)
+        (gathered(df, *partition_by) if gather else df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)

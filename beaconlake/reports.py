@@ -64,7 +64,7 @@ def topic_path(spark: SparkSession, sf_dir: str) -> str:
     """The topic's files."""
     return _stored(
         spark, sf_dir, "topic",
-        lambda path: fx.topic_rows(spark, sf_dir).repartition(8, "offset").write.parquet(path),
+        lambda path: fx.topic_rows(spark, sf_dir).write.parquet(path),
     )
 
 
@@ -72,7 +72,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``raw_events`` table, by date."""
     path = _stored(
         spark, sf_dir, "raw_events",
-        lambda path: warehouse.replace_partitions(fx.raw_events(spark, sf_dir), path, "date"),
+        lambda path: warehouse.replace_partitions(fx.raw_events(spark, sf_dir), path, "date", gather=False),
     )
     contract = schema("raw_events")
     return spark.read.schema(contract).parquet(path).select(*[F.col(f"`{name}`") for name in contract.names])
@@ -96,8 +96,10 @@ def profiled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- topic and ingestion ----
 
-def _messages(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
-    rows = read_topic_files(spark, topic_path(spark, sf_dir), files_per_trigger)
+def _messages(spark: SparkSession, sf_dir: str, batches: int | None = None) -> DataFrame:
+    """The topic's messages; ``batches`` says in how many micro-batches they come, one without it."""
+    files = batches and -(-fx.topic_files(spark, sf_dir) // batches)
+    rows = read_topic_files(spark, topic_path(spark, sf_dir), files)
     return envelopes(rows, f"{SINK_SUBSCRIPTION_PREFIX}_{fx.PROJECT_ID}")
 
 
@@ -154,7 +156,7 @@ def ingest_quoted_fields(spark, sf_dir):
     """As ``ingest_unknown_fields``, where names that the schema does not know are in single quotes."""
     path = _stored(
         spark, sf_dir, "topic_quoted",
-        lambda path: fx.topic_rows(spark, sf_dir, extra="'extra'").repartition(8, "offset").write.parquet(path),
+        lambda path: fx.topic_rows(spark, sf_dir, extra="'extra'").write.parquet(path),
     )
     run = run_path(spark, "ingest-quoted")
     messages = envelopes(read_topic_files(spark, path), f"{SINK_SUBSCRIPTION_PREFIX}_{fx.PROJECT_ID}")
@@ -171,7 +173,7 @@ def raw_events_loaded(spark, sf_dir):
     table = warehouse.bootstrap(spark, *_project(spark))["raw_events"]
     run = run_path(spark, "loads")
     target = f"{run}/raw_events"
-    ingest.ingest_events(_messages(spark, sf_dir, 2), contract, target, f"{run}/bad", f"{run}/checkpoint").awaitTermination()
+    ingest.ingest_events(_messages(spark, sf_dir, 4), contract, target, f"{run}/bad", f"{run}/checkpoint").awaitTermination()
     loads.load_batches(spark, target, contract, table, most=2)
     rows = loads.batch_rows(spark, target, contract, loads.open_batches(spark, target, table)[:1])
     warehouse.save_rows(spark, ingest.missing_rows(rows.drop(ingest.BATCH), spark.table(table)), table)
@@ -227,7 +229,7 @@ def landed_survivors(spark, sf_dir):
     number, location = _project(spark)
     table = ingest.create_landing(spark, warehouse.create_database(spark, number, location))
     offset = F.substring_index("message_id", "-", -1).cast("int")
-    messages = _messages(spark, sf_dir, 2).withColumn("publish_time", F.col("publish_time") + F.make_dt_interval(offset % 10))
+    messages = _messages(spark, sf_dir, 4).withColumn("publish_time", F.col("publish_time") + F.make_dt_interval(offset % 10))
     checkpoint = run_path(spark, "landing")
     ingest.land_into_table(messages, table, checkpoint).awaitTermination()
     today = spark.table(table).agg(F.max("publish_date")).first()[0]
@@ -328,7 +330,7 @@ def process_events_late(spark, sf_dir):
     run = run_path(spark, "process-late")
     contract = schema("raw_events")
     process.process_events(
-        _messages(spark, sf_dir, 2), contract, f"{run}/events", f"{run}/checkpoint", delay="1 minute"
+        _messages(spark, sf_dir, 4), contract, f"{run}/events", f"{run}/checkpoint", delay="1 minute"
     ).awaitTermination()
     landed = _landed(spark, sf_dir)
     first, last = landed.agg(F.min("publish_time"), F.max("publish_time")).first()
