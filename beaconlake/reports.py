@@ -247,22 +247,22 @@ def ordered_by_key(spark, sf_dir):
     delay_ms, slices = 3 * 3_600_000, 5
     arrival = F.col("timestamp") + F.crc32(F.col("event_id").cast("binary")) % delay_ms
     first, last = narrow.agg(F.min(arrival), F.max(arrival)).first()
-    path = run_path(spark, "arrivals")
     if first is None:
-        narrow.write.parquet(path)
+        parts = [narrow]
     else:
         width = (last - first) // slices + 1
         cut = F.floor((arrival - first) / width)
-        for i in range(slices):
-            narrow.where(cut == i).repartition(1, F.xxhash64("event_id")).write.mode("append").parquet(path)
+        parts = [narrow.where(cut == i) for i in range(slices)]
         # The stream knows that it is complete once an event comes that is later than all by more than the delay.
-        end = spark.createDataFrame([("end", last + 2 * delay_ms, "end", "end")], narrow.schema)
-        end.coalesce(1).write.mode("append").parquet(path)
-    run = run_path(spark, "ordered")
-    stream = spark.readStream.schema(narrow.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    ordered = ordering.ordered_by_key(stream, "avid", "3 hours")
-    query_ = ordered.writeStream.format("parquet").option("path", f"{run}/events").option("checkpointLocation", f"{run}/checkpoint")
-    query_.trigger(availableNow=True).start().awaitTermination()
+        parts.append(spark.createDataFrame([("end", last + 2 * delay_ms, "end", "end")], narrow.schema).coalesce(1))
+    path, run = run_path(spark, "arrivals"), run_path(spark, "ordered")
+    # The stream goes on with each part as one micro-batch, in as many files as the part needs.
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        stream = spark.readStream.schema(narrow.schema).parquet(path)
+        ordered = ordering.ordered_by_key(stream, "avid", "3 hours")
+        query_ = ordered.writeStream.format("parquet").option("path", f"{run}/events").option("checkpointLocation", f"{run}/checkpoint")
+        query_.trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(ordered.schema).parquet(f"{run}/events").select("avid", "event_id", "position")
 
 

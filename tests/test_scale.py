@@ -43,3 +43,86 @@ def test_derived_rows_are_the_same_either_way(spark, monkeypatch):
         assert few[name].exceptAll(many).isEmpty() and many.exceptAll(few[name]).isEmpty()
     # The topic's files grow with the events.
     assert fx.topic_files(spark, SMALL) == math.ceil(events / 50) > fx.TOPIC_FILES
+
+
+# ---- order ----
+
+class Store:
+    """A state variable and timers in memory that count what is asked of them."""
+
+    def __init__(self):
+        self.rows, self.value, self.timers, self.calls = {}, None, set(), 0
+
+    def __getattribute__(self, name):
+        if name in ("updateValue", "getValue", "removeKey", "containsKey", "registerTimer", "get", "update", "exists"):
+            self.calls += 1
+        return object.__getattribute__(self, name)
+
+    def getMapState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        return self
+
+    def updateValue(self, key, value):
+        self.rows[key] = value
+
+    def getValue(self, key):
+        return self.rows.get(key)
+
+    def removeKey(self, key):
+        del self.rows[key]
+
+    def containsKey(self, key):
+        return key in self.rows
+
+    def registerTimer(self, moment):
+        self.timers.add(moment)
+
+    def get(self):
+        return self.value
+
+    def exists(self):
+        return self.value is not None
+
+    def update(self, value):
+        self.value = value
+
+
+class At:
+    def __init__(self, moment):
+        self.moment = moment
+
+    def getExpiryTimeInMs(self):
+        return self.moment
+
+    def getCurrentWatermarkInMs(self):
+        return self.moment
+
+
+def test_a_key_asks_little_of_the_state_store(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(ordering, "CHUNK_ROWS", 300)
+    random_, store, events, given = random.Random(1), Store(), [], []
+    processor = ordering.InOrder()
+    processor.init(store)
+    for batch in range(4):
+        come = [(batch * 1000 + random_.randrange(2000), f"é{random_.randrange(10**6)}", f"row{batch}-{i}") for i in range(1000)]
+        # What comes is later than the watermark.
+        come = [event for event in come if event[0] > batch * 1000]
+        events += come
+        processor.handleInputRows(("k",), iter([pd.DataFrame(come, columns=["timestamp", "event_id", "event_row"])]), None)
+        while due := [moment for moment in store.timers if moment <= (batch + 1) * 1000]:
+            store.timers.remove(min(due))
+            for frame in processor.handleExpiredTimer(("k",), At((batch + 1) * 1000), At(min(due))):
+                given += list(zip(frame["event_row"], frame["position"]))
+        assert len(given) == sum(event[0] <= (batch + 1) * 1000 for event in events)
+    while store.timers:
+        store.timers.remove(last := min(store.timers))
+        for frame in processor.handleExpiredTimer(("k",), At(10**6), At(last)):
+            given += list(zip(frame["event_row"], frame["position"]))
+    wanted = sorted(events, key=lambda event: (event[0], event[1].encode()))
+    assert [row for row, _ in given] == [event[2] for event in wanted]
+    assert [position for _, position in given] == list(range(1, len(events) + 1))
+    assert not store.rows and store.calls < 100
