@@ -126,3 +126,31 @@ def test_a_key_asks_little_of_the_state_store(monkeypatch):
     assert [row for row, _ in given] == [event[2] for event in wanted]
     assert [position for _, position in given] == list(range(1, len(events) + 1))
     assert not store.rows and store.calls < 100
+
+
+# ---- ingestion ----
+
+def test_read_messages_are_not_looked_through_again(spark):
+    from pyspark.sql import functions as F
+
+    from beaconlake.contracts import schema
+    from beaconlake.sources import messages
+
+    contract = schema("raw_events")
+    good = '{"event_id": "e", "date": "2024-01-01", "timestamp": 5, "order" : {"id":":x", "value" :1}, "products":[{"id":"p"}]}'
+    texts = {
+        good: True,
+        good.replace('"id":"p"', '"id":"p","value" : 2,"zip"  :3'): False,
+        good.replace('"timestamp"', '"zip"\n:null,"timestamp"'): False,
+        good.replace('"id":":x"', '"id":":x","event_id":1'): False,
+        # Quotes inside a text and fields that are null are looked at in the slow way.
+        good.replace('"id":":x"', '"id":"\\u0022:"'): False,
+        good.replace('"id":":x"', '"id":null'): False,
+    }
+    rows = spark.createDataFrame([(text,) for text in texts], "data string")
+    parsed = messages.parse_messages(rows, contract)
+    found = {row.data: row.read for row in parsed.select("data", messages._all_read(F.col("data"), F.col("row")).alias("read")).collect()}
+    assert found == texts
+    strict = {row.data: row.reason for row in messages.parse_messages(rows, contract, drop_unknown_fields=False).collect()}
+    assert list(strict.values()) == [
+        None, "unknown fields: products[].zip", "unknown fields: zip", "unknown fields: order.event_id", None, None]
