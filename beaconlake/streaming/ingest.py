@@ -217,8 +217,9 @@ def replay_into(
 def missing_rows(rows: DataFrame, stored: DataFrame | None, path: str | None = None) -> DataFrame:
     """One row per date and event id of ``rows`` that ``stored`` lacks, complete in the shared folder.
 
-    ``rows`` are computed once, and only the stored ids of their dates are read. ``path`` names a folder for the rows that
-    the caller removes.
+    ``rows`` are computed once, and only the stored ids of their dates are read. What is missing is found from the keys
+    alone; whole rows are brought together only where some of them have to be left out. ``path`` names a folder for the
+    rows that the caller removes.
     """
     keys, path = ["date", "event_id"], path or run_path(rows.sparkSession, "missing")
 
@@ -226,12 +227,22 @@ def missing_rows(rows: DataFrame, stored: DataFrame | None, path: str | None = N
         df.write.parquet(f"{path}/{name}")
         return df.sparkSession.read.schema(rows.schema).parquet(f"{path}/{name}")
 
-    once = kept(rows.dropDuplicates(keys), "rows")
-    if stored is None:
-        return once
-    dates = once.select("date").distinct()
-    known = small_lookup_join(stored.select(*keys), dates, ["date"], "left_semi")
-    return kept(once.join(known, keys, "left_anti").select(*[F.col(f"`{n}`") for n in rows.columns]), "missing")
+    read = kept(rows, "rows")
+    missing = read.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    known = None
+    if stored is not None:
+        dates = read.select("date").distinct()
+        known = small_lookup_join(stored.select(*keys), dates, ["date"], "left_semi")
+        missing = missing.join(known, keys, "left_anti")
+    found, copies = missing.agg(F.count(F.lit(1)), F.sum("copies")).first()
+    if not found:
+        return read.where(F.lit(False))
+    if found == copies == read.count():
+        return read
+    once = read.dropDuplicates(keys)
+    if known is not None:
+        once = once.join(known, keys, "left_anti").select(*[F.col(f"`{n}`") for n in rows.columns])
+    return kept(once, "missing")
 
 
 def add_to_table(rows: DataFrame, table: str) -> None:

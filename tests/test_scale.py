@@ -154,3 +154,27 @@ def test_read_messages_are_not_looked_through_again(spark):
     strict = {row.data: row.reason for row in messages.parse_messages(rows, contract, drop_unknown_fields=False).collect()}
     assert list(strict.values()) == [
         None, "unknown fields: products[].zip", "unknown fields: zip", "unknown fields: order.event_id", None, None]
+
+
+def test_missing_rows_are_found_from_the_keys(spark, tmp_path):
+    from datetime import date
+
+    from beaconlake.streaming import ingest
+
+    days = [date(2024, 1, 1), date(2024, 1, 2), None]
+    types = "event_id string, `date` date, note string"
+    rows = spark.createDataFrame([(f"e{i % 40}" if i % 40 else None, days[i % 40 % 3], "new") for i in range(60)], types)
+    once = rows.dropDuplicates(["date", "event_id"])
+    stored = spark.createDataFrame([(f"e{i}", days[i % 3], "old") for i in range(10, 90)], types)
+
+    def missing(rows, stored, name):
+        found = ingest.missing_rows(rows, stored, str(tmp_path / name))
+        got = sorted(map(str, found.collect()))
+        return got, (tmp_path / name / "missing").exists()
+
+    expected = [row for row in once.collect() if row.event_id is None or int(row.event_id[1:]) < 10 or row.date is None]
+    assert missing(rows, stored, "some") == (sorted(map(str, expected)), True)
+    assert missing(rows, None, "copies") == (sorted(map(str, once.collect())), True)
+    # Nothing has to be left out, or everything: whole rows stay where they are.
+    assert missing(once, None, "all") == (sorted(map(str, once.collect())), False)
+    assert missing(rows.where("event_id is not null and `date` is not null and note = 'new'"), once, "none") == ([], False)
