@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beaconlake.operators.skew import MAX_BROADCAST_ROWS
+
 SEEN = "event_id STRING, `date` DATE, `timestamp` BIGINT, row_hash BIGINT"
 VERSION = "version"
 BUCKETS = 200
@@ -50,16 +52,30 @@ def new_events(events: DataFrame, seen: DataFrame, buckets: int) -> DataFrame:
     """The rows of ``events`` that are first of their id, also against the stored ids ``seen`` in ``buckets`` buckets.
 
     Two columns are added: ``row_hash``, and ``replaces``, the date of a stored row that a kept one comes before. A row
-    that is stored itself (a date is read again) is kept. ``events`` is read once; rows without an id all stay and are
-    read apart, which costs nothing where there are none.
+    that is stored itself (a date is read again) is kept. The ids alone say which rows have to be compared, with each other
+    or with a stored one: where those are few, all other rows stay where they are. ``events`` is read once for its ids and
+    once for its rows; rows without an id all stay and are read apart, which costs nothing where there are none.
     """
+    named = events.where("event_id is not null")
+    # A table of all ids is no side to broadcast, and a merge join uses its buckets.
+    ids = meet_buckets(named.groupBy("event_id").agg(F.count(F.lit(1)).alias("copies")), "event_id", buckets)
+    old = seen.select(F.col("event_id").alias("_stored")).distinct().hint("merge")
+    compared = ids.join(old, F.col("event_id") == F.col("_stored"), "left").where("copies > 1 or _stored is not null")
+    compared = compared.select("event_id").checkpoint()
+    several = compared.count()
+    alone, rest = None, named
+    if several <= MAX_BROADCAST_ROWS:
+        alone, rest = (named.join(F.broadcast(compared), "event_id", how) for how in ("left_anti", "left_semi"))
     stored = seen.groupBy("event_id").agg(F.min(F.struct("timestamp", "row_hash", "date")).alias("stored"))
     stored_age = F.struct("stored.timestamp", "stored.row_hash")
-    # A table of all ids is no side to broadcast, and a merge join uses its buckets.
-    met = meet_buckets(first_rows(events), "event_id", buckets).join(stored.hint("merge"), "event_id", "left")
+    met = meet_buckets(first_rows(rest), "event_id", buckets).join(stored.hint("merge"), "event_id", "left")
     kept = met.where(F.col("stored").isNull() | (F.col("age") <= stored_age)).select(
         "row.*", F.col("age.row_hash").alias("row_hash"), F.when(F.col("age") < stored_age, F.col("stored.date")).alias("replaces")
     )
+    if alone is not None:
+        columns = [F.col(f"`{name}`") for name in events.columns]
+        single = alone.select(*columns, F.xxhash64(*columns).alias("row_hash"), F.lit(None).cast("date").alias("replaces"))
+        kept = single if not several else kept.unionByName(single)
     nameless = events.where("event_id is null").select(
         "*", F.lit(None).cast("bigint").alias("row_hash"), F.lit(None).cast("date").alias("replaces")
     )

@@ -178,3 +178,30 @@ def test_missing_rows_are_found_from_the_keys(spark, tmp_path):
     # Nothing has to be left out, or everything: whole rows stay where they are.
     assert missing(once, None, "all") == (sorted(map(str, once.collect())), False)
     assert missing(rows.where("event_id is not null and `date` is not null and note = 'new'"), once, "none") == ([], False)
+
+
+# ---- stored ids ----
+
+def test_rows_with_an_id_of_their_own_stay_where_they_are(spark, monkeypatch, no_automatic_broadcast):
+    from datetime import date
+
+    from beaconlake.operators import seen
+
+    day = date(2024, 1, 1)
+    types = "event_id string, `date` date, `timestamp` bigint, note string"
+    rows = [(f"e{i}", day, i, "one") for i in range(20)] + [("e3", day, 1, "first"), (None, day, 1, "x"), (None, day, 1, "x")]
+    events = spark.createDataFrame(rows, types)
+    # A stored row that is earlier, one that is later, and one that no event names.
+    stored = spark.createDataFrame([("e5", day, 4, 0), ("e6", day, 7, 0), ("z", day, 1, 0)], seen.SEEN)
+
+    def found(events):
+        return sorted((tuple(row) for row in seen.new_events(events, stored, 3).collect()), key=str)
+
+    few = found(events)
+    assert [row[0] for row in few if row[0]] == sorted(f"e{i}" for i in range(20) if i != 5)
+    assert {row[0]: row[5] for row in few if row[5]} == {"e6": day} and sum(row[0] is None for row in few) == 2
+    assert next(row[3] for row in few if row[0] == "e3") == "first"
+    alone = _plan(seen.new_events(events.where("`timestamp` > 7"), stored, 3))
+    assert "Exchange hashpartitioning" not in alone and "SortMergeJoin" not in alone
+    monkeypatch.setattr(seen, "MAX_BROADCAST_ROWS", 0)
+    assert found(events) == few
