@@ -64,8 +64,10 @@ def new_events(events: DataFrame, seen: DataFrame, buckets: int) -> DataFrame:
     compared = compared.select("event_id").checkpoint()
     several = compared.count()
     alone, rest = None, named
+    # A row's hash depends on the order of its columns, which a join by name changes.
+    columns = [F.col(f"`{name}`") for name in events.columns]
     if several <= MAX_BROADCAST_ROWS:
-        alone, rest = (named.join(F.broadcast(compared), "event_id", how) for how in ("left_anti", "left_semi"))
+        alone, rest = (named.join(F.broadcast(compared), "event_id", how).select(*columns) for how in ("left_anti", "left_semi"))
     stored = seen.groupBy("event_id").agg(F.min(F.struct("timestamp", "row_hash", "date")).alias("stored"))
     stored_age = F.struct("stored.timestamp", "stored.row_hash")
     met = meet_buckets(first_rows(rest), "event_id", buckets).join(stored.hint("merge"), "event_id", "left")
@@ -73,7 +75,6 @@ def new_events(events: DataFrame, seen: DataFrame, buckets: int) -> DataFrame:
         "row.*", F.col("age.row_hash").alias("row_hash"), F.when(F.col("age") < stored_age, F.col("stored.date")).alias("replaces")
     )
     if alone is not None:
-        columns = [F.col(f"`{name}`") for name in events.columns]
         single = alone.select(*columns, F.xxhash64(*columns).alias("row_hash"), F.lit(None).cast("date").alias("replaces"))
         kept = single if not several else kept.unionByName(single)
     nameless = events.where("event_id is null").select(

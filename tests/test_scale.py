@@ -188,14 +188,15 @@ def test_rows_with_an_id_of_their_own_stay_where_they_are(spark, monkeypatch, no
     from beaconlake.operators import seen
 
     day = date(2024, 1, 1)
-    types = "event_id string, `date` date, `timestamp` bigint, note string"
+    types, types_of = "event_id string, `date` date, `timestamp` bigint, note string", ("event_id", "date", "timestamp", "note")
     rows = [(f"e{i}", day, i, "one") for i in range(20)] + [("e3", day, 1, "first"), (None, day, 1, "x"), (None, day, 1, "x")]
-    events = spark.createDataFrame(rows, types)
+    # The id is not the first column.
+    events = spark.createDataFrame(rows, types).select("note", "event_id", "date", "timestamp")
     # A stored row that is earlier, one that is later, and one that no event names.
     stored = spark.createDataFrame([("e5", day, 4, 0), ("e6", day, 7, 0), ("z", day, 1, 0)], seen.SEEN)
 
     def found(events):
-        return sorted((tuple(row) for row in seen.new_events(events, stored, 3).collect()), key=str)
+        return sorted((tuple(row) for row in seen.new_events(events, stored, 3).select(*types_of, "row_hash", "replaces").collect()), key=str)
 
     few = found(events)
     assert [row[0] for row in few if row[0]] == sorted(f"e{i}" for i in range(20) if i != 5)
