@@ -22,6 +22,7 @@ PARTITION_FIELD = "partition_field"
 # Partition column of tables that are not partitioned by day.
 PARTITION_TIME = "partition_time"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 # How a null partition value is listed.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # When a table was created; expiry of tables goes by it.
@@ -187,12 +188,18 @@ def save_rows(spark: SparkSession, df: DataFrame, table: str, overwrite: bool =
     elif partition:
         ordered = gathered(ordered, *partition)
     # An insert into a table takes the overwrite mode from the session only, not from the writer's options.
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    wanted = {OVERWRITE_MODE: "dynamic"}
+    if clustering:
+        # Rows in order need no other sort, and the one beyond the open files would not keep it.
+        wanted[OPEN_FILES] = "0"
+    before = {name: spark.conf.get(name) for name in wanted}
     try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
         ordered.write.insertInto(table, overwrite=overwrite)
     finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def gathered(df: DataFrame, *partition_by: str) -> DataFrame:

@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # A task keeps the files of so many partitions open and writes its rows as they come. Without this it sorts all its rows
+    # by partition in memory first; with more partitions Spark sorts only the rows of those beyond.
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
 }
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
