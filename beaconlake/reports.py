@@ -18,7 +18,7 @@ from beaconlake.operators import (
     attribution, bitmaps, checks, commerce, costs, flatten, identity, quality, referrers, rollups, seen,
 )
 from beaconlake.plans import configs, incremental, jobs, loads, materialize, project, retention, warehouse
-from beaconlake.session import configure, run_path
+from beaconlake.session import configure, open_files, run_path
 from beaconlake.sources.topic import envelopes, read_topic_files
 from beaconlake.streaming import ingest, ordering, process
 
@@ -201,7 +201,8 @@ def raw_events_compacted(spark, sf_dir):
 
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = run_path(spark, "landing")
-    ingest.land_messages(_messages(spark, sf_dir), f"{run}/messages", f"{run}/checkpoint").awaitTermination()
+    with open_files(spark):
+        ingest.land_messages(_messages(spark, sf_dir), f"{run}/messages", f"{run}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{run}/messages")
 
 

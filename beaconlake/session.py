@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,13 +20,13 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    # A task keeps the files of so many partitions open and writes its rows as they come. Without this it sorts all its rows
-    # by partition in memory first; with more partitions Spark sorts only the rows of those beyond.
-    "spark.sql.maxConcurrentOutputFileWriters": "32",
 }
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+OPEN_FILES_SETTING = "spark.sql.maxConcurrentOutputFileWriters"
+OPEN_FILES = 32
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators rely on and make sure a checkpoint folder is known."""
@@ -34,6 +36,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def open_files(spark: SparkSession) -> Iterator[None]:
+    """Writes inside keep the files of up to ``OPEN_FILES`` partitions open in a task and take rows as they come.
+
+    Else a task sorts all its rows by partition in memory first. Of more partitions Spark sorts the rows of those beyond.
+    It is for narrow rows, or for rows gathered by partition: with many files of many columns open a task takes longer.
+    """
+    before = spark.conf.get(OPEN_FILES_SETTING)
+    spark.conf.set(OPEN_FILES_SETTING, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_FILES_SETTING, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

@@ -21,7 +21,7 @@ from beaconlake import contracts
 from beaconlake.contracts import MESSAGE_RETENTION_SECONDS
 from beaconlake.operators.skew import small_lookup_join
 from beaconlake.plans.warehouse import EXPIRATION_MS, gathered, save_rows
-from beaconlake.session import run_path
+from beaconlake.session import open_files, run_path
 from beaconlake.sources.messages import good_rows, parse_messages, quarantined
 
 BATCH = "ingest_batch"
@@ -90,8 +90,10 @@ def ingest_events(
     def write(batch: DataFrame, batch_id: int) -> None:
         # Parsing twice took less time than caching the nested rows between the two writes.
         parsed = parse_messages(batch, schema, drop_unknown_fields, message_filter)
-        write_batch(good_rows(parsed, schema), batch_id, target, ("date",))
-        write_batch(quarantined(parsed), batch_id, quarantine)
+        # The session is the stream's own.
+        with open_files(batch.sparkSession):
+            write_batch(good_rows(parsed, schema), batch_id, target, ("date",))
+            write_batch(quarantined(parsed), batch_id, quarantine)
         finish_batch(batch.sparkSession, batch_id, target)
 
     return consume(messages, checkpoint, write, trigger)
@@ -108,6 +110,9 @@ def land_messages(
 
     Files of batches older than that leave the sink's log, so readers no longer see them. The files themselves stay;
     where they should go too, land into a table (``land_into_table``).
+
+    A task with messages of many days sorts them by day in memory, unless its session runs with ``open_files``, which has
+    to hold while the stream runs.
     """
     return (
         messages.withColumn("publish_date", F.to_date("publish_time"))

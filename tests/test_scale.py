@@ -133,37 +133,51 @@ def test_a_key_asks_little_of_the_state_store(monkeypatch):
 def test_rows_are_not_sorted_to_be_written_by_day(spark, tmp_path):
     from datetime import date, timedelta
 
-    from beaconlake.plans import warehouse
-    from beaconlake.streaming import ingest
+    from beaconlake.session import OPEN_FILES, OPEN_FILES_SETTING, open_files
 
-    days = [date(2024, 1, 1) + timedelta(i * 7 % 45) for i in range(450)]
+    # More days than a task keeps open.
+    days = [date(2024, 1, 1) + timedelta(i * 7 % (OPEN_FILES + 13)) for i in range(450)]
     rows = spark.createDataFrame([(f"e{i}", day) for i, day in enumerate(days)], "event_id string, `date` date").coalesce(1)
     rows.createOrReplaceTempView("days_mixed")
     spark.sql(f"CREATE TABLE days_open (event_id STRING, `date` DATE) USING parquet PARTITIONED BY (`date`) LOCATION '{tmp_path}/plain'")
+    before = spark.conf.get(OPEN_FILES_SETTING)
     try:
-        plan = spark.sql("EXPLAIN INSERT INTO days_open SELECT * FROM days_mixed").first()[0]
-        assert "WriteFiles" in plan and "Sort" not in plan
-        # More days than a task keeps open.
-        spark.table("days_mixed").write.insertInto("days_open")
+        with open_files(spark):
+            plan = spark.sql("EXPLAIN INSERT INTO days_open SELECT * FROM days_mixed").first()[0]
+            assert "WriteFiles" in plan and "Sort" not in plan
+            spark.table("days_mixed").write.insertInto("days_open")
         assert spark.table("days_open").exceptAll(rows).isEmpty() and spark.table("days_open").count() == 450
     finally:
         spark.sql("DROP TABLE days_open")
-    ingest.write_batch(rows, 0, str(tmp_path / "batch"), ("date",))
-    assert spark.read.parquet(str(tmp_path / "batch")).select("event_id", "date").exceptAll(rows).isEmpty()
-    # Rows in clustering order stay in it, also in one task.
-    database = warehouse.create_database(spark, 77_002, str(tmp_path / "project"))
-    warehouse.create_table(spark, database, "by_id", rows.schema, clustering=("event_id",))
-    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
-    try:
-        warehouse.save_rows(spark, rows, f"{database}.by_id")
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
-    import pyarrow.parquet as pq
+    assert spark.conf.get(OPEN_FILES_SETTING) == before
+
+
+def test_landing_and_ingestion_write_without_a_sort(spark, monkeypatch):
+    from beaconlake import reports
+    from beaconlake.session import OPEN_FILES, OPEN_FILES_SETTING
+    from beaconlake.streaming import ingest
+
+    found, land, write_batch = [], ingest.land_messages, ingest.write_batch
+
+    class Landing:
+        def awaitTermination(self):
+            found.append(spark.conf.get(OPEN_FILES_SETTING))
+            self.stream.awaitTermination()
+
+    def landing(*given):
+        waits = Landing()
+        waits.stream = land(*given)
+        return waits
+
+    def write(rows, batch_id, path, *more):
+        found.append(rows.sparkSession.conf.get(OPEN_FILES_SETTING))
+        write_batch(rows, batch_id, path, *more)
 
-    files = [pq.ParquetFile(path).read()["event_id"].to_pylist() for path in (tmp_path / "project").rglob("*.parquet")]
-    assert len(files) == 45 and all(ids == sorted(ids) for ids in files)
-    assert spark.conf.get(warehouse.OPEN_FILES) == "32"
+    monkeypatch.setattr(ingest, "land_messages", landing)
+    assert reports._landed(spark, SMALL).count() > 0 and found == [str(OPEN_FILES)]
+    monkeypatch.setattr(ingest, "write_batch", write)
+    reports._ingest(spark, SMALL)
+    assert found[1:3] == [str(OPEN_FILES)] * 2
 
 
 # ---- ingestion ----
