@@ -182,6 +182,50 @@ def test_landing_and_ingestion_write_without_a_sort(spark, monkeypatch):
 
 # ---- ingestion ----
 
+def test_nested_rows_end_where_they_become_messages(spark, no_automatic_broadcast):
+    plan = _plan(fx.topic_rows(spark, SMALL))
+    # No step above the exchange copies nested rows beside their message, and the message is made once.
+    above = plan[:plan.index("- Exchange ")]
+    assert "Generate" not in above and above.count("StructsToJson") == 1
+
+
+def test_good_and_bad_messages_are_written_at_once(spark, tmp_path, monkeypatch):
+    import threading
+
+    from beaconlake.contracts import schema
+    from beaconlake.sources import topic
+    from beaconlake.streaming import ingest
+
+    both, write_batch = threading.Barrier(2), ingest.write_batch
+
+    def write(rows, batch_id, path, *more):
+        if not path.endswith("_finished"):
+            both.wait(60)
+        write_batch(rows, batch_id, path, *more)
+
+    monkeypatch.setattr(ingest, "write_batch", write)
+    fx.topic_rows(spark, SMALL).write.parquet(str(tmp_path / "topic"))
+    messages = topic.envelopes(topic.read_topic_files(spark, str(tmp_path / "topic")), "sub")
+    out = [str(tmp_path / name) for name in ("raw", "bad")]
+    ingest.ingest_events(messages, schema("raw_events"), *out, str(tmp_path / "checkpoint")).awaitTermination()
+    stored = [spark.read.parquet(path).count() for path in out]
+    assert all(stored) and sum(stored) == spark.read.parquet(str(tmp_path / "topic")).count()
+    assert ingest.finished_batches(spark, out[0]).count() == 1
+
+
+def test_a_batch_is_not_finished_when_a_write_fails(spark):
+    from beaconlake.streaming import ingest
+
+    ended = []
+
+    def fails():
+        raise ValueError("no space")
+
+    with pytest.raises(ValueError, match="no space"):
+        ingest.at_once(spark, fails, lambda: ended.append(spark.range(3).count()))
+    assert ended == [3]
+
+
 def test_read_messages_are_not_looked_through_again(spark):
     from pyspark.sql import functions as F
 
